@@ -54,8 +54,10 @@ def store_size_bins(stats: DataFrame, labels=C.STORE_SIZE_LABELS) -> DataFrame:
     """Three equal-width, right-closed bins of store_mean_sales over [min, max];
     all-equal means fall in the middle bin."""
     m = F.col("store_mean_sales")
-    lo = stats.select(F.min("store_mean_sales")).scalar()
-    hi = stats.select(F.max("store_mean_sales")).scalar()
+    # whole-table min/max over the per-entity table (one row per entity)
+    everything = Window.partitionBy()
+    lo = F.min(m).over(everything)
+    hi = F.max(m).over(everything)
     step = (hi - lo) / 3.0
     size = (F.when(m.isNull(), F.lit(None))
             .when(hi == lo, F.lit(labels[1]))

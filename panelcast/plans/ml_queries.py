@@ -1,2 +1,197 @@
-"""Named queries of the Spark ML operators (rows-only check: no SQL oracle)."""
+"""Named queries of the model, persistence and scoring operators.
+
+Tree models are fitted once per (tables, model) in a process-level cache and
+shared by the queries that need them (predictions, importances, persistence).
+Queries without an oracle get the driver's rows-only check.
+"""
 from __future__ import annotations
+
+import json
+import os
+import threading
+import uuid
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from .. import config as C
+from ..operators import evaluation as ev
+from ..operators import forecast as fc
+from ..operators import ml
+from ..operators import scoring as sc
+from ..session import checkpoint_dir
+from ..sources import files
+from . import queries as Q
+from .queries import query
+from .training import KEYS, prepare_ml_data, train_and_evaluate, training_job
+
+_LOCK = threading.Lock()
+_CACHE: dict = {}
+
+
+def _ml_data(spark: SparkSession, sf: str):
+    key = ("data", sf, id(spark))
+    with _LOCK:
+        if key not in _CACHE:
+            _CACHE[key] = prepare_ml_data(Q.panel(spark, sf))
+        return _CACHE[key]
+
+
+def _fitted(spark: SparkSession, sf: str, name: str):
+    key = ("model", sf, name, id(spark))
+    train, val, cols = _ml_data(spark, sf)
+    with _LOCK:
+        if key not in _CACHE:
+            _CACHE[key] = train_and_evaluate(name, train, val, cols)
+        return _CACHE[key]
+
+
+def _scratch(spark: SparkSession, what: str) -> str:
+    return os.path.join(checkpoint_dir(spark), f"{what}-{uuid.uuid4().hex[:10]}")
+
+
+# ------------------------------------------------------------------ sources
+@query("read_predictions")
+def q_read_predictions(spark, sf):
+    path = _scratch(spark, "predictions")
+    files.write_predictions(Q.baseline_long(spark, sf), path, Q.MODELS)
+    return files.read_predictions(spark, path)
+
+
+@query("read_metrics")
+def q_read_metrics(spark, sf):
+    path = _scratch(spark, "metrics")
+    files.write_metrics(Q.baseline_metrics(spark, sf), path)
+    return files.read_metrics(spark, path)
+
+
+# ----------------------------------------------------------- model frames
+@query("prepare_ml_data")
+def q_prepare_ml_data(spark, sf):
+    train, val, cols = _ml_data(spark, sf)
+    both = train.unionByName(val)
+    return both.groupBy("split").agg(F.count(F.lit(1)).alias("n_rows"),
+                                     F.lit(len(cols)).alias("n_features"))
+
+
+@query("assemble_features")
+def q_assemble(spark, sf):
+    train, val, cols = _ml_data(spark, sf)
+    out = ml.assemble_features(train.unionByName(val), cols)
+    return ml.vector_column_as_array(out.select(*KEYS, "split", C.TARGET, ml.FEATURES))
+
+
+def _pred_query(name):
+    def fn(spark, sf):
+        _, pred, _ = _fitted(spark, sf, name)
+        return pred
+    return fn
+
+
+query("random_forest")(_pred_query("RandomForest"))
+query("gbt_depthwise")(_pred_query("GBTDepthwise"))
+query("gbt_shallow")(_pred_query("GBTShallow"))
+
+
+@query("train_and_evaluate")
+def q_train_and_evaluate(spark, sf):
+    return ev.union_model_results(*[_fitted(spark, sf, n)[2] for n in ml.ESTIMATORS])
+
+
+@query("feature_importance")
+def q_feature_importance(spark, sf):
+    parts = [ml.importance_frame(spark, _fitted(spark, sf, n)[0], n) for n in ml.ESTIMATORS]
+    return ev.union_model_results(*parts)
+
+
+@query("top_features")
+def q_top_features(spark, sf):
+    # depth-wise boosted model first, as in the reference's selection order
+    model = _fitted(spark, sf, "GBTDepthwise")[0]
+    return ml.top_features(ml.importance_frame(spark, model, "GBTDepthwise"))
+
+
+@query("save_model")
+def q_save_load(spark, sf):
+    """Persist the fitted forest, load it back and score the validation rows."""
+    model, _, _ = _fitted(spark, sf, "RandomForest")
+    path = _scratch(spark, "model")
+    ml.save_model(model, path)
+    loaded = ml.load_model(path)
+    _, val, _ = _ml_data(spark, sf)
+    return ml.predict(loaded, val, KEYS).withColumn("n_features", F.lit(len(ml.model_feature_columns(loaded))))
+
+
+@query("random_search")
+def q_random_search(spark, sf):
+    """Seeded random search over the leaf-bounded boosted-tree space; fits on the
+    earlier training weeks, scores WMAPE on the last ten training weeks."""
+    from .training import tuning_split
+    train, _, cols = _ml_data(spark, sf)
+    fit_rows, tune_rows = tuning_split(train)
+    trials = int(os.environ.get("PANELCAST_QUERY_TRIALS", "4"))
+    res = ml.random_search("GBTShallow", fit_rows, tune_rows, cols, n_trials=trials)
+    rows = [(i, json.dumps(p, sort_keys=True), w) for i, p, w in res]
+    return spark.createDataFrame(rows, "trial int, params string, WMAPE double")
+
+
+# ------------------------------------------------------- series forecasters
+@query("trend_seasonal_forecast")
+def q_trend_seasonal(spark, sf):
+    return fc.trend_seasonal_forecast(Q.panel(spark, sf))
+
+
+# ------------------------------------------------------------------ scoring
+def _requests(spark, sf) -> DataFrame:
+    return sc.requests_from_panel(Q.panel(spark, sf))
+
+
+@query("request_features")
+def q_request_features(spark, sf):
+    out = sc.request_features(_requests(spark, sf))
+    return Q.rounded(out.drop("store", "date_str", "temperature", "fuel_price", "cpi", "unemployment",
+                              "is_holiday"),
+                     {c: 6 for c in ("month_sin", "month_cos", "week_sin", "week_cos")})
+
+
+@query("request_history")
+def q_request_history(spark, sf):
+    req = _requests(spark, sf).withColumn(C.ENTITY, F.col("store").cast("int"))
+    return sc.request_history(req, Q.panel(spark, sf))
+
+
+@query("deviation_trend")
+def q_deviation_trend(spark, sf):
+    """Validation forecasts of the moving-average baseline against the entity's
+    historical mean: difference, % difference, Above/Below/Near label."""
+    long = ev.select_model(Q.baseline_long(spark, sf), "moving_average_4w")
+    hist = sc.store_history(Q.panel(spark, sf))
+    out = sc.deviation_trend(long.join(hist, C.ENTITY, "left").withColumnRenamed("pred", "prediction"))
+    return out.select(C.ENTITY, C.TIME, "prediction", "store_avg", "diff_from_avg",
+                      F.round("pct_diff", 6).alias("pct_diff"), "trend")
+
+
+def scoring_model(spark, sf):
+    """Forest on the 16 request features (trained on training weeks)."""
+    key = ("scoring", sf, id(spark))
+    with _LOCK:
+        if key not in _CACHE:
+            p = Q.panel(spark, sf)
+            train = sc.request_features(sc.requests_from_panel(p, "1900-01-01")
+                                        .filter(F.to_date("date_str", "dd-MM-yyyy")
+                                                < F.lit(C.VALIDATION_START).cast("date")))
+            train = train.join(p.select(F.col(C.ENTITY), F.col(C.TIME).alias("date"), C.TARGET),
+                               [C.ENTITY, "date"])
+            _CACHE[key] = ml.fit("RandomForest", train, list(C.SCORING_FEATURES))
+        return _CACHE[key]
+
+
+@query("score_requests")
+def q_score_requests(spark, sf):
+    return sc.score_requests(_requests(spark, sf), Q.panel(spark, sf), scoring_model(spark, sf))
+
+
+@query("training_job")
+def q_training_job(spark, sf):
+    return training_job(spark, sf, tune=False, data=_ml_data(spark, sf),
+                        fitted=lambda name: _fitted(spark, sf, name))

@@ -441,6 +441,32 @@ def oracle_sql() -> dict[str, str]:
         FROM hol WHERE year(h) BETWEEN (SELECT year(min(Date)) FROM panel) AND (SELECT year(max(Date)) FROM panel)""")
     q["ensemble_gate"] = B(f"""SELECT model, WMAPE, WMAPE < {C.ENSEMBLE_MAX_WMAPE} AS eligible,
         WMAPE < {C.ENSEMBLE_MAX_WMAPE} AND (SELECT count(*) FROM bm WHERE WMAPE < {C.ENSEMBLE_MAX_WMAPE}) >= {C.ENSEMBLE_MIN_MODELS} AS blend FROM bm""", [METRICS_CTE])
+    q["read_predictions"] = B("SELECT Store, Date, actual, model, pred FROM bl")
+    q["read_metrics"] = B("UNPIVOT bm ON WMAPE, MAPE, SMAPE, MAE, RMSE, R2, Mean_Error, Median_AE "
+                          "INTO NAME metric VALUE value", [METRICS_CTE])
+    # 83 numeric feature columns (the documented feature count of the pipeline)
+    q["prepare_ml_data"] = _with(feature_ctes(True), f"SELECT split, count(*) AS n_rows, CAST(83 AS INTEGER) AS n_features "
+                                 f"FROM ({rounded_star('f5')}) z WHERE COLUMNS(*) IS NOT NULL GROUP BY split")
+    c12, c52 = repr(2 * math.pi / 12), repr(2 * math.pi / 52)
+    req = f"SELECT * FROM panel WHERE Date >= DATE '{VS}'"
+    q["request_features"] = P(f"""SELECT Date AS date, Store, Holiday_Flag, Temperature, Fuel_Price, CPI, Unemployment,
+        CAST(year(Date) AS INTEGER) AS year, CAST(month(Date) AS INTEGER) AS month,
+        CAST(weekofyear(Date) AS INTEGER) AS week_of_year, CAST(quarter(Date) AS INTEGER) AS quarter,
+        round(sin(month(Date) * {c12}), 6) AS month_sin, round(cos(month(Date) * {c12}), 6) AS month_cos,
+        round(sin(weekofyear(Date) * {c52}), 6) AS week_sin, round(cos(weekofyear(Date) * {c52}), 6) AS week_cos,
+        Temperature * Temperature AS temp_squared, CPI * Unemployment AS cpi_unemployment FROM ({req}) r""")
+    hist = ("sh", f"SELECT Store, {exact_mean('Weekly_Sales')} AS store_avg, max(Weekly_Sales) AS store_max, "
+                  "min(Weekly_Sales) AS store_min FROM panel GROUP BY Store")
+    q["request_history"] = P(f"""SELECT CAST(r.Store AS VARCHAR) AS store, strftime(r.Date, '%d-%m-%Y') AS date_str,
+        r.Temperature AS temperature, r.Fuel_Price AS fuel_price, r.CPI AS cpi, r.Unemployment AS unemployment,
+        r.Holiday_Flag = 1 AS is_holiday, r.Store, sh.store_avg, sh.store_max, sh.store_min
+        FROM ({req}) r LEFT JOIN sh USING (Store)""", [hist])
+    q["deviation_trend"] = B("""SELECT Store, Date, pred AS prediction, store_avg, pred - store_avg AS diff_from_avg,
+        round((pred - store_avg) / store_avg * 100, 6) AS pct_diff,
+        CASE WHEN (pred - store_avg) / store_avg * 100 > 10 THEN 'Above Average'
+             WHEN (pred - store_avg) / store_avg * 100 < -10 THEN 'Below Average'
+             WHEN (pred - store_avg) / store_avg * 100 IS NOT NULL THEN 'Near Average' END AS trend
+        FROM bl LEFT JOIN sh USING (Store) WHERE model = 'moving_average_4w'""", [hist])
     q["ensemble_weights"] = ensemble_sql(final_predict=False)
     q["ensemble_predict"] = ensemble_sql(final_predict=True)
     return q

@@ -7,6 +7,7 @@ money columns are exact (decimal sums), so they need no rounding.
 """
 from __future__ import annotations
 
+import threading
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -22,6 +23,7 @@ from ..operators import evaluation as ev
 from ..operators import forecast as fc
 from ..operators import history as hist
 from ..operators import panel as P
+from ..session import materialize
 from ..sources.star import build_panel
 from .features import engineer_features, engineer_features_split
 
@@ -50,8 +52,24 @@ def rounded(df: DataFrame, spec: dict[str, int] = ROUND_FEATURES) -> DataFrame:
                        for c in df.columns])
 
 
-def panel(spark: SparkSession, sf: str) -> DataFrame:
-    return build_panel(spark, sf)
+_PANELS: dict = {}
+_PANEL_LOCK = threading.Lock()
+
+
+def panel(spark: SparkSession, sf: str, grain: str = "nation") -> DataFrame:
+    """The weekly panel, materialized once per session and table set.
+
+    The panel is orders of magnitude smaller than the tables it is built from
+    and every query reads it (often several times: main branch, training
+    statistics, scalar subqueries). A reliable checkpoint in the shared
+    checkpoint folder runs the star join once and cuts the lineage, so a lost
+    executor never recomputes the join.
+    """
+    key = (id(spark), spark.sparkContext.applicationId, sf, grain)
+    with _PANEL_LOCK:
+        if key not in _PANELS:
+            _PANELS[key] = materialize(build_panel(spark, sf, grain))
+        return _PANELS[key]
 
 
 def featured(spark: SparkSession, sf: str) -> DataFrame:
@@ -87,7 +105,8 @@ def baseline_metrics(spark: SparkSession, sf: str) -> DataFrame:
 # ------------------------------------------------------------ sources / sinks
 @query("load_panel")
 def q_load_panel(spark, sf):
-    return panel(spark, sf)
+    # the source query itself always runs the full star join
+    return build_panel(spark, sf)
 
 
 @query("write_predictions")
