@@ -36,7 +36,8 @@ def seasonal_ar_forecast(panel: DataFrame, val_start: str = C.VALIDATION_START,
 
     z_t = y_t - y_{t-season}; phi = sum z_t z_{t-1} / sum z_{t-1}^2 over training
     rows; yhat(T+h) = y(T+h-season) + phi^h * z_T, with T the last training row.
-    Entities without enough history fall back to their training mean.
+    Without AR information the AR term is 0 (seasonal naive); rows without a
+    seasonal lag fall back to the entity's training mean.
     Output: entity, time, actual, pred.
     """
     w = series_window(entity, time)
@@ -53,8 +54,9 @@ def seasonal_ar_forecast(panel: DataFrame, val_start: str = C.VALIDATION_START,
     val = df.filter(F.col("split") == "validation")
     h = F.row_number().over(Window.partitionBy(entity).orderBy(time))
     val = val.withColumn("h", h).join(params, entity, "left")
-    ar = F.col("y_season") + F.pow(F.col("phi"), F.col("h")) * F.col("z_last")
-    pred = F.coalesce(ar, F.col("train_mean"))
+    # no AR information (e.g. a purely seasonal history: phi = 0/0) -> AR term 0
+    ar_term = F.coalesce(F.pow(F.col("phi"), F.col("h")) * F.col("z_last"), F.lit(0.0))
+    pred = F.coalesce(F.col("y_season") + ar_term, F.col("train_mean"))
     return val.select(entity, time, y.alias("actual"), pred.alias("pred"))
 
 

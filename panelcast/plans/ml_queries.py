@@ -149,14 +149,13 @@ def _requests(spark, sf) -> DataFrame:
 @query("request_features")
 def q_request_features(spark, sf):
     out = sc.request_features(_requests(spark, sf))
-    return Q.rounded(out.drop("store", "date_str", "temperature", "fuel_price", "cpi", "unemployment",
-                              "is_holiday"),
+    return Q.rounded(out.drop("store_id", "date_str"),
                      {c: 6 for c in ("month_sin", "month_cos", "week_sin", "week_cos")})
 
 
 @query("request_history")
 def q_request_history(spark, sf):
-    req = _requests(spark, sf).withColumn(C.ENTITY, F.col("store").cast("int"))
+    req = _requests(spark, sf).withColumn(C.ENTITY, F.col("store_id").cast("int"))
     return sc.request_history(req, Q.panel(spark, sf))
 
 

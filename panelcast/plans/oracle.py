@@ -322,7 +322,7 @@ def seasonal_ar_sql() -> str:
         ("va", f"SELECT *, row_number() OVER ({W}) AS h FROM a2 WHERE split = 'validation'"),
     ]
     return _with(ctes, """SELECT va.Store, va.Date, va.Weekly_Sales AS actual,
-                          round(COALESCE(va.y_season + pow(prm.phi, va.h) * prm.z_last, prm.train_mean), 2) AS pred
+                          round(COALESCE(va.y_season + COALESCE(pow(prm.phi, va.h) * prm.z_last, 0.0), prm.train_mean), 2) AS pred
                           FROM va LEFT JOIN prm USING (Store)""")
 
 
@@ -457,7 +457,7 @@ def oracle_sql() -> dict[str, str]:
         Temperature * Temperature AS temp_squared, CPI * Unemployment AS cpi_unemployment FROM ({req}) r""")
     hist = ("sh", f"SELECT Store, {exact_mean('Weekly_Sales')} AS store_avg, max(Weekly_Sales) AS store_max, "
                   "min(Weekly_Sales) AS store_min FROM panel GROUP BY Store")
-    q["request_history"] = P(f"""SELECT CAST(r.Store AS VARCHAR) AS store, strftime(r.Date, '%d-%m-%Y') AS date_str,
+    q["request_history"] = P(f"""SELECT CAST(r.Store AS VARCHAR) AS store_id, strftime(r.Date, '%d-%m-%Y') AS date_str,
         r.Temperature AS temperature, r.Fuel_Price AS fuel_price, r.CPI AS cpi, r.Unemployment AS unemployment,
         r.Holiday_Flag = 1 AS is_holiday, r.Store, sh.store_avg, sh.store_max, sh.store_min
         FROM ({req}) r LEFT JOIN sh USING (Store)""", [hist])

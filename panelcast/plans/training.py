@@ -36,10 +36,10 @@ def prepare_ml_data(panel: DataFrame, val_start: str = C.VALIDATION_START,
     ``leak_safe`` builds trend columns from the previous week (no column is a
     function of the current target); ``False`` reproduces the parity set."""
     feat = engineer_features_split(panel, val_start, leak_safe=leak_safe)
-    # Tree learners aggregate per partition: spread rows over every core/executor
-    # (AQE may have coalesced a small panel into one partition).
-    parallelism = panel.sparkSession.sparkContext.defaultParallelism
-    feat = materialize(feat.dropna(how="any").repartition(parallelism))
+    # Partitions stay sized by bytes (AQE coalescing): tree learners ship one set
+    # of node statistics per partition, so more, smaller partitions only add
+    # aggregation volume; large inputs still get one partition per ~64 MB.
+    feat = materialize(feat.dropna(how="any"))
     cols = feature_columns(feat)
     train = feat.filter(F.col("split") == "train")
     val = feat.filter(F.col("split") == "validation")

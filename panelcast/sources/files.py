@@ -30,7 +30,7 @@ def load_panel_csv(spark: SparkSession, path: str, strict: bool = True) -> DataF
     date (ANSI ``to_date``); otherwise the date becomes NULL."""
     raw = spark.read.schema(PANEL_CSV_SCHEMA).option("header", True).csv(path)
     parse = F.to_date if strict else F.try_to_date
-    return raw.withColumn(C.TIME, parse(F.col(C.TIME), F.lit(DATE_FORMAT)))
+    return raw.withColumn(C.TIME, parse(F.col(C.TIME), DATE_FORMAT))
 
 
 def write_panel_csv(df: DataFrame, path: str) -> None:

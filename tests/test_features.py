@@ -114,10 +114,9 @@ def test_feature_count(spark):
 
 
 def test_fill_missing_store_mean(spark):
-    p = make_panel(spark, [(1, "2010-01-01", 1.0, 0, None), (1, "2010-01-08", 2.0, 0, 40.0),
-                           (1, "2010-01-15", 3.0, 0, 60.0), (2, "2010-01-01", 5.0, 0, None)])
-    p = p.withColumn("Temperature", F.when(F.col("Temperature") == 60.0, 60.0)
-                     .when(F.col("Temperature") == 40.0, 40.0))
+    p = make_panel(spark, [(1, "2010-01-01", 1.0, 0, -999.0), (1, "2010-01-08", 2.0, 0, 40.0),
+                           (1, "2010-01-15", 3.0, 0, 60.0), (2, "2010-01-01", 5.0, 0, -999.0)])
+    p = p.withColumn("Temperature", F.when(F.col("Temperature") != -999.0, F.col("Temperature")))
     out = {(r["Store"], r["Date"].isoformat()): r["Temperature"]
            for r in P.fill_missing_store_mean(p).collect()}
     assert out[(1, "2010-01-01")] == pytest.approx(50.0)

@@ -59,7 +59,7 @@ def _requests(spark):
 
 
 def test_request_features(spark):
-    r = sc.request_features(_requests(spark)).orderBy("store").collect()
+    r = sc.request_features(_requests(spark)).orderBy("store_id").collect()
     assert r[0]["year"] == 2010 and r[0]["month"] == 10 and r[0]["week_of_year"] == 41
     assert r[0]["quarter"] == 4 and r[0]["temp_squared"] == 3600.0 and r[0]["cpi_unemployment"] == 1680.0
     assert r[1]["date"] is None
@@ -67,7 +67,7 @@ def test_request_features(spark):
 
 def test_score_requests_statuses(spark):
     panel = weekly_panel(spark, 2, 10)
-    no_model = {r["store"]: r for r in sc.score_requests(_requests(spark), panel).collect()}
+    no_model = {r["store_id"]: r for r in sc.score_requests(_requests(spark), panel).collect()}
     assert no_model["1"]["status"] == sc.NO_MODEL
     assert no_model["2"]["status"] == sc.INVALID_DATE
     assert no_model["1"]["holiday_week"] == "Yes" and no_model["2"]["holiday_week"] == "No"
@@ -81,7 +81,7 @@ def test_score_requests_with_model(spark):
     train = sc.request_features(req).join(
         panel.select("Store", F.col("Date").alias("date"), "Weekly_Sales"), ["Store", "date"])
     model = ml.fit("RandomForest", train, list(C.SCORING_FEATURES), {"n_estimators": 5, "max_depth": 3})
-    out = {r["store"]: r for r in sc.score_requests(_requests(spark), panel, model).collect()}
+    out = {r["store_id"]: r for r in sc.score_requests(_requests(spark), panel, model).collect()}
     assert out["1"]["status"] == "ok" and out["1"]["prediction"] > 0
     assert out["1"]["trend"] in ("Above Average", "Below Average", "Near Average")
     assert out["2"]["status"] == sc.INVALID_DATE and out["2"]["prediction"] is None
