@@ -31,16 +31,22 @@ def seasonality(df: DataFrame, time: str = C.TIME, target: str = C.TARGET) -> Da
             .agg(exact_mean(target).alias(target)).orderBy("Month"))
 
 
-def holiday_box(df: DataFrame, target: str = C.TARGET, digits: int = 6) -> DataFrame:
-    """Box statistics per Holiday label: min, q1, median, q3, max, whiskers
-    (1.5 IQR, clipped to the data), count. Quantiles are exact, linearly
-    interpolated."""
+def quantile(col, q: float, exact: bool = True, accuracy: int = 100_000):
+    """Exact linearly interpolated quantile (keeps a value->count map per group),
+    or a bounded-memory sketch (``percentile_approx``) for very large groups."""
+    return F.percentile(col, q) if exact else F.percentile_approx(col, q, accuracy)
+
+
+def holiday_box(df: DataFrame, target: str = C.TARGET, digits: int = 6,
+                exact: bool = True) -> DataFrame:
+    """Box statistics per Holiday label: min, q1, median, q3, max, count.
+    Quantiles are exact and linearly interpolated unless ``exact=False``."""
     y = F.col(target)
     stats = holiday_label(df).groupBy("Holiday").agg(
         F.min(y).alias("min"),
-        F.round(F.percentile(y, 0.25), digits).alias("q1"),
-        F.round(F.median(y), digits).alias("median"),
-        F.round(F.percentile(y, 0.75), digits).alias("q3"),
+        F.round(quantile(y, 0.25, exact), digits).alias("q1"),
+        F.round(quantile(y, 0.5, exact), digits).alias("median"),
+        F.round(quantile(y, 0.75, exact), digits).alias("q3"),
         F.max(y).alias("max"),
         F.count(y).alias("count"))
     return stats

@@ -7,8 +7,8 @@
 * ``trend_seasonal_forecast``: per-entity regression of log(y) on trend, yearly
   Fourier terms, holiday indicators and regressors, one ``applyInPandas`` group
   per entity (the only Python step; each group is one series).
-* Ensemble weights: WMAPE over a simplex grid evaluated in one aggregation pass
-  (one sum per grid point, no row explosion), coarse then fine.
+* Ensemble weights: WMAPE over a simplex grid (a literal array of candidates,
+  evaluated per row and partial-aggregated per candidate), coarse then fine.
 """
 from __future__ import annotations
 
@@ -169,19 +169,30 @@ def fine_grid(best: tuple[int, ...], radius: int, scale: int) -> list[tuple[int,
 
 
 def _grid_argmin(wide: DataFrame, cols: list[str], grid: list[tuple[int, ...]], scale: int):
-    """Sum of |actual - blend| for every grid point in ONE aggregation; returns the
-    (error, weights) of the lexicographically smallest (error, weights)."""
+    """Sum of |actual - blend| for every grid point; returns the weights of the
+    lexicographically smallest (error, weights).
+
+    The candidate weights are one literal array (plan size independent of the
+    grid); each row evaluates all candidates with one ``transform`` and the
+    per-candidate sums are partial-aggregated in the same stage, so only
+    (#partitions x #candidates) rows are shuffled. Grid order is lexicographic
+    in the weights, so the candidate index breaks ties like the weights do.
+    """
+    # one array<array<double>> literal node, whatever the grid size
+    cands = F.lit([[wi / scale for wi in g] for g in grid])
     a = F.col("actual")
-    sums = []
-    for g in grid:
+
+    def err(g):
         blend = None
-        for wi, c in zip(g, cols):
-            term = F.lit(wi / scale) * F.col(c)
+        for j, c in enumerate(cols):
+            term = g[j] * F.col(c)
             blend = term if blend is None else blend + term
-        sums.append(F.struct(F.sum(F.abs(a - blend)).alias("err"),
-                             *[F.lit(wi).alias(f"w{i}") for i, wi in enumerate(g)]))
-    row = wide.agg(F.array_min(F.array(*sums)).alias("best")).first()["best"]
-    return row["err"], tuple(row[f"w{i}"] for i in range(len(cols)))
+        return F.abs(a - blend)
+
+    per_row = wide.select(F.posexplode(F.transform(cands, err)).alias("cand", "err"))
+    best = (per_row.groupBy("cand").agg(F.sum("err").alias("err"))
+            .orderBy("err", "cand").first())
+    return best["err"], grid[best["cand"]]
 
 
 def ensemble_weights(wide: DataFrame, models: list[str], coarse: int = 10, fine: int = 100,

@@ -334,6 +334,7 @@ def oracle_sql() -> dict[str, str]:
     q["panel_order"] = P("SELECT * FROM panel ORDER BY Store, Date")
     q["write_predictions"] = B("SELECT Store, Date, Weekly_Sales, " + ", ".join(f"{m}_Pred" for m in MODELS) + " FROM bw")
     q["time_split"] = P(f"SELECT {SPLIT}, count(*) AS n_rows, min(Date) AS date_min, max(Date) AS date_max FROM panel GROUP BY 1")
+    q["store_list"] = P("SELECT DISTINCT Store FROM panel ORDER BY Store")
     q["store_slice"] = P("SELECT * FROM panel WHERE Store = 1")
     q["series_frame"] = P("SELECT Store, Date AS ds, Weekly_Sales AS y, Temperature, Fuel_Price, CPI, Unemployment, Holiday_Flag FROM panel")
     q["drop_missing"] = _with(feature_ctes(True), f"SELECT * FROM ({rounded_star('f5')}) z WHERE COLUMNS(*) IS NOT NULL")

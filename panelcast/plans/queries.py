@@ -121,6 +121,11 @@ def q_time_split(spark, sf):
     return P.split_report(panel(spark, sf))
 
 
+@query("store_list")
+def q_store_list(spark, sf):
+    return P.store_list(panel(spark, sf))
+
+
 @query("store_slice")
 def q_store_slice(spark, sf):
     return P.store_slice(panel(spark, sf), 1)
