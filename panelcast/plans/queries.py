@@ -105,8 +105,8 @@ def baseline_metrics(spark: SparkSession, sf: str) -> DataFrame:
 # ------------------------------------------------------------ sources / sinks
 @query("load_panel")
 def q_load_panel(spark, sf):
-    # the source query itself always runs the full star join
-    return build_panel(spark, sf)
+    # first use runs the star join and writes the panel to the checkpoint folder
+    return panel(spark, sf)
 
 
 @query("write_predictions")

@@ -17,9 +17,11 @@ lookup is joined on the customer key (AQE may broadcast it when its runtime size
 is small, and splits skewed partitions otherwise); the final (nation, week)
 aggregation again runs partial-then-final.
 
-Money and average columns are summed as exact decimals (the inputs carry two
-decimals), then cast once to double: results do not depend on partitioning or
-summation order.
+Money and average columns are summed exactly as scaled integers (the inputs
+carry two decimals: cents, and 1e-4 units for price x (1 - discount)), then
+converted to double once. Long arithmetic keeps the hot aggregation in
+whole-stage codegen (no BigDecimal buffers), overflow raises under ANSI, and
+results do not depend on partitioning or summation order.
 """
 from __future__ import annotations
 
@@ -33,8 +35,9 @@ from ..functions.dates import week_ending_friday
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem",
           "events", "documents", "embeddings", "pages", "benchmark", "labels", "conversations")
 
-MONEY = "decimal(18,2)"
-SUM_MONEY = "decimal(18,4)"
+def cents(c):
+    """Two-decimal value as an exact integer number of hundredths."""
+    return F.round(c * 100).cast("long")
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -44,12 +47,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def order_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Per-order partial sums of the line items (one row per order key)."""
     li = table(spark, sf_dir, "lineitem")
-    price = F.col("l_extendedprice").cast(MONEY)
-    disc = F.col("l_discount").cast(MONEY)
+    price = cents(F.col("l_extendedprice"))
+    disc = cents(F.col("l_discount"))
     return (li.groupBy(F.col("l_orderkey").alias("orderkey"))
-            .agg(F.sum((price * (F.lit(1) - disc)).cast(SUM_MONEY)).alias("rev"),
-                 F.sum(F.col("l_quantity").cast(MONEY)).alias("qty"),
-                 F.sum(F.col("l_tax").cast(MONEY)).alias("tax"),
+            .agg(F.sum(price * (F.lit(100) - disc)).alias("rev"),      # 1e-4 units
+                 F.sum(cents(F.col("l_quantity"))).alias("qty"),       # cents
+                 F.sum(cents(F.col("l_tax"))).alias("tax"),
                  F.sum(price).alias("price"),
                  F.sum(disc).alias("disc"),
                  F.count(F.lit(1)).alias("n_lines")))
@@ -84,14 +87,18 @@ def build_panel(spark: SparkSession, sf_dir: str, grain: str = "nation",
                 F.sum("price").alias("price"), F.sum("disc").alias("disc"),
                 F.sum("n_lines").alias("n")))
     n = F.col("n").cast("double")
+
+    def money(c, scale):
+        return F.col(c).cast("double") / scale
+
     return agg.select(
         F.col(C.ENTITY), F.col(C.TIME),
-        F.col("rev").cast("double").alias(C.TARGET),
+        money("rev", 10000.0).alias(C.TARGET),
         any_holiday(F.col(C.TIME), calendar).alias(C.HOLIDAY_FLAG),
-        (F.col("qty").cast("double") / n).alias("Temperature"),
-        (F.col("tax").cast("double") / n).alias("Fuel_Price"),
-        (F.col("price").cast("double") / n).alias("CPI"),
-        (F.col("disc").cast("double") / n).alias("Unemployment"))
+        (money("qty", 100.0) / n).alias("Temperature"),
+        (money("tax", 100.0) / n).alias("Fuel_Price"),
+        (money("price", 100.0) / n).alias("CPI"),
+        (money("disc", 100.0) / n).alias("Unemployment"))
 
 
 def panel_sql(grain: str = "nation") -> str:
