@@ -14,9 +14,11 @@ from .history import economic_changes
 
 
 def train_scalars(train: DataFrame) -> dict[str, Column]:
-    return {"temp_mean": train.select(F.avg("Temperature")).scalar(),
-            "temp_std": train.select(F.stddev_samp("Temperature")).scalar(),
-            "unemp_mean": train.select(F.avg("Unemployment")).scalar()}
+    """The three training statistics from ONE scalar subquery (one pass)."""
+    stats = train.select(F.struct(F.avg("Temperature").alias("temp_mean"),
+                                  F.stddev_samp("Temperature").alias("temp_std"),
+                                  F.avg("Unemployment").alias("unemp_mean"))).scalar()
+    return {k: stats.getField(k) for k in ("temp_mean", "temp_std", "unemp_mean")}
 
 
 def train_stat_scalars(df: DataFrame, train: DataFrame | None = None) -> DataFrame:
