@@ -29,35 +29,52 @@ def store_stats(train: DataFrame, entity: str = C.ENTITY, target: str = C.TARGET
                                                      F.col("store_mean_sales")))
 
 
-def average_rank(value: str, ascending: bool) -> tuple[Column, Column]:
-    """(average rank, group size) of ``value`` over the whole (per-entity) table.
-
-    Ties get the mean of the positions they occupy: rank + (ties - 1) / 2.
-    The window is unpartitioned and therefore only ever applied to the
-    per-entity statistics table, one row per entity.
+def average_rank(df: DataFrame, value: str, ascending: bool, name: str,
+                 partitions: int | None = None) -> DataFrame:
+    """Adds ``name`` = average rank of ``value`` over the whole frame (ties get
+    the mean of the positions they occupy), computed without funnelling the
+    frame through one task:
+
+    1. count rows per distinct value (partial aggregation);
+    2. range-partition the distinct values in rank order and take running
+       counts inside each partition (a window partitioned by partition id);
+    3. add each partition's offset, from a table with one row per partition;
+    4. join the rank back on the value.
     """
+    spark = df.sparkSession
+    n_parts = partitions or spark.sparkContext.defaultParallelism
     order = F.col(value).asc() if ascending else F.col(value).desc()
-    w = Window.orderBy(order)
-    ties = F.count(F.lit(1)).over(Window.partitionBy(value))
-    return F.rank().over(w) + (ties - 1) / 2.0, F.count(F.lit(1)).over(Window.partitionBy())
+    counts = df.groupBy(value).agg(F.count(F.lit(1)).alias("_c"))
+    ranged = (counts.repartitionByRange(n_parts, order)
+              .withColumn("_pid", F.spark_partition_id()))
+    before = Window.partitionBy("_pid").orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
+    ranged = ranged.withColumn("_before", F.coalesce(F.sum("_c").over(before), F.lit(0)))
+    totals = ranged.groupBy("_pid").agg(F.sum("_c").alias("_t"))
+    offsets = totals.withColumn(   # one row per range partition
+        "_off", F.coalesce(F.sum("_t").over(Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)),
+                           F.lit(0)))
+    ranks = (ranged.join(F.broadcast(offsets.select("_pid", "_off")), "_pid")
+             .select(value, (F.col("_off") + F.col("_before") + (F.col("_c") + 1) / 2.0).alias(name)))
+    return df.join(ranks, value, "left")
 
 
 def store_rank(stats: DataFrame) -> DataFrame:
-    """store_rank (descending average rank), store_percentile (ascending average rank / N)."""
-    desc_rank, _ = average_rank("store_mean_sales", ascending=False)
-    asc_rank, n = average_rank("store_mean_sales", ascending=True)
-    return stats.withColumns({"store_rank": desc_rank.cast("double"),
-                              "store_percentile": (asc_rank / n).cast("double")})
+    """store_rank (descending average rank), store_percentile (ascending average
+    rank / N). One distributed ranking: descending average rank = N + 1 -
+    ascending average rank (exact, ties included)."""
+    n = stats.select(F.count(F.lit(1))).scalar()
+    out = average_rank(stats, "store_mean_sales", ascending=True, name="_asc_rank")
+    return (out.withColumn("store_rank", (n + 1 - F.col("_asc_rank")).cast("double"))
+            .withColumn("store_percentile", (F.col("_asc_rank") / n).cast("double"))
+            .drop("_asc_rank"))
 
 
 def store_size_bins(stats: DataFrame, labels=C.STORE_SIZE_LABELS) -> DataFrame:
     """Three equal-width, right-closed bins of store_mean_sales over [min, max];
-    all-equal means fall in the middle bin."""
+    all-equal means fall in the middle bin. min/max come from one scalar subquery."""
     m = F.col("store_mean_sales")
-    # whole-table min/max over the per-entity table (one row per entity)
-    everything = Window.partitionBy()
-    lo = F.min(m).over(everything)
-    hi = F.max(m).over(everything)
+    bounds = stats.select(F.struct(F.min(m).alias("lo"), F.max(m).alias("hi"))).scalar()
+    lo, hi = bounds.getField("lo"), bounds.getField("hi")
     step = (hi - lo) / 3.0
     size = (F.when(m.isNull(), F.lit(None))
             .when(hi == lo, F.lit(labels[1]))
@@ -69,7 +86,7 @@ def store_size_bins(stats: DataFrame, labels=C.STORE_SIZE_LABELS) -> DataFrame:
 
 def store_table(train: DataFrame, entity: str = C.ENTITY, target: str = C.TARGET) -> DataFrame:
     """Full per-entity table in the output order of the reference features."""
-    t = store_size_bins(store_rank(store_stats(train, entity, target)))
+    t = store_rank(store_size_bins(store_stats(train, entity, target)))
     return t.select(entity, "store_mean_sales", "store_std_sales", "store_min_sales",
                     "store_max_sales", "store_median_sales", "store_rank", "store_percentile",
                     "store_cv", "store_size")

@@ -61,11 +61,13 @@ def engineer_features_split(full: DataFrame, val_start: str = C.VALIDATION_START
     (each entity's first validation row has NULL changes); ``'full'`` computes
     them on the whole series.
     """
+    # statistics read the training rows of the input panel directly (same values
+    # as the featured rows, without re-running the feature windows)
+    train = full.filter(F.col(C.TIME) < F.lit(val_start).cast("date"))
     out = row_features(full, calendar=calendar)
     out = history_features(out, include_lag, include_rolling, leak_safe)
     out = cf.interaction_features(out)
     out = with_split(out, val_start)
-    train = out.filter(F.col("split") == "train")
     out = out.join(ent.store_table(train), C.ENTITY, "left")
     keys = ["split", C.ENTITY] if diff_scope == "split" else C.ENTITY
     return eco.economic_features(out, train, series_keys=keys)
