@@ -55,8 +55,11 @@ def mean_error(actual, pred) -> Column:
     return F.avg(_c(pred) - _c(actual))
 
 
-def median_ae(actual, pred) -> Column:
-    return F.median(F.abs(_c(actual) - _c(pred)))
+def median_ae(actual, pred, exact: bool = True) -> Column:
+    """Exact interpolated median (value->count map per group) or, for very large
+    groups, a bounded-memory sketch (``exact=False``)."""
+    err = F.abs(_c(actual) - _c(pred))
+    return F.median(err) if exact else F.percentile_approx(err, 0.5, 100_000)
 
 
 METRIC_NAMES = ("WMAPE", "MAPE", "SMAPE", "MAE", "RMSE", "R2", "Mean_Error", "Median_AE")
@@ -66,11 +69,13 @@ _BUILDERS = {"WMAPE": wmape, "MAPE": mape, "SMAPE": smape, "MAE": mae, "RMSE": r
              "R2": r2, "Mean_Error": mean_error, "Median_AE": median_ae}
 
 
-def all_metric_columns(actual="actual", pred="pred", digits: int | None = 6) -> list[Column]:
+def all_metric_columns(actual="actual", pred="pred", digits: int | None = 6,
+                       exact: bool = True) -> list[Column]:
     """The eight metrics, aliased, optionally rounded (R2 keeps 2 extra digits)."""
     out = []
     for name in METRIC_NAMES:
-        col = _BUILDERS[name](actual, pred)
+        col = (median_ae(actual, pred, exact) if name == "Median_AE"
+               else _BUILDERS[name](actual, pred))
         if digits is not None:
             col = F.round(col, digits + 2 if name == "R2" else digits)
         out.append(col.alias(name))

@@ -61,8 +61,11 @@ def rolling_columns(target: str, w, windows=C.ROLLING_WINDOWS, exact: bool = Tru
 
 
 def ewma_horizon(span: int, tol: float = 1e-17) -> int:
-    """Rows after which the EWMA weight (1-a)^K falls below ``tol`` (relative),
-    i.e. below double precision: truncating there does not change the result."""
+    """Rows after which the EWMA weight (1-a)^K falls below ``tol`` relative to
+    the weight sum, i.e. below half an ulp of a double (2^-53 ~ 1.1e-16): the
+    older rows cannot change the double result, so the frame [-K, -1] computes
+    the unbounded EWMA exactly in double arithmetic (K = 77 / 156 / 234 for
+    spans 4 / 8 / 12) at O(K) per row."""
     decay = 1.0 - 2.0 / (span + 1.0)
     return int(math.ceil(math.log(tol) / math.log(decay)))
 

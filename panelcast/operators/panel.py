@@ -42,10 +42,13 @@ def validate_panel(df: DataFrame, entity: str = C.ENTITY, time: str = C.TIME,
 
 
 def panel_summary(df: DataFrame, entity: str = C.ENTITY, time: str = C.TIME,
-                  target: str = C.TARGET, flag: str = C.HOLIDAY_FLAG) -> DataFrame:
+                  target: str = C.TARGET, flag: str = C.HOLIDAY_FLAG,
+                  exact: bool = True) -> DataFrame:
     """One row: shape, date range, weeks, stores, target mean/std/min/max/median,
     holiday weeks count and percentage. The (unbounded) list of entities is a
-    separate query (``store_list``), never packed into one row."""
+    separate query (``store_list``), never packed into one row. ``exact=False``
+    computes the median with a bounded-memory sketch instead of an exact
+    value->count map (one group = the whole panel)."""
     y = F.col(target)
     return df.agg(
         F.count(F.lit(1)).alias("n_rows"),
@@ -56,7 +59,7 @@ def panel_summary(df: DataFrame, entity: str = C.ENTITY, time: str = C.TIME,
         exact_mean(y).alias("sales_mean"),
         F.round(F.stddev_samp(y), 2).alias("sales_std"),
         F.min(y).alias("sales_min"), F.max(y).alias("sales_max"),
-        F.median(y).alias("sales_median"),
+        (F.median(y) if exact else F.percentile_approx(y, 0.5, 100_000)).alias("sales_median"),
         F.sum(flag).cast("long").alias("holiday_count"),
         F.round(F.avg(flag) * 100, 6).alias("holiday_pct"))
 
