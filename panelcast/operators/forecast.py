@@ -192,6 +192,8 @@ def _grid_argmin(wide: DataFrame, cols: list[str], grid: list[tuple[int, ...]],
     per_row = wide.select(F.posexplode(F.transform(cands, err)).alias("cand", "err"))
     best = (per_row.groupBy("cand").agg(F.sum("err").alias("err"))
             .orderBy("err", "cand").first())
+    if best is None:          # no rows to fit on: keep the first grid point
+        return None, grid[0]
     return best["err"], grid[best["cand"]]
 
 

@@ -77,3 +77,9 @@ def test_trend_seasonal_forecast(spark):
     out = fc.trend_seasonal_forecast(p, "2012-01-01").toPandas()
     assert len(out) == p.filter(F.col("Date") >= "2012-01-01").count()
     assert (out["pred"] > 0).all()
+
+
+def test_weights_on_empty_input(spark):
+    wide, names = _wide(spark, [], {"a": [], "b": []})
+    w = {r["model"]: r["weight"] for r in fc.ensemble_weights(wide, names).collect()}
+    assert sum(w.values()) == pytest.approx(1.0)
