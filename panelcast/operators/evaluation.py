@@ -127,6 +127,14 @@ def history_table(long: DataFrame, time: str = C.TIME, digits: int = 6) -> DataF
         F.round(F.try_divide(F.col("abs_err"), F.col("act")) * 100, digits).alias("val_WMAPE"))
 
 
+def append_history(entries: DataFrame, path: str) -> DataFrame:
+    """Append history entries (model, epoch, train_*/val_* metrics) to the
+    history table at ``path`` (parquet, append mode) and read the whole table
+    back. Each run adds its rows as new files; nothing is rewritten."""
+    entries.write.mode("append").parquet(path)
+    return entries.sparkSession.read.parquet(path)
+
+
 def best_epoch(history: DataFrame, metric: str = "val_WMAPE") -> DataFrame:
     """Epoch with the lowest metric per model (-1 when the metric is missing)."""
     if metric not in history.columns:

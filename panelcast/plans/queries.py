@@ -444,7 +444,13 @@ def q_union(spark, sf):
 
 @query("append_history")
 def q_history(spark, sf):
-    return ev.history_table(baseline_long(spark, sf))
+    """Backtest history appended to a history table in the checkpoint folder,
+    then read back."""
+    import os
+    import uuid
+    from ..session import checkpoint_dir
+    path = os.path.join(checkpoint_dir(spark), f"history-{uuid.uuid4().hex[:10]}")
+    return ev.append_history(ev.history_table(baseline_long(spark, sf)), path)
 
 
 # ---------------------------------------------------------- pipelines / models

@@ -118,3 +118,12 @@ def test_history_table(spark):
     assert [r["val_WMAPE"] for r in h] == [10.0, 10.0, 0.0]
     assert h[0]["train_WMAPE"] is None and h[2]["train_WMAPE"] == pytest.approx(10.0)
     assert ev.best_epoch(ev.history_table(long)).first()["best_epoch"] == 2
+
+
+def test_append_history_accumulates(spark, tmp_dir):
+    rows = [("m", 0, None, 12.0), ("m", 1, 12.0, 10.0)]
+    h = spark.createDataFrame(rows, "model string, epoch int, train_WMAPE double, val_WMAPE double")
+    ev.append_history(h, f"{tmp_dir}/hist")
+    both = ev.append_history(h.withColumn("model", F.lit("n")), f"{tmp_dir}/hist")
+    assert both.count() == 4
+    assert {r["model"]: r["best_epoch"] for r in ev.best_epoch(both).collect()} == {"m": 1, "n": 1}
