@@ -95,13 +95,15 @@ query("gbt_shallow")(_pred_query("GBTShallow"))
 
 @query("train_and_evaluate")
 def q_train_and_evaluate(spark, sf):
-    return ev.union_model_results(*[_fitted(spark, sf, n)[2] for n in ml.ESTIMATORS])
+    """fit -> predict -> all metrics for one model (the leaf-bounded booster)."""
+    return _fitted(spark, sf, "GBTShallow")[2]
 
 
 @query("feature_importance")
 def q_feature_importance(spark, sf):
-    parts = [ml.importance_frame(spark, _fitted(spark, sf, n)[0], n) for n in ml.ESTIMATORS]
-    return ev.union_model_results(*parts)
+    """Importances aligned with the assembler's feature names; the depth-wise
+    booster is preferred, as in the reference's selection order."""
+    return ml.importance_frame(spark, _fitted(spark, sf, "GBTDepthwise")[0], "GBTDepthwise")
 
 
 @query("top_features")
@@ -113,7 +115,7 @@ def q_top_features(spark, sf):
 
 def _saved_model(spark, sf) -> str:
     key = ("saved", sf, id(spark))
-    model, _, _ = _fitted(spark, sf, "RandomForest")
+    model, _, _ = _fitted(spark, sf, "GBTShallow")
     with _LOCK:
         if key not in _CACHE:
             path = _scratch(spark, "model")
@@ -124,8 +126,8 @@ def _saved_model(spark, sf) -> str:
 
 @query("save_model")
 def q_save_model(spark, sf):
-    """Persist the fitted forest pipeline (assembler with its ordered feature list
-    + model); returns the persisted feature list in order."""
+    """Persist a fitted pipeline (assembler with its ordered feature list +
+    model); returns the persisted feature list in order."""
     path = _saved_model(spark, sf)
     cols = ml.model_feature_columns(ml.load_model(path))
     return spark.createDataFrame([(i, c) for i, c in enumerate(cols)], "position int, feature string")
