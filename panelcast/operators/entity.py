@@ -58,12 +58,31 @@ def average_rank(df: DataFrame, value: str, ascending: bool, name: str,
     return df.join(ranks, value, "left")
 
 
-def store_rank(stats: DataFrame) -> DataFrame:
+# Largest per-entity table ranked inside one task (a sort of this many small
+# rows is cheap); beyond it the rank is computed distributed.
+SINGLE_TASK_RANK_MAX = 2_000_000
+
+
+def window_average_rank(df: DataFrame, value: str, name: str) -> DataFrame:
+    """Ascending average rank with one whole-table window (one task): only for
+    tables whose size was checked against ``SINGLE_TASK_RANK_MAX``."""
+    ties = F.count(F.lit(1)).over(Window.partitionBy(value))
+    rank = F.rank().over(Window.orderBy(F.col(value).asc()))
+    return df.withColumn(name, rank + (ties - 1) / 2.0)
+
+
+def store_rank(stats: DataFrame, single_task_max: int = SINGLE_TASK_RANK_MAX) -> DataFrame:
     """store_rank (descending average rank), store_percentile (ascending average
-    rank / N). One distributed ranking: descending average rank = N + 1 -
-    ascending average rank (exact, ties included)."""
+    rank / N). One ranking: descending average rank = N + 1 - ascending average
+    rank (exact, ties included). The per-entity table is counted first (a small
+    aggregate job); a table within ``single_task_max`` rows is ranked with one
+    window, a larger one with the distributed ``average_rank``."""
     n = stats.select(F.count(F.lit(1))).scalar()
-    out = average_rank(stats, "store_mean_sales", ascending=True, name="_asc_rank")
+    n_rows = stats.count()
+    if n_rows <= single_task_max:
+        out = window_average_rank(stats, "store_mean_sales", "_asc_rank")
+    else:
+        out = average_rank(stats, "store_mean_sales", ascending=True, name="_asc_rank")
     return (out.withColumn("store_rank", (n + 1 - F.col("_asc_rank")).cast("double"))
             .withColumn("store_percentile", (F.col("_asc_rank") / n).cast("double"))
             .drop("_asc_rank"))

@@ -136,3 +136,17 @@ def test_time_split_disjoint_and_complete(spark):
     tr, va = P.time_split(p, "2010-06-01")
     assert tr.count() + va.count() == p.count()
     assert tr.join(va, ["Store", "Date"]).count() == 0
+
+
+def test_distributed_rank_equals_window_rank(spark):
+    import random
+    rnd = random.Random(3)
+    vals = [(i, float(rnd.choice([1, 2, 3, 5, 8, 8, 13]))) for i in range(200)]
+    stats = spark.createDataFrame(vals, "Store int, store_mean_sales double")
+    a = {r["Store"]: (r["store_rank"], r["store_percentile"]) for r in ent.store_rank(stats).collect()}
+    b = {r["Store"]: (r["store_rank"], r["store_percentile"])
+         for r in ent.store_rank(stats, single_task_max=0).collect()}
+    assert a == b
+    pdf = pd.DataFrame(vals, columns=["Store", "m"])
+    exp = dict(zip(pdf["Store"], pdf["m"].rank(ascending=False)))
+    assert all(a[k][0] == exp[k] for k in exp)
