@@ -113,3 +113,31 @@ def training_job(spark: SparkSession, sf_dir: str, out_dir: str | None = None,
 
 
 __all__ = ["prepare_ml_data", "train_and_evaluate", "training_job", "tuning_split", "with_split"]
+
+
+def main(argv=None) -> None:
+    """spark-submit entry point:
+    ``spark-submit panelcast/plans/training.py --sf-dir DIR [--out DIR] [--tune] [--skip-ts]``."""
+    import argparse
+
+    from ..session import build_session
+    ap = argparse.ArgumentParser(description="Train, blend and evaluate the weekly-panel models")
+    ap.add_argument("--sf-dir", required=True, help="folder with the star-schema parquet tables")
+    ap.add_argument("--out", default=None, help="output folder (default: under spark.checkpoint.dir)")
+    ap.add_argument("--tune", action="store_true", help="random search before each tree model")
+    ap.add_argument("--skip-ts", action="store_true", help="skip the per-series forecasters")
+    ap.add_argument("--parity-features", action="store_true",
+                    help="use the parity feature set (trend columns from the current target)")
+    args = ap.parse_args(argv)
+    spark = build_session()
+    metrics = training_job(spark, args.sf_dir, args.out, tune=args.tune,
+                           skip_time_series=args.skip_ts, leak_safe=not args.parity_features)
+    metrics.orderBy("WMAPE").show(truncate=False)
+
+
+if __name__ == "__main__":
+    import sys as _sys
+    _pkg_root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+    _sys.path.insert(0, _pkg_root)
+    from panelcast.plans.training import main as _main
+    _main()
