@@ -71,29 +71,36 @@ def window_average_rank(df: DataFrame, value: str, name: str) -> DataFrame:
     return df.withColumn(name, rank + (ties - 1) / 2.0)
 
 
-def store_rank(stats: DataFrame, single_task_max: int = SINGLE_TASK_RANK_MAX) -> DataFrame:
+def store_rank(stats: DataFrame, single_task_max: int = SINGLE_TASK_RANK_MAX,
+               n_rows: int | None = None) -> DataFrame:
     """store_rank (descending average rank), store_percentile (ascending average
     rank / N). One ranking: descending average rank = N + 1 - ascending average
     rank (exact, ties included). The per-entity table is counted first (a small
-    aggregate job); a table within ``single_task_max`` rows is ranked with one
-    window, a larger one with the distributed ``average_rank``."""
-    n = stats.select(F.count(F.lit(1))).scalar()
-    n_rows = stats.count()
+    aggregate job, or ``n_rows`` when the caller already has it); a table within
+    ``single_task_max`` rows is ranked with one window, a larger one with the
+    distributed ``average_rank``."""
+    n_rows = stats.count() if n_rows is None else n_rows
     if n_rows <= single_task_max:
         out = window_average_rank(stats, "store_mean_sales", "_asc_rank")
     else:
         out = average_rank(stats, "store_mean_sales", ascending=True, name="_asc_rank")
+    n = F.lit(n_rows)
     return (out.withColumn("store_rank", (n + 1 - F.col("_asc_rank")).cast("double"))
             .withColumn("store_percentile", (F.col("_asc_rank") / n).cast("double"))
             .drop("_asc_rank"))
 
 
-def store_size_bins(stats: DataFrame, labels=C.STORE_SIZE_LABELS) -> DataFrame:
+def store_size_bins(stats: DataFrame, labels=C.STORE_SIZE_LABELS,
+                    bounds: tuple[float, float] | None = None) -> DataFrame:
     """Three equal-width, right-closed bins of store_mean_sales over [min, max];
-    all-equal means fall in the middle bin. min/max come from one scalar subquery."""
+    all-equal means fall in the middle bin. min/max are given by the caller or
+    come from one scalar subquery."""
     m = F.col("store_mean_sales")
-    bounds = stats.select(F.struct(F.min(m).alias("lo"), F.max(m).alias("hi"))).scalar()
-    lo, hi = bounds.getField("lo"), bounds.getField("hi")
+    if bounds is None:
+        b = stats.select(F.struct(F.min(m).alias("lo"), F.max(m).alias("hi"))).scalar()
+        lo, hi = b.getField("lo"), b.getField("hi")
+    else:
+        lo, hi = F.lit(bounds[0]).cast("double"), F.lit(bounds[1]).cast("double")
     step = (hi - lo) / 3.0
     size = (F.when(m.isNull(), F.lit(None))
             .when(hi == lo, F.lit(labels[1]))
@@ -105,7 +112,13 @@ def store_size_bins(stats: DataFrame, labels=C.STORE_SIZE_LABELS) -> DataFrame:
 
 def store_table(train: DataFrame, entity: str = C.ENTITY, target: str = C.TARGET) -> DataFrame:
     """Full per-entity table in the output order of the reference features."""
-    t = store_rank(store_size_bins(store_stats(train, entity, target)))
+    stats = store_stats(train, entity, target)
+    # one small job over the per-entity table: its size (rank strategy, N) and
+    # the bin bounds, used below as literals
+    prof = stats.agg(F.count(F.lit(1)).alias("n"), F.min("store_mean_sales").alias("lo"),
+                     F.max("store_mean_sales").alias("hi")).first()
+    bounds = None if prof["n"] == 0 else (prof["lo"], prof["hi"])
+    t = store_rank(store_size_bins(stats, bounds=bounds), n_rows=prof["n"])
     return t.select(entity, "store_mean_sales", "store_std_sales", "store_min_sales",
                     "store_max_sales", "store_median_sales", "store_rank", "store_percentile",
                     "store_cv", "store_size")
