@@ -107,6 +107,32 @@ class HolidayCalendar:
 DEFAULT_CALENDAR = HolidayCalendar()
 
 
+class ProjectedCalendar:
+    """A calendar whose candidate dates were projected once as columns (see
+    ``project_candidates``): flags and distances then reference the columns
+    instead of repeating the date expressions."""
+
+    def __init__(self, columns: dict[str, list[str]]):
+        self.columns = columns
+
+    @property
+    def names(self) -> tuple[str, ...]:
+        return tuple(self.columns)
+
+    def candidates(self, date_col: Column) -> dict[str, list[Column]]:
+        return {n: [F.col(c) for c in cs] for n, cs in self.columns.items()}
+
+
+def project_candidates(df: DataFrame, time: str, cal: HolidayCalendar,
+                       prefix: str = "_hol") -> tuple[DataFrame, ProjectedCalendar, list[str]]:
+    """Adds one column per candidate holiday date of each row; returns the frame,
+    a calendar view over those columns and the column names (to drop later)."""
+    cands = cal.candidates(F.col(time))
+    cols = {n: [f"{prefix}_{n}_{i}" for i in range(len(cs))] for n, cs in cands.items()}
+    out = df.withColumns({c: e for n, cs in cands.items() for c, e in zip(cols[n], cs)})
+    return out, ProjectedCalendar(cols), [c for cs in cols.values() for c in cs]
+
+
 def _any(conds: list[Column]) -> Column:
     out = F.lit(False)
     for c in conds:

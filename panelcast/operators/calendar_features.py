@@ -56,7 +56,11 @@ def holiday_distance(df: DataFrame, time: str = C.TIME,
 
 def holiday_features(df: DataFrame, time: str = C.TIME,
                      calendar: cal.HolidayCalendar = cal.DEFAULT_CALENDAR) -> DataFrame:
-    return holiday_distance(holiday_window_flags(df, time, calendar), time, calendar)
+    """Window flags and distances. The candidate holiday dates of each row are
+    projected once as columns and shared by all nine outputs."""
+    projected, view, tmp = cal.project_candidates(df, time, calendar)
+    out = holiday_distance(holiday_window_flags(projected, time, view), time, view)
+    return out.drop(*tmp)
 
 
 def interaction_features(df: DataFrame, entity: str = C.ENTITY,
