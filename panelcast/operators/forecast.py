@@ -13,6 +13,7 @@
 from __future__ import annotations
 
 import itertools
+import math
 
 import numpy as np
 import pandas as pd
@@ -197,11 +198,35 @@ def _grid_argmin(wide: DataFrame, cols: list[str], grid: list[tuple[int, ...]],
     return best["err"], grid[best["cand"]]
 
 
+MAX_GRID_CANDIDATES = 2_000
+
+
+def _grid_size(k: int, steps: int) -> int:
+    return math.comb(steps + k - 1, k - 1)
+
+
+def grid_plan(k: int, coarse: int = 10, fine: int = 100, radius: int = 10,
+              max_candidates: int = MAX_GRID_CANDIDATES) -> tuple[int, int]:
+    """(coarse steps, fine radius) keeping each pass within ``max_candidates``
+    candidates: the coarse simplex has C(steps+k-1, k-1) points and the fine box
+    (2r+1)^(k-1). Three models keep the defaults (66 and 441 candidates)."""
+    while coarse > 1 and _grid_size(k, coarse) > max_candidates:
+        coarse -= 1
+    while coarse > 1 and fine % coarse:
+        coarse -= 1
+    r = radius
+    while r > 1 and (2 * r + 1) ** (k - 1) > max_candidates:
+        r -= 1
+    return coarse, r
+
+
 def ensemble_weights(wide: DataFrame, models: list[str], coarse: int = 10, fine: int = 100,
                      radius: int = 10) -> DataFrame:
     """Simplex weights minimising WMAPE of the blend (sum(actual) is constant, so
     the sum of absolute errors is minimised). Coarse grid (1/coarse) then a fine
-    grid (1/fine) around the coarse optimum; two one-row aggregation jobs.
+    grid (1/fine) around the coarse optimum; two aggregation jobs. With many
+    models the coarse step and fine radius shrink (``grid_plan``) so each pass
+    evaluates a bounded number of candidates.
     ``wide`` has ``actual`` and one ``<model>_Pred`` column per model."""
     spark = wide.sparkSession
     if not models:
@@ -209,6 +234,7 @@ def ensemble_weights(wide: DataFrame, models: list[str], coarse: int = 10, fine:
     if len(models) == 1:
         return spark.createDataFrame([(models[0], 1.0)], "model string, weight double")
     cols = [f"{m}_Pred" for m in models]
+    coarse, radius = grid_plan(len(cols), coarse, fine, radius)
     _, best = _grid_argmin(wide, cols, simplex_grid(len(cols), coarse), coarse)
     best_fine = tuple(b * (fine // coarse) for b in best)
     _, w = _grid_argmin(wide, cols, fine_grid(best_fine, radius, fine), fine)

@@ -83,3 +83,20 @@ def test_weights_on_empty_input(spark):
     wide, names = _wide(spark, [], {"a": [], "b": []})
     w = {r["model"]: r["weight"] for r in fc.ensemble_weights(wide, names).collect()}
     assert sum(w.values()) == pytest.approx(1.0)
+
+
+def test_grid_plan_bounds_candidates():
+    assert fc.grid_plan(3) == (10, 10)
+    for k in range(2, 9):
+        coarse, r = fc.grid_plan(k)
+        assert 100 % coarse == 0
+        assert len(fc.simplex_grid(k, coarse)) <= fc.MAX_GRID_CANDIDATES
+        assert r == 1 or (2 * r + 1) ** (k - 1) <= fc.MAX_GRID_CANDIDATES
+
+
+def test_five_model_blend(spark):
+    actual = [100, 200, 300, 400]
+    preds = {m: [a * (1 + 0.05 * (i - 2)) for a in actual] for i, m in enumerate("abcde")}
+    wide, names = _wide(spark, actual, preds)
+    w = {r["model"]: r["weight"] for r in fc.ensemble_weights(wide, names).collect()}
+    assert sum(w.values()) == pytest.approx(1.0) and w["c"] == pytest.approx(1.0)
