@@ -468,6 +468,19 @@ def oracle_sql() -> dict[str, str]:
              WHEN (pred - store_avg) / store_avg * 100 < -10 THEN 'Below Average'
              WHEN (pred - store_avg) / store_avg * 100 IS NOT NULL THEN 'Near Average' END AS trend
         FROM bl LEFT JOIN sh USING (Store) WHERE model = 'moving_average_4w'""", [hist])
+    q["load_panel_region"] = _with([("panel", panel_sql("region")), ("hol", _hol_values())],
+                                   "SELECT * FROM panel")
+    ma = exact_mean("Weekly_Sales", f"{W} ROWS BETWEEN 4 PRECEDING AND 1 PRECEDING")
+    flag_ctes = [("panel", panel_sql("region")), ("hol", _hol_values()),
+                 ("fw", f"""SELECT *, lag(Weekly_Sales, 1) OVER ({W}) AS naive,
+                            lag(Weekly_Sales, 52) OVER ({W}) AS seasonal_naive,
+                            {ma} AS moving_average_4w FROM panel"""),
+                 ("fl", " UNION ALL ".join(
+                     f"SELECT Store, Date, Weekly_Sales AS actual, '{m}' AS model, {m} AS pred FROM fw "
+                     f"WHERE Date >= DATE '{VS}' AND {m} IS NOT NULL" for m in MODELS)),
+                 ("fm", f"SELECT model, {metrics_select()} FROM fl GROUP BY model")]
+    q["forecast_scorecard"] = _with(flag_ctes, "SELECT CAST(row_number() OVER (ORDER BY WMAPE, model) AS INTEGER) AS Rank, "
+                                    "model, WMAPE, MAPE, SMAPE, MAE, RMSE, R2, Mean_Error, Median_AE FROM fm")
     q["ensemble_weights"] = ensemble_sql(final_predict=False)
     q["ensemble_predict"] = ensemble_sql(final_predict=True)
     return q

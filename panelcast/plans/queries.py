@@ -109,6 +109,19 @@ def q_load_panel(spark, sf):
     return panel(spark, sf)
 
 
+@query("load_panel_region")
+def q_load_panel_region(spark, sf):
+    """The panel at region grain (5 series), as used by the flagship query."""
+    return panel(spark, sf, "region")
+
+
+@query("forecast_scorecard")
+def q_forecast_scorecard(spark, sf):
+    """The flagship query of entry(): region panel -> baselines -> ranked metrics."""
+    from .flagship import forecast_scorecard
+    return forecast_scorecard(spark, sf)
+
+
 @query("write_predictions")
 def q_write_predictions(spark, sf):
     wide = baseline_wide(spark, sf)
