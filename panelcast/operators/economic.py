@@ -57,7 +57,8 @@ def cpi_ratio(df: DataFrame) -> DataFrame:
 
 
 def economic_features(df: DataFrame, train: DataFrame | None = None,
-                      series_keys=C.ENTITY, time: str = C.TIME) -> DataFrame:
+                      series_keys=C.ENTITY, time: str = C.TIME,
+                      restart_col: str | None = None) -> DataFrame:
     """temp_deviation, temp_squared, temp_category, fuel/cpi changes,
     unemployment_change, unemployment_above_avg, cpi_unemployment_ratio."""
     s = train_scalars(train if train is not None else df)
@@ -67,7 +68,7 @@ def economic_features(df: DataFrame, train: DataFrame | None = None,
         "temp_squared": t * t,
         "temp_category": temp_category(t),
     })
-    out = economic_changes(out, series_keys, time)
+    out = economic_changes(out, series_keys, time, restart_col)
     return out.withColumns({
         "unemployment_above_avg": F.coalesce(F.col("Unemployment") > s["unemp_mean"],
                                              F.lit(False)).cast("int"),

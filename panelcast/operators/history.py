@@ -130,16 +130,24 @@ def trend_features(df: DataFrame, entity=C.ENTITY, time: str = C.TIME,
     return out
 
 
-def economic_changes(df: DataFrame, entity=C.ENTITY, time: str = C.TIME) -> DataFrame:
+def economic_changes(df: DataFrame, entity=C.ENTITY, time: str = C.TIME,
+                     restart_col: str | None = None) -> DataFrame:
     """fuel/cpi/unemployment changes vs the previous row of the series.
 
-    Pass ``entity=["split", "Store"]`` to restart each series at the split
-    boundary (first validation row -> NULL)."""
+    ``restart_col`` (e.g. ``"split"``) restarts each series where that column
+    changes (first validation row -> NULL). The column must be monotone in time
+    within a series, so the guard "previous row has the same value" equals
+    partitioning by it, while reusing the series window (no extra exchange).
+    Passing ``entity=["split", "Store"]`` gives the same result with its own
+    partitioning."""
     w = series_window(entity, time)
+    same = (F.lag(restart_col, 1).over(w) == F.col(restart_col)) if restart_col else None
     out = {}
     for src, name, pct in (("Fuel_Price", "fuel", True), ("CPI", "cpi", True),
                            ("Unemployment", "unemployment", False)):
         prev = F.lag(src, 1).over(w)
+        if same is not None:
+            prev = F.when(same, prev)
         out[f"{name}_change"] = F.col(src) - prev
         if pct:
             out[f"{name}_pct_change"] = F.try_divide(F.col(src), prev) - 1

@@ -69,8 +69,8 @@ def engineer_features_split(full: DataFrame, val_start: str = C.VALIDATION_START
     out = cf.interaction_features(out)
     out = with_split(out, val_start)
     out = out.join(ent.store_table(train), C.ENTITY, "left")
-    keys = ["split", C.ENTITY] if diff_scope == "split" else C.ENTITY
-    return eco.economic_features(out, train, series_keys=keys)
+    restart = "split" if diff_scope == "split" else None
+    return eco.economic_features(out, train, series_keys=C.ENTITY, restart_col=restart)
 
 
 def split_frames(featured: DataFrame) -> tuple[DataFrame, DataFrame]:

@@ -413,7 +413,7 @@ def q_trend_strength(spark, sf):
 @query("economic_changes")
 def q_economic_changes(spark, sf):
     p = P.with_split(panel(spark, sf))
-    out = hist.economic_changes(p, ["split", C.ENTITY])
+    out = hist.economic_changes(p, C.ENTITY, restart_col="split")
     return out.select(C.ENTITY, C.TIME, "split", "fuel_change", "fuel_pct_change", "cpi_change",
                       "cpi_pct_change", "unemployment_change")
 
