@@ -73,17 +73,16 @@ def ewma_horizon(span: int, tol: float = 1e-17) -> int:
 def ewma_column(target: str, w, span: int) -> Column:
     """Adjusted EWMA (alpha = 2/(span+1)) of the previous rows, min_periods = 1.
 
-    sum_i (1-a)^i y[t-1-i] / sum_i (1-a)^i, folded over the frame in time order.
+    sum_i (1-a)^i y[t-1-i] / sum_i (1-a)^i. The numerator is folded over the
+    frame in time order with a plain double accumulator (Horner); the weight sum
+    has the closed form (1 - (1-a)^m) / a for m values.
     """
     decay = 1.0 - 2.0 / (span + 1.0)
     k = ewma_horizon(span)
     hist = F.collect_list(F.col(target)).over(w.rowsBetween(-k, -1))
-    init = F.struct(F.lit(0.0).alias("num"), F.lit(0.0).alias("den"))
-    return F.aggregate(
-        hist, init,
-        lambda acc, x: F.struct((acc["num"] * decay + x).alias("num"),
-                                (acc["den"] * decay + 1.0).alias("den")),
-        lambda acc: F.try_divide(acc["num"], acc["den"]))
+    num = F.aggregate(hist, F.lit(0.0), lambda acc, x: acc * decay + x)
+    den = (F.lit(1.0) - F.pow(F.lit(decay), F.size(hist))) / (1.0 - decay)
+    return F.when(F.size(hist) > 0, num / den)
 
 
 def rolling_features(df: DataFrame, windows=C.ROLLING_WINDOWS, spans=C.EWMA_SPANS,

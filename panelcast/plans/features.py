@@ -30,6 +30,15 @@ def history_features(df: DataFrame, include_lag: bool = True, include_rolling: b
     return hist.trend_features(df, entity, time, target, leak_safe=leak_safe)
 
 
+def spread_series(df: DataFrame, entity: str = C.ENTITY) -> DataFrame:
+    """Hash-partition the panel by entity over the cluster's parallelism before
+    the history windows. The windows reuse this partitioning (no extra
+    exchange); it only stops AQE from coalescing a byte-small but CPU-heavy
+    window stage (EWMA folds, several frames) into a single task. A series is
+    never split across partitions."""
+    return df.repartition(df.sparkSession.sparkContext.defaultParallelism, entity)
+
+
 def row_features(df: DataFrame, time: str = C.TIME,
                  calendar: HolidayCalendar = DEFAULT_CALENDAR) -> DataFrame:
     df = cf.temporal_features(df, time)
@@ -42,7 +51,7 @@ def engineer_features(df: DataFrame, train: DataFrame | None = None, include_lag
                       calendar: HolidayCalendar = DEFAULT_CALENDAR) -> DataFrame:
     """temporal -> cyclical -> holiday -> lag -> rolling -> trend -> store ->
     economic -> interaction. Statistics come from ``train`` when given."""
-    out = row_features(df, calendar=calendar)
+    out = row_features(spread_series(df), calendar=calendar)
     out = history_features(out, include_lag, include_rolling, leak_safe)
     out = ent.store_features(out, train)
     out = eco.economic_features(out, train)
@@ -64,7 +73,7 @@ def engineer_features_split(full: DataFrame, val_start: str = C.VALIDATION_START
     # statistics read the training rows of the input panel directly (same values
     # as the featured rows, without re-running the feature windows)
     train = full.filter(F.col(C.TIME) < F.lit(val_start).cast("date"))
-    out = row_features(full, calendar=calendar)
+    out = row_features(spread_series(full), calendar=calendar)
     out = history_features(out, include_lag, include_rolling, leak_safe)
     out = cf.interaction_features(out)
     out = with_split(out, val_start)
