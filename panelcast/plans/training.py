@@ -35,7 +35,7 @@ def prepare_ml_data(panel: DataFrame, val_start: str = C.VALIDATION_START,
 
     ``leak_safe`` builds trend columns from the previous week (no column is a
     function of the current target); ``False`` reproduces the parity set."""
-    feat = engineer_features_split(panel, val_start, leak_safe=leak_safe)
+    feat = engineer_features_split(panel, val_start, leak_safe=leak_safe, spread=False)
     # Partitions stay sized by bytes (AQE coalescing): tree learners ship one set
     # of node statistics per partition, so more, smaller partitions only add
     # aggregation volume; large inputs still get one partition per ~64 MB.
