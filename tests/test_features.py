@@ -150,3 +150,25 @@ def test_distributed_rank_equals_window_rank(spark):
     pdf = pd.DataFrame(vals, columns=["Store", "m"])
     exp = dict(zip(pdf["Store"], pdf["m"].rank(ascending=False)))
     assert all(a[k][0] == exp[k] for k in exp)
+
+
+def test_guarded_restart_equals_split_partition(spark):
+    p = P.with_split(weekly_panel(spark, 3, 40), "2010-08-01")
+    a = hist.economic_changes(p, hist.C.ENTITY, restart_col="split")
+    b = hist.economic_changes(p, ["split", hist.C.ENTITY])
+    cols = ["Store", "Date", "fuel_change", "fuel_pct_change", "cpi_change", "cpi_pct_change",
+            "unemployment_change"]
+    assert sorted(map(tuple, a.select(cols).collect())) == sorted(map(tuple, b.select(cols).collect()))
+
+
+def test_spread_does_not_change_features(spark):
+    p = weekly_panel(spark, 3, 70)
+    a = engineer_features_split(p, "2011-03-01", spread=True)
+    b = engineer_features_split(p, "2011-03-01", spread=False)
+    cols = sorted(a.columns)
+    ra = sorted(map(tuple, a.select(cols).collect()), key=lambda r: (r[cols.index("Store")], r[cols.index("Date")]))
+    rb = sorted(map(tuple, b.select(cols).collect()), key=lambda r: (r[cols.index("Store")], r[cols.index("Date")]))
+    assert len(ra) == len(rb)
+    for x, y in zip(ra, rb):
+        for u, v in zip(x, y):
+            assert u == v or (isinstance(u, float) and u == pytest.approx(v, rel=1e-12))
