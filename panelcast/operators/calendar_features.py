@@ -86,9 +86,8 @@ def holidays_in_range(df: DataFrame, time: str = C.TIME,
     """
     rng = df.agg(F.min(time).alias("_d0"), F.max(time).alias("_d1"))
     hol = calendar.frame(df.sparkSession, F.year("_d0"), F.year("_d1"), source=rng)
-    d0 = rng.select(F.col("_d0")).scalar()
-    d1 = rng.select(F.col("_d1")).scalar()
-    return hol.filter(F.col("date").between(d0, d1))
+    bounds = rng.select(F.struct("_d0", "_d1")).scalar()
+    return hol.filter(F.col("date").between(bounds.getField("_d0"), bounds.getField("_d1")))
 
 
 def prophet_holidays(df: DataFrame, time: str = C.TIME,
