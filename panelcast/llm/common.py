@@ -21,7 +21,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import checkpoint_dir
+from ..session import checkpoint_dir, ship_package
 
 NULL_ID = 2**63 - 1
 
@@ -34,7 +34,9 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def prepare(spark: SparkSession) -> None:
-    """Bound the Arrow batches of this session (rows; Spark itself bounds the bytes)."""
+    """Bound the Arrow batches of this session (rows; Spark itself bounds the bytes) and
+    make this package known to the Python workers."""
+    ship_package(spark)
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(ARROW_ROWS))
 
 

@@ -7,7 +7,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, merkle, topk
+from . import bpe, merkle, substring_dedup, suffix_dedup, topk
 from .common import table
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -31,6 +31,26 @@ def op4_merkle_fingerprints(spark, sf_dir):
                       "fingerprint", "edited_fingerprint", "near_edited", "near_next")
 
 
+def _removed():
+    """Number of symbols under the removed spans."""
+    return F.aggregate("removed", F.lit(0).cast("long"), lambda n, x: n + x["end"] - x["start"])
+
+
+@query
+def op6_suffix_dedup(spark, sf_dir):
+    out = suffix_dedup.suffix_dedup(table(spark, sf_dir, "documents"))
+    return out.select("doc_id", "n_bytes", _removed().alias("n_removed"),
+                      F.size("removed").cast("long").alias("n_spans"),
+                      F.sha2("kept", 256).alias("kept_sha256"))
+
+
+@query
+def op8_substring_dedup(spark, sf_dir):
+    out = substring_dedup.substring_dedup(table(spark, sf_dir, "documents"))
+    return out.select("doc_id", "n_words", _removed().alias("n_removed"),
+                      F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256"))
+
+
 @query
 def op9_bpe_roundtrip(spark, sf_dir):
     path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
