@@ -7,7 +7,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, merkle, substring_dedup, suffix_dedup, topk
+from . import bpe, merkle, simhash, substring_dedup, suffix_dedup, topk
 from .common import table
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -24,6 +24,12 @@ def op1_topk_search(spark, sf_dir):
     return topk.top_k(vectors.filter(F.col("vec_id") % 20 == 0), vectors, k=20)
 
 
+@query
+def op2_simhash_near_dedup(spark, sf_dir):
+    out = simhash.near_duplicates(table(spark, sf_dir, "documents"), words=3, bits=3)
+    return out.select("doc_id", "fingerprint", "component_id")
+
+
 @query
 def op4_merkle_fingerprints(spark, sf_dir):
     out = merkle.compare_with_edits(table(spark, sf_dir, "documents"))
