@@ -7,7 +7,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, merkle, simhash, substring_dedup, suffix_dedup, topk
+from . import bpe, merkle, packing, simhash, substring_dedup, suffix_dedup, topk
 from .common import table
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -30,6 +30,18 @@ def op2_simhash_near_dedup(spark, sf_dir):
     return out.select("doc_id", "fingerprint", "component_id")
 
 
+def packed(docs: DataFrame) -> DataFrame:
+    # the ids of byte_bpe_50k.json; its vocabulary also comes as a rank file
+    out = packing.pack_documents(docs, public_tokenizers.path("byte_bpe_50k.tiktoken"))
+    return out.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens",
+                      "sequence_id", "offset")
+
+
+@query
+def op3_bm25_packing(spark, sf_dir):
+    return packed(table(spark, sf_dir, "documents"))
+
+
 @query
 def op4_merkle_fingerprints(spark, sf_dir):
     out = merkle.compare_with_edits(table(spark, sf_dir, "documents"))
