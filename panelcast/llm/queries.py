@@ -7,7 +7,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, merkle, packing, simhash, substring_dedup, suffix_dedup, topk
+from . import bpe, brown, merkle, packing, simhash, substring_dedup, suffix_dedup, topk
 from .common import table
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -62,6 +62,11 @@ def op6_suffix_dedup(spark, sf_dir):
                       F.sha2("kept", 256).alias("kept_sha256"))
 
 
+@query
+def op7_brown_lm(spark, sf_dir):
+    return brown.brown_scores(table(spark, sf_dir, "documents"))
+
+
 @query
 def op8_substring_dedup(spark, sf_dir):
     out = substring_dedup.substring_dedup(table(spark, sf_dir, "documents"))
