@@ -11,6 +11,7 @@ Input rules that every operator of this subpackage follows:
 """
 from __future__ import annotations
 
+import gc
 import os
 import uuid
 from collections.abc import Iterable, Iterator
@@ -73,6 +74,13 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def release(spark: SparkSession) -> None:
+    """Let Spark drop the shuffle files of finished phases: its cleaner acts when the
+    driver's JVM collects the plans that nothing refers to any more."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def strings(column: pa.Array) -> list[bytes]:
     """UTF-8 bytes of a string column, without decoding."""
     return column.cast(pa.binary()).to_pylist()

@@ -7,7 +7,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, brown, merkle, packing, simhash, substring_dedup, suffix_dedup, topk
+from . import bpe, brown, line_dedup, merkle, packing, simhash, substring_dedup, suffix_dedup, topk
 from .common import table
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -49,6 +49,12 @@ def op4_merkle_fingerprints(spark, sf_dir):
                       "fingerprint", "edited_fingerprint", "near_edited", "near_next")
 
 
+@query
+def op5_line_dedup(spark, sf_dir):
+    out = line_dedup.line_dedup(table(spark, sf_dir, "documents"), bits=3, similarity=0.8)
+    return out.select("doc_id", "n_lines", "n_removed", F.sha2(F.col("text").cast("binary"), 256).alias("kept_sha256"))
+
+
 def _removed():
     """Number of symbols under the removed spans."""
     return F.aggregate("removed", F.lit(0).cast("long"), lambda n, x: n + x["end"] - x["start"])
