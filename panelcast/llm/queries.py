@@ -7,7 +7,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, brown, line_dedup, merkle, packing, simhash, substring_dedup, suffix_dedup, topk
+from . import bpe, brown, cotraining, line_dedup, merkle, packing, simhash, substring_dedup, suffix_dedup, topk
 from .common import table
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -89,3 +89,8 @@ def op9_bpe_roundtrip(spark, sf_dir):
         F.sha2(F.array_join(F.col("ids").cast("array<string>"), ",").cast("binary"), 256)
         .alias("ids_sha256"),
         F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
+@query
+def op10_quality_classifier(spark, sf_dir):
+    return cotraining.quality_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
