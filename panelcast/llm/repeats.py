@@ -82,6 +82,17 @@ class Unit:
             return np.fromiter(map(xxhash.xxh3_64_intdigest, words), np.uint64, len(words))
         return np.frombuffer(data, np.uint8)
 
+    @property
+    def middle(self) -> int:
+        """Anchors at this offset or later belong to the late half of the offsets."""
+        return (self.length - self.gram + 1) // 2
+
+    def piece(self, late: bool) -> tuple[int, int]:
+        """Range round an anchor that lies in every window of a half."""
+        if late:
+            return -self.middle, self.gram
+        return 0, self.length - self.middle + 1
+
     def grams(self, values: np.ndarray) -> np.ndarray:
         """A 64-bit hash of each gram."""
         k = self.gram
@@ -134,10 +145,23 @@ def _slice_runs(unit: Unit, values: np.ndarray, ends: np.ndarray):
     n = len(values) - unit.length + 1
     whole = np.flatnonzero(np.arange(n) + unit.length <= ends[:n])
     anchor = (at[whole] & low).astype(np.int64)
-    new = np.flatnonzero(np.append(True, anchor[1:] != anchor[:-1])) if len(whole) else whole
+    late = anchor - whole >= unit.middle
+    new = np.flatnonzero(np.append(True, (anchor[1:] != anchor[:-1]) | (late[1:] != late[:-1]))) \
+        if len(whole) else whole
     first = whole[new]
     count = np.diff(np.append(new, len(whole)))
-    return first, count, anchor[new] - first, hashes[anchor[new]]
+    return first, count, anchor[new] - first, _piece_hash(unit, hashes, anchor[new], late[new])
+
+
+def _piece_hash(unit: Unit, hashes: np.ndarray, anchor: np.ndarray, late: np.ndarray) -> np.ndarray:
+    """Hash of the symbols round an anchor that all windows of its half hold."""
+    key = np.empty(len(anchor), np.uint64)
+    for half, (a, b) in ((late, unit.piece(True)), (~late, unit.piece(False))):
+        total = np.zeros(int(half.sum()), np.uint64)
+        for j in [*range(a, b - unit.gram, unit.gram), b - unit.gram]:
+            total = mix(total) + hashes[anchor[half] + j]
+        key[half] = mix(total * _M1 + np.uint64(b))
+    return key
 
 
 def runs(unit: Unit, values: list[np.ndarray]):
@@ -422,11 +446,27 @@ def bucket_answers(unit: Unit, classes: Classes, sent: pa.Table) -> pa.Table:
 
 
 def _covered(unit, classes, text, start, end, key, offset, count, doc, lead) -> np.ndarray:
-    """For each window of the runs ``lead``: whether a smaller document has it."""
-    if not len(lead):
-        return np.zeros(0, bool)
-    data = b" ".join(text[s:e] for s, e in zip(start[lead].tolist(), end[lead].tolist())) \
-        if unit.words else b"".join(text[s:e] for s, e in zip(start[lead].tolist(), end[lead].tolist()))
+    """For each window of the runs ``lead``: whether a smaller document has it. Anchors are
+    taken together up to about SLICE symbols."""
+    out = np.zeros(int(count[lead].sum()), bool)
+    at = np.cumsum(count[lead]) - count[lead]
+    order = np.argsort(key[lead], kind="stable")
+    new = np.flatnonzero(np.append(True, np.diff(key[lead][order]) != 0)) if len(lead) else order
+    total = np.append(0, np.cumsum(count[lead][order] + unit.length))
+    a = 0
+    while a < len(lead):
+        b = new[np.searchsorted(new, np.searchsorted(total, total[a] + SLICE)):]
+        b = int(b[0]) if len(b) and b[0] > a else len(lead)
+        part = order[a:b]
+        out[spread(at[part], count[lead[part]])] = _covered_part(
+            unit, classes, text, start, end, key, offset, count, doc, lead[part])
+        a = b
+    return out
+
+
+def _covered_part(unit, classes, text, start, end, key, offset, count, doc, lead) -> np.ndarray:
+    data = (b" " if unit.words else b"").join(
+        text[s:e] for s, e in zip(start[lead].tolist(), end[lead].tolist()))
     symbols = count[lead] + unit.length - 1
     at = np.cumsum(symbols) - symbols
     window = spread(at, count[lead])
@@ -442,9 +482,8 @@ def _covered(unit, classes, text, start, end, key, offset, count, doc, lead) ->
     meet = order[~alone]
     out = np.zeros(len(window), bool)
     if len(meet):
-        s, e = unit.symbols(data)
         cls = classes(unit, group[meet], window[meet], Polynomial(unit.wide(data)),
-                      data, (s, e))
+                      data, unit.symbols(data))
         least = np.full(cls.max() + 1, NULL_ID)
         np.minimum.at(least, cls, own[meet])
         out[meet] = own[meet] > least[cls]
@@ -507,17 +546,17 @@ def removed_windows(docs: DataFrame, unit: Unit, classes: Classes,
     ``finish``. ``carry``: further columns that ``finish`` finds as struct ``carry``."""
     spark = docs.sparkSession
     prepare(spark)
-    n = blocks(spark)
+    n, buckets = blocks(spark), blocks(spark, 1)
     extra = [F.struct(*[F.col(f"`{c}`") for c in carry]).alias("carry")] if carry else []
     rows = docs.select(id_in().alias("doc_id"), F.coalesce(F.col("text"), F.lit("")).alias("text"), *extra)
     rows = rows.withColumn("block", F.pmod(F.xxhash64("doc_id"), F.lit(n)).cast("int"))
 
     # a group's function gets its key as a tuple of Arrow scalars
     keys = rows.groupBy("block").applyInArrow(
-        lambda k, t: block_keys(unit, n, k[0].as_py(), t), KEYS)
+        lambda k, t: block_keys(unit, buckets, k[0].as_py(), t), KEYS)
     shared = keys.groupBy("bucket").applyInArrow(lambda k, t: bucket_shared(k[0].as_py(), t), SHARED)
     sent = rows.groupBy("block").cogroup(shared.groupBy("block")).applyInArrow(
-        lambda k, a, b: block_runs(unit, n, k[0].as_py(), a, b), SENT)
+        lambda k, a, b: block_runs(unit, buckets, k[0].as_py(), a, b), SENT)
     answers = sent.groupBy("bucket").applyInArrow(lambda k, t: bucket_answers(unit, classes, t), ANSWER)
     return rows.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(
         lambda k, a, b: finish(unit, a, b), schema)

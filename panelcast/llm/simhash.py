@@ -23,10 +23,10 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import id_out, prepare, strings, stored, texts
+from .common import id_in, id_out, prepare, strings, stored, texts
 from .components import connected_components
 
 SEED = 42
@@ -63,13 +63,15 @@ def simhash(hashes: np.ndarray) -> int:
 
 
 def fingerprints(docs: DataFrame, words: int = WORDS) -> DataFrame:
-    """(doc_id, fp long): the fingerprint's bits as a signed number."""
+    """(doc_id, body long, fp long): a hash of the text, and the fingerprint's bits as a
+    signed number."""
     def run(batches):
         for batch in batches:
             fps = np.array([simhash(shingle_hashes(t, words)) for t in strings(batch.column("text"))], np.uint64)
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(fps.view(np.int64))],
-                                             ["doc_id", "fp"])
-    return texts(docs).mapInArrow(run, "doc_id long, fp long")
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("doc_id"), batch.column("body"), pa.array(fps.view(np.int64))], ["doc_id", "body", "fp"])
+    rows = texts(docs).withColumn("body", F.xxhash64("text"))
+    return rows.mapInArrow(run, "doc_id long, body long, fp long")
 
 
 def hex_digits(fp: str = "fp"):
@@ -223,6 +225,8 @@ def links(fps: DataFrame, bits: int = BITS, subtree: int = SUBTREE) -> DataFrame
     """Edges (u, v) whose components are those of all links between distinct ``fp``."""
     spark = fps.sparkSession
     prepare(spark)
+    if not bits:  # distinct fingerprints differ
+        return spark.createDataFrame([], "u long, v long")
     starts = block_starts(bits)
     tries = [F.struct(F.lit(i).alias("trie"), F.shiftrightunsigned("fp", 64 - starts[i + 1])
                       .bitwiseAND(F.lit((1 << (starts[i + 1] - starts[i])) - 1)).alias("key"))
@@ -247,16 +251,33 @@ def links(fps: DataFrame, bits: int = BITS, subtree: int = SUBTREE) -> DataFrame
             .mapInArrow(_join_partition(bits), "u long, v long"))
 
 
-def near_duplicates(docs: DataFrame, words: int = WORDS, bits: int = BITS) -> DataFrame:
-    """(doc_id, fp long, fingerprint string, component_id long): the component of each
-    document under links of at most ``bits`` differing bits, named by its smallest doc_id."""
+def _grouped(docs: DataFrame, words: int, bits: int) -> DataFrame:
+    """(doc_id, body, fp, component_id) of every row, ids not null."""
     found = stored(fingerprints(docs, words), "fingerprints")
     distinct = found.groupBy("fp").agg(F.min("doc_id").alias("least"))
     roots = connected_components(links(distinct.select("fp"), bits))
     member = (distinct.join(roots, distinct["fp"] == roots["id"], "left")
               .select("fp", "least", F.coalesce("root", "fp").alias("root")))
     named = member.groupBy("root").agg(F.min("least").alias("component_id"))
-    component = member.join(named, "root").select("fp", "component_id")
-    return (found.join(component, "fp")
-            .select(id_out().alias("doc_id"), "fp", hex_digits().alias("fingerprint"),
-                    id_out("component_id").alias("component_id")))
+    component = member.join(named, "root").select("fp", "root", "component_id")
+    return found.join(component, "fp")
+
+
+def near_duplicates(docs: DataFrame, words: int = WORDS, bits: int = BITS) -> DataFrame:
+    """(doc_id, fp long, fingerprint string, component_id long): the component of each
+    document under links of at most ``bits`` differing bits, named by its smallest doc_id."""
+    return _grouped(docs, words, bits).select(
+        id_out().alias("doc_id"), "fp", hex_digits().alias("fingerprint"),
+        id_out("component_id").alias("component_id"))
+
+
+def one_of_each(docs: DataFrame, words: int = WORDS, bits: int = BITS) -> DataFrame:
+    """The rows of ``docs`` that stay when each component keeps one document: the one with
+    the smallest (doc_id, text hash), once."""
+    groups = _grouped(docs, words, bits)
+    kept = (groups.groupBy("root").agg(F.min(F.struct("doc_id", "body")).alias("k"))
+            .select(F.col("k.doc_id").alias("__id"), F.col("k.body").alias("__body")))
+    rows = docs.withColumns({"__id": id_in(), "__body": F.xxhash64(F.coalesce("text", F.lit("")))})
+    same = Window.partitionBy("__id", "__body").orderBy("__id")
+    return (rows.join(kept, ["__id", "__body"]).withColumn("__n", F.row_number().over(same))
+            .filter("__n = 1").select(*[F.col(f"`{c}`") for c in docs.columns]))
