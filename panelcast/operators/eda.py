@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from .. import config as C
 from ..functions.dates import month_name
+from .order import quantiles
 from .panel import exact_mean, holiday_label
 
 
@@ -31,25 +32,17 @@ def seasonality(df: DataFrame, time: str = C.TIME, target: str = C.TARGET) -> Da
             .agg(exact_mean(target).alias(target)).orderBy("Month"))
 
 
-def quantile(col, q: float, exact: bool = True, accuracy: int = 100_000):
-    """Exact linearly interpolated quantile (keeps a value->count map per group),
-    or a bounded-memory sketch (``percentile_approx``) for very large groups."""
-    return F.percentile(col, q) if exact else F.percentile_approx(col, q, accuracy)
-
-
-def holiday_box(df: DataFrame, target: str = C.TARGET, digits: int = 6,
-                exact: bool = True) -> DataFrame:
-    """Box statistics per Holiday label: min, q1, median, q3, max, count.
-    Quantiles are exact and linearly interpolated unless ``exact=False``."""
+def holiday_box(df: DataFrame, target: str = C.TARGET, digits: int = 6) -> DataFrame:
+    """Box statistics per Holiday label: min, q1, median, q3, max, count. Quantiles are
+    exact and linearly interpolated; a label holds much of the table, so they are taken
+    from distributed positions (``order.quantiles``)."""
     y = F.col(target)
-    stats = holiday_label(df).groupBy("Holiday").agg(
-        F.min(y).alias("min"),
-        F.round(quantile(y, 0.25, exact), digits).alias("q1"),
-        F.round(quantile(y, 0.5, exact), digits).alias("median"),
-        F.round(quantile(y, 0.75, exact), digits).alias("q3"),
-        F.max(y).alias("max"),
-        F.count(y).alias("count"))
-    return stats
+    labelled = holiday_label(df)
+    stats = labelled.groupBy("Holiday").agg(F.min(y).alias("min"), F.max(y).alias("max"), F.count(y).alias("count"))
+    q = quantiles(labelled, target, {"q1": 0.25, "median": 0.5, "q3": 0.75}, ["Holiday"])
+    q = q.select(F.col("Holiday").alias("_h"), *[F.round(c, digits).alias(c) for c in ("q1", "median", "q3")])
+    return (stats.join(q, F.col("Holiday").eqNullSafe(F.col("_h")), "left")
+            .select("Holiday", "min", "q1", "median", "q3", "max", "count"))
 
 
 def store_month_pivot(df: DataFrame, entity: str = C.ENTITY, time: str = C.TIME,
@@ -87,14 +80,15 @@ def correlation_matrix(df: DataFrame, columns=CORR_COLUMNS, digits: int = 6) ->
 
 def equal_width_histogram(df: DataFrame, value: str, bins: int = C.HISTOGRAM_BINS,
                           by: list[str] | None = None) -> DataFrame:
-    """Counts in ``bins`` equal-width bins over [min, max] (per group ``by``);
-    the maximum falls in the last bin. Bounds come from a grouped aggregate
-    joined on the (small) group keys, or scalar subqueries without groups."""
+    """Counts in ``bins`` equal-width bins over [min, max] (per group ``by``), empty bins
+    included; the maximum falls in the last bin, nulls in none. Bounds come from a grouped
+    aggregate joined on the (small) group keys, or scalar subqueries without groups."""
     v = F.col(value)
     by = by or []
+    df = df.filter(v.isNotNull())
+    edges = df.groupBy(*by).agg(F.min(value).alias("_lo"), F.max(value).alias("_hi")).filter("_lo is not null")
     if by:
-        rng = df.groupBy(*by).agg(F.min(value).alias("_lo"), F.max(value).alias("_hi"))
-        x = df.join(rng, by)
+        x = df.join(edges, by)
         lo, hi = F.col("_lo"), F.col("_hi")
     else:
         x = df
@@ -103,13 +97,13 @@ def equal_width_histogram(df: DataFrame, value: str, bins: int = C.HISTOGRAM_BIN
     width = (hi - lo) / bins
     idx = F.when(hi == lo, F.lit(0)).otherwise(
         F.least(F.floor((v - lo) / width), F.lit(bins - 1))).cast("int")
-    counted = x.groupBy(*by, idx.alias("bin")).agg(F.count(F.lit(1)).alias("count"),
-                                                    F.first(lo).alias("_lo"),
-                                                    F.first(width).alias("_w"))
-    return counted.select(*by, "bin",
-                          (F.col("_lo") + F.col("bin") * F.col("_w")).alias("bin_start"),
-                          (F.col("_lo") + (F.col("bin") + 1) * F.col("_w")).alias("bin_end"),
-                          "count")
+    counted = x.groupBy(*by, idx.alias("bin")).agg(F.count(F.lit(1)).alias("count"))
+    every = edges.select(*by, "_lo", ((F.col("_hi") - F.col("_lo")) / bins).alias("_w"),
+                         F.explode(F.sequence(F.lit(0), F.lit(bins - 1))).alias("bin"))
+    return every.join(counted, [*by, "bin"], "left").select(
+        *by, "bin", (F.col("_lo") + F.col("bin") * F.col("_w")).alias("bin_start"),
+        (F.col("_lo") + (F.col("bin") + 1) * F.col("_w")).alias("bin_end"),
+        F.coalesce("count", F.lit(0)).alias("count"))
 
 
 def sales_histogram(df: DataFrame, target: str = C.TARGET, bins: int = C.HISTOGRAM_BINS) -> DataFrame:

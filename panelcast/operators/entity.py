@@ -8,10 +8,11 @@ cross joins.
 """
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .. import config as C
+from .order import average_ranks
 from .panel import exact_mean
 
 
@@ -29,78 +30,25 @@ def store_stats(train: DataFrame, entity: str = C.ENTITY, target: str = C.TARGET
                                                      F.col("store_mean_sales")))
 
 
-def average_rank(df: DataFrame, value: str, ascending: bool, name: str,
-                 partitions: int | None = None) -> DataFrame:
-    """Adds ``name`` = average rank of ``value`` over the whole frame (ties get
-    the mean of the positions they occupy), computed without funnelling the
-    frame through one task:
+def store_rank(stats: DataFrame) -> DataFrame:
+    """store_rank (descending average rank), store_percentile (ascending average rank / N)
+    over the entities with a mean; an entity without one has neither. Descending average
+    rank = N + 1 - ascending average rank (exact, ties included). The ranking is
+    distributed at every size (``order.average_ranks``)."""
+    ranks = average_ranks(stats, "store_mean_sales").select(
+        F.col("store_mean_sales").alias("_mean"), "rank", "n")
+    return (stats.join(ranks, F.col("store_mean_sales") == F.col("_mean"), "left")
+            .withColumn("store_rank", (F.col("n") + 1 - F.col("rank")).cast("double"))
+            .withColumn("store_percentile", (F.col("rank") / F.col("n")).cast("double"))
+            .drop("_mean", "rank", "n"))
 
-    1. count rows per distinct value (partial aggregation);
-    2. range-partition the distinct values in rank order and take running
-       counts inside each partition (a window partitioned by partition id);
-    3. add each partition's offset, from a table with one row per partition;
-    4. join the rank back on the value.
-    """
-    spark = df.sparkSession
-    n_parts = partitions or spark.sparkContext.defaultParallelism
-    order = F.col(value).asc() if ascending else F.col(value).desc()
-    counts = df.groupBy(value).agg(F.count(F.lit(1)).alias("_c"))
-    ranged = (counts.repartitionByRange(n_parts, order)
-              .withColumn("_pid", F.spark_partition_id()))
-    before = Window.partitionBy("_pid").orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
-    ranged = ranged.withColumn("_before", F.coalesce(F.sum("_c").over(before), F.lit(0)))
-    totals = ranged.groupBy("_pid").agg(F.sum("_c").alias("_t"))
-    offsets = totals.withColumn(   # one row per range partition
-        "_off", F.coalesce(F.sum("_t").over(Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)),
-                           F.lit(0)))
-    ranks = (ranged.join(F.broadcast(offsets.select("_pid", "_off")), "_pid")
-             .select(value, (F.col("_off") + F.col("_before") + (F.col("_c") + 1) / 2.0).alias(name)))
-    return df.join(ranks, value, "left")
 
-
-# Largest per-entity table ranked inside one task (a sort of this many small
-# rows is cheap); beyond it the rank is computed distributed.
-SINGLE_TASK_RANK_MAX = 2_000_000
-
-
-def window_average_rank(df: DataFrame, value: str, name: str) -> DataFrame:
-    """Ascending average rank with one whole-table window (one task): only for
-    tables whose size was checked against ``SINGLE_TASK_RANK_MAX``."""
-    ties = F.count(F.lit(1)).over(Window.partitionBy(value))
-    rank = F.rank().over(Window.orderBy(F.col(value).asc()))
-    return df.withColumn(name, rank + (ties - 1) / 2.0)
-
-
-def store_rank(stats: DataFrame, single_task_max: int = SINGLE_TASK_RANK_MAX,
-               n_rows: int | None = None) -> DataFrame:
-    """store_rank (descending average rank), store_percentile (ascending average
-    rank / N). One ranking: descending average rank = N + 1 - ascending average
-    rank (exact, ties included). The per-entity table is counted first (a small
-    aggregate job, or ``n_rows`` when the caller already has it); a table within
-    ``single_task_max`` rows is ranked with one window, a larger one with the
-    distributed ``average_rank``."""
-    n_rows = stats.count() if n_rows is None else n_rows
-    if n_rows <= single_task_max:
-        out = window_average_rank(stats, "store_mean_sales", "_asc_rank")
-    else:
-        out = average_rank(stats, "store_mean_sales", ascending=True, name="_asc_rank")
-    n = F.lit(n_rows)
-    return (out.withColumn("store_rank", (n + 1 - F.col("_asc_rank")).cast("double"))
-            .withColumn("store_percentile", (F.col("_asc_rank") / n).cast("double"))
-            .drop("_asc_rank"))
-
-
-def store_size_bins(stats: DataFrame, labels=C.STORE_SIZE_LABELS,
-                    bounds: tuple[float, float] | None = None) -> DataFrame:
+def store_size_bins(stats: DataFrame, labels=C.STORE_SIZE_LABELS) -> DataFrame:
     """Three equal-width, right-closed bins of store_mean_sales over [min, max];
-    all-equal means fall in the middle bin. min/max are given by the caller or
-    come from one scalar subquery."""
+    all-equal means fall in the middle bin. min/max come from one scalar subquery."""
     m = F.col("store_mean_sales")
-    if bounds is None:
-        b = stats.select(F.struct(F.min(m).alias("lo"), F.max(m).alias("hi"))).scalar()
-        lo, hi = b.getField("lo"), b.getField("hi")
-    else:
-        lo, hi = F.lit(bounds[0]).cast("double"), F.lit(bounds[1]).cast("double")
+    b = stats.select(F.struct(F.min(m).alias("lo"), F.max(m).alias("hi"))).scalar()
+    lo, hi = b.getField("lo"), b.getField("hi")
     step = (hi - lo) / 3.0
     size = (F.when(m.isNull(), F.lit(None))
             .when(hi == lo, F.lit(labels[1]))
@@ -111,14 +59,8 @@ def store_size_bins(stats: DataFrame, labels=C.STORE_SIZE_LABELS,
 
 
 def store_table(train: DataFrame, entity: str = C.ENTITY, target: str = C.TARGET) -> DataFrame:
-    """Full per-entity table in the output order of the reference features."""
-    stats = store_stats(train, entity, target)
-    # one small job over the per-entity table: its size (rank strategy, N) and
-    # the bin bounds, used below as literals
-    prof = stats.agg(F.count(F.lit(1)).alias("n"), F.min("store_mean_sales").alias("lo"),
-                     F.max("store_mean_sales").alias("hi")).first()
-    bounds = None if prof["n"] == 0 else (prof["lo"], prof["hi"])
-    t = store_rank(store_size_bins(stats, bounds=bounds), n_rows=prof["n"])
+    """Full per-entity table in the output order of the reference features; lazy."""
+    t = store_rank(store_size_bins(store_stats(train, entity, target)))
     return t.select(entity, "store_mean_sales", "store_std_sales", "store_min_sales",
                     "store_max_sales", "store_median_sales", "store_rank", "store_percentile",
                     "store_cv", "store_size")

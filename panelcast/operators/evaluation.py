@@ -6,11 +6,14 @@ evaluation is a single shuffle of partial aggregates regardless of skew.
 """
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .. import config as C
 from ..functions import metrics as M
+from .order import quantiles
 
 
 def predictions_long(frame: DataFrame, pred_cols: dict[str, str], entity: str = C.ENTITY,
@@ -33,7 +36,18 @@ def union_model_results(*frames: DataFrame) -> DataFrame:
 
 
 def all_metrics(long: DataFrame, by=("model",), digits: int | None = 6) -> DataFrame:
-    return long.groupBy(*by).agg(*M.all_metric_columns("actual", "pred", digits))
+    """The eight metrics per group. Median_AE is exact; a group may hold any share of the
+    rows, so it comes from distributed positions (``order.quantiles``)."""
+    by = list(by)
+    plain = long.groupBy(*by).agg(*M.metric_columns("actual", "pred", digits))
+    error = long.select(*by, F.abs(F.col("actual") - F.col("pred")).alias("_error"))
+    median = quantiles(error, "_error", {"_m": 0.5}, by)
+    rounded = M.rounded_metric("Median_AE", F.col("_m"), digits).alias("Median_AE")
+    if not by:
+        return plain.withColumn("_m", median.scalar()).select(*plain.columns, rounded)
+    median = median.select(*[F.col(c).alias(f"_by{i}") for i, c in enumerate(by)], "_m")
+    same = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"_by{i}")) for i, c in enumerate(by)])
+    return plain.join(median, same, "left").select(*plain.columns, rounded)
 
 
 def metric_by(long: DataFrame, name: str, by=("model",), digits: int = 6) -> DataFrame:
@@ -95,15 +109,18 @@ def unmatched_predictions(actuals: DataFrame, long: DataFrame, entity: str = C.E
     return long.join(actuals.select(entity, time), [entity, time], "left_anti")
 
 
+REPORT = ("WMAPE", "MAE", "RMSE", "R2")
+
+
+def format_metrics(metrics: DataFrame, names=M.METRIC_NAMES) -> DataFrame:
+    """Any of the eight metrics as text, sorted by WMAPE. Formats from unrounded values."""
+    return metrics.orderBy("WMAPE", "model").select(
+        F.col("model").alias("Model"), *[M.format_metric(n, F.col(n)).alias(n) for n in names])
+
+
 def metrics_report(metrics: DataFrame) -> DataFrame:
-    """Model, WMAPE 'x.xx%', MAE/RMSE '$x,xxx', R2 '0.xxxx', sorted by WMAPE.
-    Formats from unrounded values."""
-    return (metrics.orderBy("WMAPE", "model").select(
-        F.col("model").alias("Model"),
-        F.format_string("%.2f%%", F.col("WMAPE")).alias("WMAPE"),
-        F.concat(F.lit("$"), F.format_number(F.col("MAE"), 0)).alias("MAE"),
-        F.concat(F.lit("$"), F.format_number(F.col("RMSE"), 0)).alias("RMSE"),
-        F.format_string("%.4f", F.col("R2")).alias("R2")))
+    """Model, WMAPE 'x.xx%', MAE/RMSE '$x,xxx', R2 '0.xxxx', sorted by WMAPE."""
+    return format_metrics(metrics, REPORT)
 
 
 def select_model(long: DataFrame, model: str | None = None) -> DataFrame:

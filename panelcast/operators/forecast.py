@@ -7,13 +7,12 @@
 * ``trend_seasonal_forecast``: per-entity regression of log(y) on trend, yearly
   Fourier terms, holiday indicators and regressors, one ``applyInPandas`` group
   per entity (the only Python step; each group is one series).
-* Ensemble weights: WMAPE over a simplex grid (a literal array of candidates,
-  evaluated per row and partial-aggregated per candidate), coarse then fine.
+* Ensemble weights: least absolute error on the simplex, one small aggregate per step.
 """
 from __future__ import annotations
 
 import itertools
-import math
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -22,6 +21,7 @@ from pyspark.sql import functions as F
 
 from .. import config as C
 from ..functions.calendar import DEFAULT_CALENDAR, HolidayCalendar, near_holiday
+from ..session import materialize, ship_package
 from .history import series_window
 from .panel import exact_mean, with_split
 
@@ -88,21 +88,27 @@ def _fit_predict_group(pdf: pd.DataFrame, order: int, ridge: float, fallback: fl
         reg = frame[["r0", "r1", "r2", "r3"]].to_numpy(float)
         return t, doy, hol, reg
 
-    ok = (len(tr) >= 8) and bool((tr["y"] > 0).all())
-    if ok:
+    # a multiplicative model learns from the positive rows; the ridge carries short series
+    mean = tr["y"].mean()
+    tr = tr[tr["y"] > 0]
+    if len(tr):
         t, doy, hol, reg = feats(tr)
-        mu, sd = reg.mean(0), reg.std(0)
+        known = ~np.isnan(reg)
+        count = np.maximum(known.sum(0), 1)
+        mu = np.where(known, reg, 0).sum(0) / count
+        sd = np.sqrt((np.where(known, reg - mu, 0) ** 2).sum(0) / count)
         sd[sd == 0] = 1.0
+        reg = np.where(known, reg, mu)  # an unknown regressor has no effect
         X = _design(t, doy, hol, (reg - mu) / sd, order)
         ly = np.log(tr["y"].to_numpy(float))
         pen = ridge * np.eye(X.shape[1])
         pen[0, 0] = 0.0
         beta = np.linalg.solve(X.T @ X + pen, X.T @ ly)
         t2, doy2, hol2, reg2 = feats(te)
-        X2 = _design(t2, doy2, hol2, (reg2 - mu) / sd, order)
+        X2 = _design(t2, doy2, hol2, (np.where(np.isnan(reg2), mu, reg2) - mu) / sd, order)
         out["pred"] = np.exp(X2 @ beta)
     else:
-        out["pred"] = float(tr["y"].mean()) if len(tr) else fallback
+        out["pred"] = float(mean) if mean == mean else fallback
     return out
 
 
@@ -113,8 +119,11 @@ def trend_seasonal_forecast(panel: DataFrame, val_start: str = C.VALIDATION_STAR
                             entity: str = C.ENTITY, time: str = C.TIME,
                             target: str = C.TARGET) -> DataFrame:
     """Multiplicative trend + yearly seasonality + holidays (+-1 day) + the four
-    regressors, fitted per entity on training rows; predictions for validation
-    rows. Output: entity, time, actual, pred."""
+    regressors, fitted per entity on training rows with a positive target; predictions for
+    validation rows. A missing regressor has no effect. Without a positive row the
+    prediction is the training mean, without training rows ``fallback``. Rows without a
+    date are left out. Output: entity, time, actual, pred."""
+    ship_package(panel.sparkSession)
     d = F.col(time)
     hol_cols = {f"hol_{i}": near_holiday(d, calendar, n, half_width=1)
                 for i, n in enumerate(calendar.names)}
@@ -123,7 +132,7 @@ def trend_seasonal_forecast(panel: DataFrame, val_start: str = C.VALIDATION_STAR
                         F.col(target).cast("double").alias("y"),
                         (d < F.lit(val_start).cast("date")).alias("is_train"),
                         *regs, *[c.alias(k) for k, c in hol_cols.items()])
-    schema = "entity int, ds date, y double, pred double"
+    schema = f"entity {panel.schema[entity].dataType.simpleString()}, ds date, y double, pred double"
 
     def fn(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.copy()
@@ -132,7 +141,7 @@ def trend_seasonal_forecast(panel: DataFrame, val_start: str = C.VALIDATION_STAR
         out["ds"] = out["ds"].dt.date
         return out[["entity", "ds", "y", "pred"]]
 
-    res = base.groupBy("entity").applyInPandas(fn, schema)
+    res = base.filter(F.col("ds").isNotNull()).groupBy("entity").applyInPandas(fn, schema)
     return res.select(F.col("entity").alias(entity), F.col("ds").alias(time),
                       F.col("y").alias("actual"), "pred")
 
@@ -148,97 +157,109 @@ def ensemble_gate(metrics: DataFrame, max_wmape: float = C.ENSEMBLE_MAX_WMAPE,
                           (ok & (n_ok >= min_models)).alias("blend"))
 
 
-def simplex_grid(k: int, steps: int) -> list[tuple[int, ...]]:
-    """All k-tuples of non-negative integers summing to ``steps`` (weights n/steps)."""
-    out = []
-    for head in itertools.product(range(steps + 1), repeat=k - 1):
-        s = sum(head)
-        if s <= steps:
-            out.append(tuple(head) + (steps - s,))
-    return out
+def _blend(cols: list[str], weights):
+    """Weighted sum of columns, in order."""
+    return reduce(lambda x, y: x + y, [F.lit(float(w)) * F.col(c) for c, w in zip(cols, weights)])
 
 
-def fine_grid(best: tuple[int, ...], radius: int, scale: int) -> list[tuple[int, ...]]:
-    """Lattice points (in 1/scale units) within +-radius of ``best`` on the simplex."""
-    out = []
-    for head in itertools.product(*[range(max(0, b - radius), min(scale, b + radius) + 1)
-                                    for b in best[:-1]]):
-        last = scale - sum(head)
-        if 0 <= last <= scale:
-            out.append(tuple(head) + (last,))
-    return out
+def _on_simplex(v: np.ndarray) -> np.ndarray:
+    """Nearest point with non-negative entries that sum to one."""
+    u = np.sort(v)[::-1]
+    level = (np.cumsum(u) - 1) / np.arange(1, len(v) + 1)
+    return np.maximum(v - level[np.flatnonzero(u > level)[-1]], 0)
 
 
-def _grid_argmin(wide: DataFrame, cols: list[str], grid: list[tuple[int, ...]], scale: int):
-    """Sum of |actual - blend| for every grid point; returns the weights of the
-    lexicographically smallest (error, weights).
+def _least_squares_on_simplex(g: np.ndarray, c: np.ndarray, w: np.ndarray) -> np.ndarray:
+    """argmin w'Gw/2 - c'w over the simplex, by accelerated projected gradient (k x k)."""
+    step = 1.0 / max(np.linalg.eigvalsh(g)[-1], 1e-300)
+    x, y, t = w, w, 1.0
+    for _ in range(20_000):
+        new = _on_simplex(y - step * (g @ y - c))
+        t2 = (1 + np.sqrt(1 + 4 * t * t)) / 2
+        if np.abs(new - x).max() < 1e-12:
+            return new
+        y = new + (t - 1) / t2 * (new - x)
+        x, t = new, t2
+    return x
 
-    The candidate weights are one literal array (plan size independent of the
-    grid); each row evaluates all candidates with one ``transform`` and the
-    per-candidate sums are partial-aggregated in the same stage, so only
-    (#partitions x #candidates) rows are shuffled. Grid order is lexicographic
-    in the weights, so the candidate index breaks ties like the weights do.
-    """
-    # one array<array<double>> literal node, whatever the grid size
-    cands = F.lit([[wi / scale for wi in g] for g in grid])
-    a = F.col("actual")
 
-    def err(g):
-        blend = None
-        for j, c in enumerate(cols):
-            term = g[j] * F.col(c)
-            blend = term if blend is None else blend + term
-        return F.abs(a - blend)
-
-    per_row = wide.select(F.posexplode(F.transform(cands, err)).alias("cand", "err"))
-    best = (per_row.groupBy("cand").agg(F.sum("err").alias("err"))
-            .orderBy("err", "cand").first())
-    if best is None:          # no rows to fit on: keep the first grid point
-        return None, grid[0]
-    return best["err"], grid[best["cand"]]
-
-
-MAX_GRID_CANDIDATES = 2_000
-
-
-def _grid_size(k: int, steps: int) -> int:
-    return math.comb(steps + k - 1, k - 1)
-
-
-def grid_plan(k: int, coarse: int = 10, fine: int = 100, radius: int = 10,
-              max_candidates: int = MAX_GRID_CANDIDATES) -> tuple[int, int]:
-    """(coarse steps, fine radius) keeping each pass within ``max_candidates``
-    candidates: the coarse simplex has C(steps+k-1, k-1) points and the fine box
-    (2r+1)^(k-1). Three models keep the defaults (66 and 441 candidates)."""
-    while coarse > 1 and _grid_size(k, coarse) > max_candidates:
-        coarse -= 1
-    while coarse > 1 and fine % coarse:
-        coarse -= 1
-    r = radius
-    while r > 1 and (2 * r + 1) ** (k - 1) > max_candidates:
-        r -= 1
-    return coarse, r
-
-
-def ensemble_weights(wide: DataFrame, models: list[str], coarse: int = 10, fine: int = 100,
-                     radius: int = 10) -> DataFrame:
-    """Simplex weights minimising WMAPE of the blend (sum(actual) is constant, so
-    the sum of absolute errors is minimised). Coarse grid (1/coarse) then a fine
-    grid (1/fine) around the coarse optimum; two aggregation jobs. With many
-    models the coarse step and fine radius shrink (``grid_plan``) so each pass
-    evaluates a bounded number of candidates.
-    ``wide`` has ``actual`` and one ``<model>_Pred`` column per model."""
+def _absolute_error_weights(wide: DataFrame, cols: list[str], rounds: int = 14) -> np.ndarray:
+    """Weights on the simplex with the least sum of absolute errors, by iteratively
+    reweighted least squares: a round is one aggregate of k(k+3)/2 + 1 sums, for any number
+    of rows and models. Errors below a floor that shrinks every round weigh alike."""
+    k = len(cols)
+    w, best, best_error = np.full(k, 1 / k), np.full(k, 1 / k), np.inf
+    a = F.col("actual")
+    floor = (wide.agg(F.avg(F.abs(a))).first()[0] or 1.0) / 10
+    for _ in range(rounds):
+        r = F.abs(a - _blend(cols, w))
+        q = 1.0 / F.greatest(r, F.lit(floor))
+        sums = [F.sum(r)] + [F.sum(q * F.col(c) * a) for c in cols]
+        sums += [F.sum(q * F.col(cols[i]) * F.col(cols[j])) for i in range(k) for j in range(i, k)]
+        got = wide.agg(*sums).first()
+        if got[0] is None:
+            return best
+        if got[0] < best_error:
+            best, best_error = w, got[0]
+        g = np.zeros((k, k))
+        g[np.triu_indices(k)] = got[1 + k:]
+        g = g + np.triu(g, 1).T
+        new = _least_squares_on_simplex(g, np.array(got[1:1 + k]), w)
+        if np.abs(new - w).max() < 1e-6 and floor < 1e-6:
+            break
+        w, floor = new, floor / 4
+    return best
+
+
+def _on_lattice(w: np.ndarray, steps: int) -> tuple[int, ...]:
+    """Multiples of 1/steps that sum to one, by largest remainders."""
+    low = np.floor(w * steps + 1e-9).astype(int)
+    for i in np.argsort(-(w * steps - low), kind="stable")[:steps - low.sum()]:
+        low[i] += 1
+    return tuple(int(x) for x in low)
+
+
+def ensemble_weights(wide: DataFrame, models: list[str], steps: int = 100) -> DataFrame:
+    """Simplex weights, in multiples of 1/steps, minimising WMAPE of the blend (the sum of
+    actuals is constant, so the sum of absolute errors is minimised). The exact optimum on
+    the whole simplex comes first; its lattice point is then improved by moving weight
+    between pairs of models while that lowers the error (ties: smaller weights first).
+    There is no candidate grid, so any number of models has the same resolution.
+    ``wide`` has ``actual`` and one ``<model>_Pred`` column per model; rows with a null
+    among them do not count."""
     spark = wide.sparkSession
     if not models:
         return spark.createDataFrame([], "model string, weight double")
     if len(models) == 1:
         return spark.createDataFrame([(models[0], 1.0)], "model string, weight double")
     cols = [f"{m}_Pred" for m in models]
-    coarse, radius = grid_plan(len(cols), coarse, fine, radius)
-    _, best = _grid_argmin(wide, cols, simplex_grid(len(cols), coarse), coarse)
-    best_fine = tuple(b * (fine // coarse) for b in best)
-    _, w = _grid_argmin(wide, cols, fine_grid(best_fine, radius, fine), fine)
-    return spark.createDataFrame([(m, wi / fine) for m, wi in zip(models, w)],
+    wide = materialize(wide.select("actual", *cols).dropna())  # read once a round
+    best = _on_lattice(_absolute_error_weights(wide, cols), steps)
+    total = wide.agg(F.sum(F.abs(F.col("actual")))).first()[0] or 0.0
+    # a single model that is as good as the blend is preferred
+    alone = {tuple(steps * (i == j) for j in range(len(cols))) for i in range(len(cols))}
+    size, done = 4, None  # furthest move
+    seen: dict[tuple[int, ...], float] = {}
+    while best != done:
+        done, near = best, {best} | alone
+        for i, j in itertools.permutations(range(len(cols)), 2):
+            for n in range(1, size + 1):
+                if best[j] >= n:
+                    move = list(best)
+                    move[i] += n
+                    move[j] -= n
+                    near.add(tuple(move))
+        new = sorted(near - seen.keys())
+        for at in range(0, len(new), 64):  # sums of a bounded number of points a job
+            part = new[at:at + 64]
+            errors = wide.agg(*[F.sum(F.abs(F.col("actual") - _blend(cols, [x / steps for x in g])))
+                                for g in part]).first()
+            seen.update(zip(part, errors))
+        if seen[best] is None:  # no rows
+            break
+        # errors that differ by rounding only are equal; then smaller weights come first
+        best = min(near, key=lambda g: (float(f"{max(seen[g], 1e-12 * total):.12g}"), g))
+    return spark.createDataFrame([(m, w / steps) for m, w in zip(models, best)],
                                  "model string, weight double")
 
 

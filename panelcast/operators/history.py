@@ -11,7 +11,6 @@ exclude the current row (frame [-w, -1]); mean/min/max need one value, std two.
 """
 from __future__ import annotations
 
-import math
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -60,29 +59,50 @@ def rolling_columns(target: str, w, windows=C.ROLLING_WINDOWS, exact: bool = Tru
     return cols
 
 
-def ewma_horizon(span: int, tol: float = 1e-17) -> int:
-    """Rows after which the EWMA weight (1-a)^K falls below ``tol`` relative to
-    the weight sum, i.e. below half an ulp of a double (2^-53 ~ 1.1e-16): the
-    older rows cannot change the double result, so the frame [-K, -1] computes
-    the unbounded EWMA exactly in double arithmetic (K = 77 / 156 / 234 for
-    spans 4 / 8 / 12) at O(K) per row."""
-    decay = 1.0 - 2.0 / (span + 1.0)
-    return int(math.ceil(math.log(tol) / math.log(decay)))
+# Rows of a series block: scaling by decay^-EWMA_BLOCK stays far inside a double's range.
+EWMA_BLOCK = 512
 
 
-def ewma_column(target: str, w, span: int) -> Column:
-    """Adjusted EWMA (alpha = 2/(span+1)) of the previous rows, min_periods = 1.
+def ewma_columns(target: str, spans=C.EWMA_SPANS, entity=C.ENTITY, time: str = C.TIME) -> dict[str, Column]:
+    """Adjusted EWMA (alpha = 2/(span+1)) of all previous rows, min_periods = 1:
 
-    sum_i (1-a)^i y[t-1-i] / sum_i (1-a)^i. The numerator is folded over the
-    frame in time order with a plain double accumulator (Horner); the weight sum
-    has the closed form (1 - (1-a)^m) / a for m values.
+    sum_i (1-a)^(t-1-i) y[i] / sum_i (1-a)^(t-1-i) over the rows i < t whose y is not
+    null; a null row has no weight but ages the others. There is no cut: a series is
+    taken in blocks of EWMA_BLOCK rows. Inside a block both sums are running sums of
+    values scaled by (1-a)^-position; the state at each block's end is folded over the
+    blocks before. The work is linear in the rows, and the block windows reuse the
+    entity's partitioning.
     """
-    decay = 1.0 - 2.0 / (span + 1.0)
-    k = ewma_horizon(span)
-    hist = F.collect_list(F.col(target)).over(w.rowsBetween(-k, -1))
-    num = F.aggregate(hist, F.lit(0.0), lambda acc, x: acc * decay + x)
-    den = (F.lit(1.0) - F.pow(F.lit(decay), F.size(hist))) / (1.0 - decay)
-    return F.when(F.size(hist) > 0, num / den)
+    keys = [entity] if isinstance(entity, str) else list(entity)
+    w = series_window(entity, time)
+    row = F.row_number().over(w) - 1
+    block, at = F.floor(row / EWMA_BLOCK), row % EWMA_BLOCK
+    inside = (Window.partitionBy(*keys, "_ewma_block").orderBy(time)
+              .rowsBetween(Window.unboundedPreceding, -1))
+    earlier = w.rowsBetween(Window.unboundedPreceding, -1)
+    out = {"_ewma_block": block, "_ewma_at": at}
+    y = F.col(target).cast("double")
+    for span in spans:
+        decay = 1.0 - 2.0 / (span + 1.0)
+        scale = F.pow(F.lit(decay), -F.col("_ewma_at"))
+        sums = []
+        for value in (y, F.when(y.isNotNull(), F.lit(1.0))):
+            scaled = value * scale
+            running = F.coalesce(F.sum(scaled).over(inside), F.lit(0.0))
+            # the sum as it stands at a block's last row, for the blocks after it
+            state = F.when(F.col("_ewma_at") == EWMA_BLOCK - 1,
+                           F.col(f"_run{len(sums)}_{span}") + F.coalesce(scaled, F.lit(0.0))
+                           ) * (decay ** (EWMA_BLOCK - 1))
+            sums.append((running, state))
+        for i, (running, state) in enumerate(sums):
+            out[f"_run{i}_{span}"] = running
+            out[f"_state{i}_{span}"] = state
+            before = F.aggregate(F.collect_list(F.col(f"_state{i}_{span}")).over(earlier), F.lit(0.0),
+                                 lambda acc, x: acc * (decay ** EWMA_BLOCK) + x)
+            out[f"_sum{i}_{span}"] = (F.col(f"_run{i}_{span}") * F.pow(F.lit(decay), F.col("_ewma_at") - 1)
+                                      + before * F.pow(F.lit(decay), F.col("_ewma_at")))
+        out[f"ewma_{span}w"] = F.when(F.col(f"_sum1_{span}") > 0, F.col(f"_sum0_{span}") / F.col(f"_sum1_{span}"))
+    return out
 
 
 def rolling_features(df: DataFrame, windows=C.ROLLING_WINDOWS, spans=C.EWMA_SPANS,
@@ -90,14 +110,16 @@ def rolling_features(df: DataFrame, windows=C.ROLLING_WINDOWS, spans=C.EWMA_SPAN
                      exact: bool = True) -> DataFrame:
     w = series_window(entity, time)
     cols = rolling_columns(target, w, windows, exact)
-    cols.update({f"ewma_{s}w": ewma_column(target, w, s) for s in spans})
-    return df.withColumns(cols)
+    return ewma_features(df.withColumns(cols), spans, entity, time, target)
 
 
 def ewma_features(df: DataFrame, spans=C.EWMA_SPANS, entity=C.ENTITY, time: str = C.TIME,
                   target: str = C.TARGET) -> DataFrame:
-    w = series_window(entity, time)
-    return df.withColumns({f"ewma_{s}w": ewma_column(target, w, s) for s in spans})
+    columns = ewma_columns(target, spans, entity, time)
+    out = df
+    for prefix in ("_ewma", "_run", "_state", "_sum", "ewma_"):  # each step reads the one before
+        out = out.withColumns({n: c for n, c in columns.items() if n.startswith(prefix)})
+    return out.drop(*[n for n in columns if n.startswith("_")])
 
 
 def trend_features(df: DataFrame, entity=C.ENTITY, time: str = C.TIME,

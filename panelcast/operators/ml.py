@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 
 from .. import config as C
 from ..functions import metrics as M
+from .evaluation import all_metrics
 
 FEATURES = "features"
 
@@ -100,8 +101,7 @@ def top_features(importances: DataFrame, k: int = C.TOP_FEATURES) -> DataFrame:
 
 
 def evaluate(pred: DataFrame, label: str = C.TARGET, model_name: str = "model") -> DataFrame:
-    return (pred.withColumn("model", F.lit(model_name))
-            .groupBy("model").agg(*M.all_metric_columns(label, "pred")))
+    return all_metrics(pred.select(F.col(label).alias("actual"), "pred", F.lit(model_name).alias("model")))
 
 
 def sample_params(space: dict, n: int, seed: int = C.SEED) -> list[dict]:

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .. import config as C
+from .order import quantiles
 
 EXACT = "decimal(18,4)"
 
@@ -25,31 +26,32 @@ def validate_panel(df: DataFrame, entity: str = C.ENTITY, time: str = C.TIME,
     """One row: total_rows, n_stores, n_weeks, date_min, date_max, missing_<col>,
     duplicates (full-row), negative_sales, complete_coverage."""
     cols = df.columns
-    # Full-row duplicate detection needs one grouping on all columns; every other
-    # statistic is then read from the grouped rows weighted by their multiplicity.
-    g = df.groupBy(*cols).agg(F.count(F.lit(1)).alias("_m"))
-    m = F.col("_m")
-    aggs = [F.sum(m).alias("total_rows"),
+    aggs = [F.count(F.lit(1)).alias("total_rows"),
             F.count_distinct(entity).alias("n_stores"),
             F.count_distinct(time).alias("n_weeks"),
             F.min(time).alias("date_min"), F.max(time).alias("date_max")]
-    aggs += [F.coalesce(F.sum(F.when(F.col(c).isNull(), m)), F.lit(0)).alias(f"missing_{c}") for c in cols]
-    aggs += [F.sum(m - 1).alias("duplicates"),
-             F.coalesce(F.sum(F.when(F.col(target) < 0, m)), F.lit(0)).alias("negative_sales")]
-    out = g.agg(*aggs)
+    aggs += [F.count_if(F.col(c).isNull()).alias(f"missing_{c}") for c in cols]
+    # only rows whose hash repeats are compared in full
+    row_hash = F.xxhash64(*cols)
+    repeated = (df.groupBy(row_hash.alias("_h")).agg(F.count(F.lit(1)).alias("_m")).filter("_m > 1")
+                .select("_h"))
+    same = (df.withColumn("_h", row_hash).join(repeated, "_h").groupBy(*cols)
+            .agg(F.count(F.lit(1)).alias("_m")).agg(F.coalesce(F.sum(F.col("_m") - 1), F.lit(0))))
+    aggs += [F.coalesce(same.scalar(), F.lit(0)).alias("duplicates"),
+             F.count_if(F.col(target) < 0).alias("negative_sales")]
+    out = df.agg(*aggs)
     return out.withColumn("complete_coverage",
                           F.col("total_rows") == F.col("n_stores") * F.col("n_weeks"))
 
 
 def panel_summary(df: DataFrame, entity: str = C.ENTITY, time: str = C.TIME,
-                  target: str = C.TARGET, flag: str = C.HOLIDAY_FLAG,
-                  exact: bool = True) -> DataFrame:
+                  target: str = C.TARGET, flag: str = C.HOLIDAY_FLAG) -> DataFrame:
     """One row: shape, date range, weeks, stores, target mean/std/min/max/median,
     holiday weeks count and percentage. The (unbounded) list of entities is a
-    separate query (``store_list``), never packed into one row. ``exact=False``
-    computes the median with a bounded-memory sketch instead of an exact
-    value->count map (one group = the whole panel)."""
+    separate query (``store_list``), never packed into one row. The median is exact
+    and comes from distributed positions (``order.quantiles``)."""
     y = F.col(target)
+    median = quantiles(df, target, {"m": 0.5}).scalar()
     return df.agg(
         F.count(F.lit(1)).alias("n_rows"),
         F.lit(len(df.columns)).alias("n_cols"),
@@ -59,7 +61,7 @@ def panel_summary(df: DataFrame, entity: str = C.ENTITY, time: str = C.TIME,
         exact_mean(y).alias("sales_mean"),
         F.round(F.stddev_samp(y), 2).alias("sales_std"),
         F.min(y).alias("sales_min"), F.max(y).alias("sales_max"),
-        (F.median(y) if exact else F.percentile_approx(y, 0.5, 100_000)).alias("sales_median"),
+        median.alias("sales_median"),
         F.sum(flag).cast("long").alias("holiday_count"),
         F.round(F.avg(flag) * 100, 6).alias("holiday_pct"))
 
@@ -69,9 +71,11 @@ def store_list(df: DataFrame, entity: str = C.ENTITY) -> DataFrame:
 
 
 def with_split(df: DataFrame, val_start: str = C.VALIDATION_START, time: str = C.TIME) -> DataFrame:
-    """Adds ``split`` = 'train' (time < start) | 'validation' (time >= start)."""
-    return df.withColumn("split", F.when(F.col(time) < F.lit(val_start).cast("date"), "train")
-                         .otherwise("validation"))
+    """Adds ``split`` = 'train' (time < start) | 'validation' (time >= start); a row
+    without a date is in neither."""
+    start = F.lit(val_start).cast("date")
+    return df.withColumn("split", F.when(F.col(time) < start, "train")
+                         .when(F.col(time) >= start, "validation"))
 
 
 def time_split(df: DataFrame, val_start: str = C.VALIDATION_START,
@@ -106,6 +110,16 @@ def drop_missing(df: DataFrame) -> DataFrame:
     return df.dropna(how="any")
 
 
+def handle_missing(df: DataFrame, strategy: str = "drop", entity: str = C.ENTITY) -> DataFrame:
+    """``drop`` rows with a null, or ``fill`` numeric nulls with the entity's mean; any other
+    strategy is refused."""
+    if strategy == "drop":
+        return drop_missing(df)
+    if strategy == "fill":
+        return fill_missing_store_mean(df, entity)
+    raise ValueError(f"unknown strategy for missing values: {strategy!r}")
+
+
 def fill_missing_store_mean(df: DataFrame, entity: str = C.ENTITY,
                             columns: list[str] | None = None) -> DataFrame:
     """Numeric nulls -> the entity's mean of that column (all rows of the entity).

@@ -30,15 +30,6 @@ def history_features(df: DataFrame, include_lag: bool = True, include_rolling: b
     return hist.trend_features(df, entity, time, target, leak_safe=leak_safe)
 
 
-def spread_series(df: DataFrame, entity: str = C.ENTITY) -> DataFrame:
-    """Hash-partition the panel by entity over the cluster's parallelism before
-    the history windows. The windows reuse this partitioning (no extra
-    exchange); it only stops AQE from coalescing a byte-small but CPU-heavy
-    window stage (EWMA folds, several frames) into a single task. A series is
-    never split across partitions."""
-    return df.repartition(df.sparkSession.sparkContext.defaultParallelism, entity)
-
-
 def row_features(df: DataFrame, time: str = C.TIME,
                  calendar: HolidayCalendar = DEFAULT_CALENDAR) -> DataFrame:
     df = cf.temporal_features(df, time)
@@ -51,7 +42,7 @@ def engineer_features(df: DataFrame, train: DataFrame | None = None, include_lag
                       calendar: HolidayCalendar = DEFAULT_CALENDAR) -> DataFrame:
     """temporal -> cyclical -> holiday -> lag -> rolling -> trend -> store ->
     economic -> interaction. Statistics come from ``train`` when given."""
-    out = row_features(spread_series(df), calendar=calendar)
+    out = row_features(df, calendar=calendar)
     out = history_features(out, include_lag, include_rolling, leak_safe)
     out = ent.store_features(out, train)
     out = eco.economic_features(out, train)
@@ -61,21 +52,19 @@ def engineer_features(df: DataFrame, train: DataFrame | None = None, include_lag
 def engineer_features_split(full: DataFrame, val_start: str = C.VALIDATION_START,
                             include_lag: bool = True, include_rolling: bool = True,
                             leak_safe: bool = False, diff_scope: str = "split",
-                            calendar: HolidayCalendar = DEFAULT_CALENDAR,
-                            spread: bool = True) -> DataFrame:
+                            calendar: HolidayCalendar = DEFAULT_CALENDAR) -> DataFrame:
     """History features on the full series, then the split; entity and economic
     statistics from training rows only. Returns one frame with a ``split``
     column ('train' | 'validation').
 
     ``diff_scope='split'`` restarts the economic changes at the split boundary
     (each entity's first validation row has NULL changes); ``'full'`` computes
-    them on the whole series. ``spread=False`` leaves partition sizing to AQE
-    (used for tree-model input, where fewer byte-sized partitions train faster).
+    them on the whole series. Partition sizes are AQE's.
     """
     # statistics read the training rows of the input panel directly (same values
     # as the featured rows, without re-running the feature windows)
     train = full.filter(F.col(C.TIME) < F.lit(val_start).cast("date"))
-    out = row_features(spread_series(full) if spread else full, calendar=calendar)
+    out = row_features(full, calendar=calendar)
     out = history_features(out, include_lag, include_rolling, leak_safe)
     out = cf.interaction_features(out)
     out = with_split(out, val_start)
@@ -96,9 +85,3 @@ def feature_columns(df: DataFrame, exclude=C.FEATURE_EXCLUDE + ("split",)) -> li
     """Numeric columns except date, target and the categorical labels (schema order)."""
     return [f.name for f in df.schema.fields
             if f.name not in exclude and isinstance(f.dataType, NUMERIC)]
-
-
-def leaky_columns() -> tuple[str, ...]:
-    """Columns that are functions of the current target in the parity feature set."""
-    return ("sales_diff_1", "sales_diff_4", "sales_pct_change_1", "sales_pct_change_4",
-            "above_rolling_mean_4w", "trend_strength")

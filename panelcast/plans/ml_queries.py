@@ -156,8 +156,7 @@ def q_random_search(spark, sf):
     from .training import tuning_split
     train, _, cols = _ml_data(spark, sf)
     fit_rows, tune_rows = tuning_split(train)
-    trials = int(os.environ.get("PANELCAST_QUERY_TRIALS", "4"))
-    res = ml.random_search("GBTShallow", fit_rows, tune_rows, cols, n_trials=trials)
+    res = ml.random_search("GBTShallow", fit_rows, tune_rows, cols)
     rows = [(i, json.dumps(p, sort_keys=True), w) for i, p, w in res]
     return spark.createDataFrame(rows, "trial int, params string, WMAPE double")
 

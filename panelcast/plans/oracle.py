@@ -8,7 +8,6 @@ import math
 from .. import config as C
 from ..functions.calendar import rule_calendar
 from ..operators import forecast as fc
-from ..operators.history import ewma_horizon
 from ..sources.star import panel_sql
 
 VS = C.VALIDATION_START
@@ -89,17 +88,15 @@ def rolling(windows=C.ROLLING_WINDOWS) -> str:
 
 
 def ewma_ctes(src: str = "panel") -> list[tuple[str, str]]:
-    kmax = max(ewma_horizon(s) for s in C.EWMA_SPANS)
+    """Every earlier row of the series weighs in (unbounded self join)."""
     cols = []
     for s in C.EWMA_SPANS:
-        d = repr(1.0 - 2.0 / (s + 1.0))
-        k = ewma_horizon(s)
-        wexpr = f"pow({d}, a.rn - 1 - b.rn)"
-        cols.append(f"sum(CASE WHEN a.rn - b.rn <= {k} THEN b.Weekly_Sales * {wexpr} END) / "
-                    f"sum(CASE WHEN a.rn - b.rn <= {k} THEN {wexpr} END) AS ewma_{s}w")
+        wexpr = f"pow({1.0 - 2.0 / (s + 1.0)!r}, a.rn - 1 - b.rn)"
+        cols.append(f"sum(b.Weekly_Sales * {wexpr}) / sum(CASE WHEN b.Weekly_Sales IS NOT NULL THEN {wexpr} END) "
+                    f"AS ewma_{s}w")
     return [("ewrn", f"SELECT Store, Date, Weekly_Sales, row_number() OVER ({W}) AS rn FROM {src}"),
             ("ew", f"""SELECT a.Store, a.Date, {', '.join(cols)}
-                       FROM ewrn a JOIN ewrn b ON a.Store = b.Store AND b.rn < a.rn AND b.rn >= a.rn - {kmax}
+                       FROM ewrn a JOIN ewrn b ON a.Store = b.Store AND b.rn < a.rn
                        GROUP BY a.Store, a.Date""")]
 
 
@@ -125,10 +122,13 @@ def store_ctes(train_src: str = "panel", train_filter: str = f"Date < DATE '{VS}
                     max(Weekly_Sales) AS store_max_sales, median(Weekly_Sales) AS store_median_sales
                     FROM {train_src} WHERE {train_filter} GROUP BY Store"""),
         ("st1", """SELECT *,
-                   CAST(rank() OVER (ORDER BY store_mean_sales DESC) AS DOUBLE)
-                     + (count(*) OVER (PARTITION BY store_mean_sales) - 1) / 2.0 AS store_rank,
-                   (rank() OVER (ORDER BY store_mean_sales ASC)
-                     + (count(*) OVER (PARTITION BY store_mean_sales) - 1) / 2.0) / count(*) OVER () AS store_percentile,
+                   CASE WHEN store_mean_sales IS NOT NULL THEN
+                     CAST(rank() OVER (ORDER BY store_mean_sales DESC NULLS LAST) AS DOUBLE)
+                     + (count(*) OVER (PARTITION BY store_mean_sales) - 1) / 2.0 END AS store_rank,
+                   CASE WHEN store_mean_sales IS NOT NULL THEN
+                     (rank() OVER (ORDER BY store_mean_sales ASC NULLS LAST)
+                     + (count(*) OVER (PARTITION BY store_mean_sales) - 1) / 2.0)
+                     / count(store_mean_sales) OVER () END AS store_percentile,
                    store_std_sales / store_mean_sales AS store_cv
                    FROM st0"""),
         ("st", """SELECT Store, store_mean_sales, store_std_sales, store_min_sales, store_max_sales,
@@ -168,7 +168,7 @@ def economic(part: str) -> str:
   CPI / (Unemployment + 0.1) AS cpi_unemployment_ratio"""
 
 
-SPLIT = f"CASE WHEN Date < DATE '{VS}' THEN 'train' ELSE 'validation' END AS split"
+SPLIT = f"CASE WHEN Date < DATE '{VS}' THEN 'train' WHEN Date >= DATE '{VS}' THEN 'validation' END AS split"
 
 ROUND_COLS = {**{f"rolling_std_{k}w": 2 for k in C.ROLLING_WINDOWS},
               **{f"ewma_{s}w": 2 for s in C.EWMA_SPANS},
@@ -221,13 +221,14 @@ def baseline_ctes() -> list[tuple[str, str]]:
 
 def metric_exprs(digits: int | None = 6) -> dict[str, str]:
     e = {
-        "WMAPE": "sum(abs(actual - pred)) / NULLIF(sum(actual), 0) * 100",
+        "WMAPE": "sum(abs(actual - pred)) / NULLIF(sum(CASE WHEN pred IS NOT NULL THEN actual END), 0) * 100",
         "MAPE": "avg(CASE WHEN actual <> 0 THEN abs((actual - pred) / actual) END) * 100",
-        "SMAPE": ("COALESCE(avg(CASE WHEN abs(actual) + abs(pred) <> 0 THEN 2 * abs(actual - pred) "
-                  "/ (abs(actual) + abs(pred)) END) * 100, 0.0)"),
+        "SMAPE": ("CASE WHEN count(actual - pred) > 0 THEN COALESCE(avg(CASE WHEN abs(actual) + abs(pred) <> 0 "
+                  "THEN 2 * abs(actual - pred) / (abs(actual) + abs(pred)) END) * 100, 0.0) END"),
         "MAE": "avg(abs(actual - pred))",
         "RMSE": "sqrt(avg(pow(actual - pred, 2)))",
-        "R2": "1 - sum(pow(actual - pred, 2)) / NULLIF(var_pop(actual) * count(actual), 0)",
+        "R2": ("1 - sum(pow(actual - pred, 2)) / NULLIF(var_pop(CASE WHEN pred IS NOT NULL THEN actual END) "
+               "* count(CASE WHEN pred IS NOT NULL THEN actual END), 0)"),
         "Mean_Error": "avg(pred - actual)",
         "Median_AE": "median(abs(actual - pred))",
     }
@@ -248,25 +249,24 @@ METRICS_CTE = ("bm", f"SELECT model, {metrics_select()} FROM bl GROUP BY model")
 
 
 def hist_bins(src: str, value: str, by: str | None, bins: int = C.HISTOGRAM_BINS) -> str:
-    if by:
-        rng = f"(SELECT {by}, min({value}) AS lo, max({value}) AS hi FROM {src} GROUP BY {by}) r"
-        join = f"{src} x JOIN {rng} USING ({by})"
-        key = f"{by}, "
-    else:
-        rng = f"(SELECT min({value}) AS lo, max({value}) AS hi FROM {src}) r"
-        join = f"{src} x, {rng}"
-        key = ""
-    return f"""SELECT {key}bin, lo + bin * w AS bin_start, lo + (bin + 1) * w AS bin_end, count(*) AS count
-               FROM (SELECT {key}lo, (hi - lo) / {bins} AS w,
-                            CAST(CASE WHEN hi = lo THEN 0 ELSE least(floor(({value} - lo) / ((hi - lo) / {bins})), {bins - 1}) END AS INTEGER) AS bin
-                     FROM {join}) t
-               GROUP BY {key}bin, lo, w"""
+    """All bins of each group, empty ones too; null values are in none."""
+    key, join = (f"{by}, ", f"USING ({by}, bin)") if by else ("", "USING (bin)")
+    group = f"GROUP BY {by}" if by else ""
+    match = f"USING ({by})" if by else "ON true"
+    return f"""SELECT {key}bin, lo + bin * w AS bin_start, lo + (bin + 1) * w AS bin_end, coalesce(n, 0) AS count
+               FROM (SELECT {key}lo, (hi - lo) / {bins} AS w, CAST(range AS INTEGER) AS bin
+                     FROM (SELECT {key}min({value}) AS lo, max({value}) AS hi FROM {src}
+                           WHERE {value} IS NOT NULL {group}) r, range({bins})) a
+               LEFT JOIN (SELECT {key}bin, count(*) AS n
+                          FROM (SELECT {key}CAST(CASE WHEN hi = lo THEN 0 ELSE least(floor(({value} - lo)
+                                       / ((hi - lo) / {bins})), {bins - 1}) END AS INTEGER) AS bin
+                                FROM {src} x JOIN (SELECT {key}min({value}) AS lo, max({value}) AS hi
+                                                   FROM {src} {group}) r {match}
+                                WHERE {value} IS NOT NULL) t GROUP BY {key}bin) b {join}"""
 
 
 def ensemble_sql(final_predict: bool) -> str:
     models = sorted(MODELS)
-    coarse = fc.simplex_grid(len(models), 10)
-    vals = ", ".join("(" + ", ".join(str(x) for x in g) + ")" for g in coarse)
 
     def blend(scale: str) -> str:
         terms = [f"(CAST(g.w{i} AS DOUBLE) / {scale}) * {m}_Pred" for i, m in enumerate(models)]
@@ -277,14 +277,9 @@ def ensemble_sql(final_predict: bool) -> str:
 
     wcols = ", ".join(f"g.w{i}" for i in range(len(models)))
     ctes = [
-        ("g1", f"SELECT * FROM (VALUES {vals}) AS v({', '.join(f'w{i}' for i in range(len(models)))})"),
-        ("e1", f"SELECT {wcols}, sum(abs(Weekly_Sales - {blend('10.0')})) AS err FROM bw, g1 g GROUP BY {wcols}"),
-        ("b1", f"SELECT * FROM e1 ORDER BY err, {', '.join(f'w{i}' for i in range(len(models)))} LIMIT 1"),
-        ("g2", f"""SELECT r0.range AS w0, r1.range AS w1, 100 - r0.range - r1.range AS w2
-                   FROM range(0, 101) r0, range(0, 101) r1, b1
-                   WHERE r0.range BETWEEN b1.w0 * 10 - 10 AND b1.w0 * 10 + 10
-                     AND r1.range BETWEEN b1.w1 * 10 - 10 AND b1.w1 * 10 + 10
-                     AND 100 - r0.range - r1.range BETWEEN 0 AND 100"""),
+        # every point of the 1/100 lattice on the simplex
+        ("g2", """SELECT r0.range AS w0, r1.range AS w1, 100 - r0.range - r1.range AS w2
+                  FROM range(0, 101) r0, range(0, 101) r1 WHERE r0.range + r1.range <= 100"""),
         ("e2", f"SELECT {wcols}, sum(abs(Weekly_Sales - {blend('100.0')})) AS err FROM bw, g2 g GROUP BY {wcols}"),
         ("b2", "SELECT * FROM e2 ORDER BY err, w0, w1, w2 LIMIT 1"),
         ("wt", " UNION ALL ".join(f"SELECT '{m}' AS model, CAST(w{i} AS DOUBLE) / 100.0 AS weight FROM b2"

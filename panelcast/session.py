@@ -36,16 +36,13 @@ def build_session(master: str | None = None, shuffle_partitions: int = 8,
     return spark
 
 
-def apply_sql_defaults(spark: SparkSession) -> None:
-    for k, v in SQL_DEFAULTS.items():
-        spark.conf.set(k, v)
-
-
 def checkpoint_dir(spark: SparkSession) -> str:
     """Shared checkpoint folder named by the cluster (``spark.checkpoint.dir``).
 
     On a cluster the setting must point at shared storage and is taken as is.
-    Only when it is unset (tests, a laptop) a fresh scratch folder is created.
+    Where it is unset, a fresh scratch folder is created for a session that runs in one
+    local JVM (tests, a laptop); any other session is refused, as its executors would
+    write to their own disks.
     """
     sc = spark.sparkContext
     configured = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
@@ -53,6 +50,8 @@ def checkpoint_dir(spark: SparkSession) -> str:
         if not sc.getCheckpointDir():
             sc.setCheckpointDir(configured)
         return sc.getCheckpointDir() or configured
+    if not sc.master.startswith("local[") and sc.master != "local":
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
     local = tempfile.mkdtemp(prefix="panelcast-ckpt-", dir="/tmp")
     sc.setCheckpointDir(local)
     return sc.getCheckpointDir() or local

@@ -2,7 +2,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from panelcast.operators import forecast as fc
-from conftest import weekly_panel
+from conftest import make_panel, weekly_panel
 
 
 def _wide(spark, actual, preds):
@@ -39,12 +39,6 @@ def test_weights_sum_to_one_and_beat_single_models(spark):
     assert err <= min(sum(abs(a - p) for a, p in zip(actual, preds[m])) for m in names) + 1e-9
 
 
-def test_simplex_grid_contains_vertices():
-    g = fc.simplex_grid(3, 10)
-    assert (10, 0, 0) in g and (0, 10, 0) in g and (0, 0, 10) in g
-    assert all(sum(x) == 10 for x in g) and len(g) == 66
-
-
 def test_gate(spark):
     m = spark.createDataFrame([("a", 10.0), ("b", 60.0), ("c", 20.0)], "model string, WMAPE double")
     out = {r["model"]: r["blend"] for r in fc.ensemble_gate(m).collect()}
@@ -85,18 +79,51 @@ def test_weights_on_empty_input(spark):
     assert sum(w.values()) == pytest.approx(1.0)
 
 
-def test_grid_plan_bounds_candidates():
-    assert fc.grid_plan(3) == (10, 10)
-    for k in range(2, 9):
-        coarse, r = fc.grid_plan(k)
-        assert 100 % coarse == 0
-        assert len(fc.simplex_grid(k, coarse)) <= fc.MAX_GRID_CANDIDATES
-        assert r == 1 or (2 * r + 1) ** (k - 1) <= fc.MAX_GRID_CANDIDATES
-
-
 def test_five_model_blend(spark):
     actual = [100, 200, 300, 400]
     preds = {m: [a * (1 + 0.05 * (i - 2)) for a in actual] for i, m in enumerate("abcde")}
     wide, names = _wide(spark, actual, preds)
     w = {r["model"]: r["weight"] for r in fc.ensemble_weights(wide, names).collect()}
     assert sum(w.values()) == pytest.approx(1.0) and w["c"] == pytest.approx(1.0)
+
+
+def test_blend_recovers_any_number_of_models(spark):
+    """Exact blends of five and six models, within 0.01, and of two."""
+    import numpy as np
+    rng = np.random.default_rng(11)
+    for true in ((.15, .25, .25, .15, .20), (.12, .23, .17, .05, .13, .30), (.4, .6), (0., 1., 0., 0.)):
+        x = rng.uniform(50, 150, (200, len(true)))
+        names = [f"m{i}" for i in range(len(true))]
+        wide = spark.createDataFrame(
+            [(float(r @ np.array(true)), *map(float, r)) for r in x] + [(None, *[1.0] * len(true)), (5.0, *[None] * len(true))],
+            "actual double, " + ", ".join(f"{n}_Pred double" for n in names))
+        got = {r["model"]: r["weight"] for r in fc.ensemble_weights(wide, names).collect()}
+        assert sum(got.values()) == pytest.approx(1.0)
+        assert [got[n] for n in names] == pytest.approx(list(true), abs=0.0101)
+
+
+def test_blend_is_least_absolute_error_on_the_lattice(spark):
+    import itertools
+    import numpy as np
+    rng = np.random.default_rng(5)
+    x = rng.uniform(50, 150, (60, 3))
+    a = x @ np.array([.3, .3, .4]) + rng.normal(0, 30, 60)
+    wide = spark.createDataFrame([(float(y), *map(float, r)) for y, r in zip(a, x)],
+                                 "actual double, p_Pred double, q_Pred double, r_Pred double")
+    got = [r["weight"] for r in fc.ensemble_weights(wide, ["p", "q", "r"]).collect()]
+    grid = [(i, j, 100 - i - j) for i, j in itertools.product(range(101), repeat=2) if i + j <= 100]
+    want = min(np.abs(a - x @ (np.array(g) / 100)).sum() for g in grid)
+    assert np.abs(a - x @ np.array(got)).sum() == pytest.approx(want, rel=1e-6)
+
+
+def test_short_series_and_zero_weeks_keep_the_model(spark):
+    """Neither seven training rows nor one zero week turn the regression into a mean."""
+    rows = [(s, f"2012-0{1 + i // 4}-{1 + 7 * (i % 4):02d}", 0.0 if (s, i) == (2, 3) else 100.0 * 1.1 ** i)
+            for s in (1, 2) for i in range(12)]
+    p = make_panel(spark, rows)
+    out = fc.trend_seasonal_forecast(p, "2012-02-22").collect()
+    for s in (1, 2):
+        preds = [r["pred"] for r in out if r["Store"] == s]
+        assert len(preds) == 5 and len({round(v, 6) for v in preds}) > 1
+    nulls = p.withColumn("CPI", F.when(F.col("Date") == "2012-01-08", None).otherwise(F.col("CPI")))
+    assert all(r["pred"] == r["pred"] for r in fc.trend_seasonal_forecast(nulls, "2012-02-22").collect())

@@ -138,18 +138,12 @@ def test_time_split_disjoint_and_complete(spark):
     assert tr.join(va, ["Store", "Date"]).count() == 0
 
 
-def test_distributed_rank_equals_window_rank(spark):
-    import random
-    rnd = random.Random(3)
-    vals = [(i, float(rnd.choice([1, 2, 3, 5, 8, 8, 13]))) for i in range(200)]
-    stats = spark.createDataFrame(vals, "Store int, store_mean_sales double")
-    a = {r["Store"]: (r["store_rank"], r["store_percentile"]) for r in ent.store_rank(stats).collect()}
-    b = {r["Store"]: (r["store_rank"], r["store_percentile"])
-         for r in ent.store_rank(stats, single_task_max=0).collect()}
-    assert a == b
-    pdf = pd.DataFrame(vals, columns=["Store", "m"])
-    exp = dict(zip(pdf["Store"], pdf["m"].rank(ascending=False)))
-    assert all(a[k][0] == exp[k] for k in exp)
+def test_store_rank_leaves_out_entities_without_a_mean(spark):
+    stats = spark.createDataFrame([(1, 10.0), (2, None), (3, 30.0), (4, 10.0)], "Store int, store_mean_sales double")
+    got = {r["Store"]: (r["store_rank"], r["store_percentile"]) for r in ent.store_rank(stats).collect()}
+    assert got[1] == got[4] == (2.5, 0.5)
+    assert got[3] == (1.0, 1.0)
+    assert got[2] == (None, None)
 
 
 def test_guarded_restart_equals_split_partition(spark):
@@ -161,14 +155,52 @@ def test_guarded_restart_equals_split_partition(spark):
     assert sorted(map(tuple, a.select(cols).collect())) == sorted(map(tuple, b.select(cols).collect()))
 
 
-def test_spread_does_not_change_features(spark):
-    p = weekly_panel(spark, 3, 70)
-    a = engineer_features_split(p, "2011-03-01", spread=True)
-    b = engineer_features_split(p, "2011-03-01", spread=False)
-    cols = sorted(a.columns)
-    ra = sorted(map(tuple, a.select(cols).collect()), key=lambda r: (r[cols.index("Store")], r[cols.index("Date")]))
-    rb = sorted(map(tuple, b.select(cols).collect()), key=lambda r: (r[cols.index("Store")], r[cols.index("Date")]))
-    assert len(ra) == len(rb)
-    for x, y in zip(ra, rb):
-        for u, v in zip(x, y):
-            assert u == v or (isinstance(u, float) and u == pytest.approx(v, rel=1e-12))
+def test_positions_and_quantiles_against_pandas(spark):
+    import numpy as np
+    import pandas as pd
+    from panelcast.operators import order
+    rng = np.random.default_rng(2)
+    pdf = pd.DataFrame({"g": rng.integers(0, 3, 500), "v": np.where(rng.random(500) < .3, 7.0, rng.normal(0, 1e4, 500).round(1))})
+    pdf.loc[::50, "v"] = np.nan
+    df = spark.createDataFrame([(int(g), None if v != v else float(v)) for g, v in pdf.values], "g int, v double")
+    got = order.quantiles(df, "v", {"a": .1, "b": .5, "c": 1.0}, ["g"]).toPandas().set_index("g")
+    for g, s in pdf.groupby("g").v:
+        assert got.loc[g].tolist() == pytest.approx([s.quantile(q) for q in (.1, .5, 1.0)])
+    ranks = {r["v"]: r["rank"] for r in order.average_ranks(df, "v").collect()}
+    want = dict(zip(pdf.v, pdf.v.rank()))
+    assert ranks == pytest.approx({v: r for v, r in want.items() if v == v})
+    assert order.quantiles(df.filter("false"), "v", {"a": .5}, ["g"]).count() == 0
+
+
+def test_ewma_equals_pandas(spark):
+    """All rows weigh in, a null row ages the others, blocks join without a seam."""
+    import numpy as np
+    import pandas as pd
+    from panelcast import config as C
+    from panelcast.operators import history
+    rng = np.random.default_rng(3)
+    series = {1: [1e6] + [0.0] * 89, 2: [1.0, None, 2.0, 3.0], 3: [None, 5.0, None, 6.0],
+              4: rng.uniform(1, 100, 1200).tolist()}
+    rows = [(s, i, None if y is None else float(y)) for s, ys in series.items() for i, y in enumerate(ys)]
+    df = spark.createDataFrame(rows, "Store int, Date int, Weekly_Sales double")
+    got = history.ewma_features(df).toPandas().sort_values(["Store", "Date"])
+    for s, ys in series.items():
+        for span in C.EWMA_SPANS:
+            want = pd.Series(ys, dtype=float).ewm(span=span, adjust=True).mean().shift(1)
+            have = got.loc[got.Store == s, f"ewma_{span}w"].to_numpy()
+            assert np.allclose(have, want, rtol=1e-9, atol=0, equal_nan=True), (s, span)
+
+
+def test_rows_without_a_date_are_in_no_split(spark):
+    from panelcast.operators import panel as P
+    df = spark.createDataFrame([("2012-01-01",), (None,)], "Date string").withColumn("Date", F.to_date("Date"))
+    assert [r["split"] for r in P.with_split(df).orderBy("Date").collect()] == [None, "validation"]
+
+
+def test_missing_value_strategies(spark):
+    from panelcast.operators import panel as P
+    df = spark.createDataFrame([(1, 2.0), (1, None)], "Store int, x double")
+    assert P.handle_missing(df, "drop").count() == 1
+    assert [r["x"] for r in P.handle_missing(df, "fill").collect()] == [2.0, 2.0]
+    with pytest.raises(ValueError):
+        P.handle_missing(df, "guess")

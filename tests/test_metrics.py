@@ -42,7 +42,7 @@ def test_smape_zero_denominators(spark):
 def test_perfect_predictions(spark):
     vals = [100.0, 250.0, 300.0, 410.0]
     df = spark.createDataFrame([(v, v) for v in vals], "actual double, pred double")
-    row = df.agg(*M.all_metric_columns()).first()
+    row = ev.all_metrics(df, by=()).first()
     for k in ("WMAPE", "MAPE", "SMAPE", "MAE", "RMSE", "Mean_Error", "Median_AE"):
         assert row[k] == pytest.approx(0.0)
     assert row["R2"] == pytest.approx(1.0)
@@ -54,7 +54,7 @@ def test_all_metrics_match_numpy(spark):
     a = rng.uniform(5e5, 2e6, 100)
     p = a * rng.uniform(0.9, 1.1, 100)
     df = spark.createDataFrame([(float(x), float(y)) for x, y in zip(a, p)], "actual double, pred double")
-    row = df.agg(*M.all_metric_columns(digits=None)).first()
+    row = ev.all_metrics(df, by=(), digits=None).first()
     assert row["WMAPE"] == pytest.approx(np.abs(a - p).sum() / a.sum() * 100)
     assert row["MAE"] == pytest.approx(np.abs(a - p).mean())
     assert row["RMSE"] == pytest.approx(np.sqrt(((a - p) ** 2).mean()))
@@ -93,3 +93,18 @@ def test_metrics_report_format(spark):
                               "model string, WMAPE double, MAE double, RMSE double, R2 double")
     r = ev.metrics_report(m).first()
     assert (r["WMAPE"], r["MAE"], r["RMSE"], r["R2"]) == ("1.23%", "$12,346", "$17,000", "0.9989")
+
+
+def test_rows_without_a_prediction_do_not_count(spark):
+    rows = [(100.0, 150.0, "m"), (400.0, None, "m"), (None, 5.0, "m"), (10.0, None, "empty")]
+    long = spark.createDataFrame(rows, "actual double, pred double, model string")
+    got = {r["model"]: r for r in ev.all_metrics(long).collect()}
+    assert got["m"]["WMAPE"] == pytest.approx(50.0) and got["m"]["Median_AE"] == 50.0
+    assert all(got["empty"][n] is None for n in M.METRIC_NAMES)
+
+
+def test_format_metrics(spark):
+    m = spark.createDataFrame([("m", 12.345, 1.0, 2.0, 1234.5, 99.9, 0.5, -1500.0, 7.0)],
+                              "model string, " + ", ".join(f"{n} double" for n in M.METRIC_NAMES))
+    row = ev.format_metrics(m).first()
+    assert (row["WMAPE"], row["MAE"], row["R2"], row["Mean_Error"]) == ("12.35%", "$1,234", "0.5000", "-$1,500")
