@@ -5,18 +5,20 @@ A window is ``length`` consecutive symbols of one document. Its anchor is the le
 its ``gram``-symbol grams with the smallest hash (winnowing), so equal windows have equal
 anchors at equal offsets. Consecutive windows with one anchor form a run.
 
-1. ``anchor_keys``: each block of documents sends the distinct hashes of its anchors,
+0. Documents that equal one with a smaller id are found by digest; all their windows go,
+   and they take no part in the other steps.
+1. ``block_keys``: each block of documents sends the distinct hashes of its anchors,
    packed as arrays, to buckets of hashes.
-2. ``shared_keys``: a bucket returns to each block the anchors that occur in two documents
+2. ``bucket_shared``: a bucket returns to each block the anchors that occur in two documents
    or more. Most text stops here. Anchors of very many blocks are marked hot.
-3. ``runs_to_resolve``: a block finds its runs with shared anchors, answers the runs that
+3. ``block_runs``: a block finds its runs with shared anchors, answers the runs that
    equal one of a smaller document in the block itself, and sends the others with their
    text, packed, to the bucket of their anchor. Runs of a hot anchor are cut into single
    windows and go to the buckets of the windows' contents, so that no anchor, line or
    passage fills a task: of equal windows a block sends only one.
-4. ``resolve``: a bucket groups equal windows, checks them symbol by symbol, and answers
+4. ``bucket_answers``: a bucket groups equal windows, checks them symbol by symbol, and answers
    each window that a smaller document has.
-5. ``marked``: answers meet the texts again, block by block.
+5. ``removed_mask``: answers meet the texts again, block by block.
 
 The texts are shuffled once: steps 1, 3 and 5 group them alike, in one plan, so Spark
 reuses the exchange. Hash collisions in steps 1 and 2 only add runs to check.
@@ -25,12 +27,15 @@ Blocks hold whole documents (hash of id); their number follows spark.sql.shuffle
 """
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -239,6 +244,14 @@ def _pack(x: np.ndarray, kind: str) -> bytes:
     return np.ascontiguousarray(x, kind).tobytes()
 
 
+def _squeeze(data: bytes) -> bytes:
+    return zstandard.ZstdCompressor(level=3).compress(data)
+
+
+def _expand(data: bytes) -> bytes:
+    return zstandard.ZstdDecompressor().decompress(data)
+
+
 def _codes(key: np.ndarray, buckets: int) -> np.ndarray:
     """Bucket and 32 more bits of an anchor hash, as one number."""
     return ((key % np.uint64(buckets)) << np.uint64(32)) | (key >> np.uint64(32))
@@ -247,9 +260,18 @@ def _codes(key: np.ndarray, buckets: int) -> np.ndarray:
 KEYS = "bucket int, block int, keys binary, several binary"
 
 
-def block_keys(unit: Unit, buckets: int, block: int, docs: pa.Table) -> pa.Table:
-    _, data, _ = ordered(docs)
-    doc, _, _, _, key = runs(unit, [unit.values(unit.prepare(d)) for d in data])
+def _copied(ids: np.ndarray, data: list[bytes], copies: pa.Table) -> np.ndarray:
+    """Documents of a block that are a copy of a smaller one."""
+    listed = set(zip(copies.column("copy").to_pylist(), copies.column("keys").to_pylist()))
+    some = {i for i, _ in listed}
+    return np.array([i in some and (i, hashlib.md5(d).digest()) in listed
+                     for i, d in zip(ids.tolist(), data)], bool)
+
+
+def block_keys(unit: Unit, buckets: int, block: int, docs: pa.Table, copies: pa.Table) -> pa.Table:
+    ids, data, _ = ordered(docs)
+    copied = _copied(ids, data, copies)
+    doc, _, _, _, key = runs(unit, [unit.values(unit.prepare(d)) for d, c in zip(data, copied) if not c])
     code = _codes(key, buckets)
     order = np.lexsort((doc, code))
     code, doc = code[order], doc[order]
@@ -267,7 +289,7 @@ def block_keys(unit: Unit, buckets: int, block: int, docs: pa.Table) -> pa.Table
         names=["bucket", "block", "keys", "several"])
 
 
-SHARED = "block int, bucket int, keys binary, hot binary"
+SHARED = "block int, bucket int, keys binary, hot binary, copy long"
 
 
 def bucket_shared(bucket: int, sent: pa.Table) -> pa.Table:
@@ -284,10 +306,10 @@ def bucket_shared(bucket: int, sent: pa.Table) -> pa.Table:
         at += len(k)
         keep = shared[w]
         if keep.any():
-            rows.append((b, bucket, _pack(k[keep], "<u4"), _pack(hot[w][keep], "u1")))
+            rows.append((b, bucket, _pack(k[keep], "<u4"), _pack(hot[w][keep], "u1"), None))
     return pa.table([pa.array(c, t) for c, t in zip(
-        zip(*rows) if rows else [[]] * 4, (pa.int32(), pa.int32(), pa.binary(), pa.binary()))],
-        names=["block", "bucket", "keys", "hot"])
+        zip(*rows) if rows else [[]] * 5, (pa.int32(), pa.int32(), pa.binary(), pa.binary(), pa.int64()))],
+        names=["block", "bucket", "keys", "hot", "copy"])
 
 
 #: Runs on their way: arrays packed in one row for each (block, bucket) pair. ``done_*``
@@ -332,11 +354,18 @@ def block_runs(unit: Unit, buckets: int, block: int, docs: pa.Table, shared: pa.
     if not len(docs) or not len(shared):
         return empty
     ids, data, _ = ordered(docs)
+    copied = _copied(ids, data, shared.filter(pc.is_valid(shared.column("copy"))))
+    shared = shared.filter(pc.is_null(shared.column("copy")))
     data = [unit.prepare(d) for d in data]
-    doc, first, count, offset, key = runs(unit, [unit.values(d) for d in data])
-    want = np.concatenate([np.frombuffer(k, "<u4").astype(np.uint64) | np.uint64(b << 32) for b, k in zip(
-        shared.column("bucket").to_pylist(), shared.column("keys").to_pylist())])
-    hot = np.concatenate([np.frombuffer(k, "u1") for k in shared.column("hot").to_pylist()])
+    doc, first, count, offset, key = runs(unit, [unit.values(d if not c else b"") for d, c in zip(data, copied)])
+    # of a copy every window is answered
+    windows = np.array([len(unit.symbols(d)[0]) - unit.length + 1 if c else 0 for d, c in zip(data, copied)], np.int64)
+    at = np.flatnonzero(windows > 0)
+    done = [_done(at, np.zeros(len(at), np.int64), windows[at])]
+    none = np.zeros(1, np.uint64)  # no hash has bucket and bits 0 by the mixing, or it is checked in vain
+    want = np.concatenate([none, *(np.frombuffer(k, "<u4").astype(np.uint64) | np.uint64(b << 32) for b, k in zip(
+        shared.column("bucket").to_pylist(), shared.column("keys").to_pylist()))])
+    hot = np.concatenate([none.astype("u1"), *(np.frombuffer(k, "u1") for k in shared.column("hot").to_pylist())])
     order = np.argsort(want)
     want, hot = want[order], hot[order]
     code = _codes(key, buckets)
@@ -356,7 +385,6 @@ def block_runs(unit: Unit, buckets: int, block: int, docs: pa.Table, shared: pa.
             doc.tolist(), start.tolist(), end.tolist())), np.uint64, len(doc))
 
     body = content()
-    done = []
 
     def keep_leaders():
         """Runs that equal one of a smaller document are answered; repeats go."""
@@ -395,9 +423,9 @@ def block_runs(unit: Unit, buckets: int, block: int, docs: pa.Table, shared: pa.
     rows = []
     for a, b in zip(cuts, np.append(cuts[1:], len(bucket))):
         text = b"".join(data[d][s:e] for d, s, e in zip(doc[a:b].tolist(), start[a:b].tolist(), end[a:b].tolist()))
-        rows.append((int(bucket[a]), block, _pack(key[a:b], "<u8"), _pack(ids[doc[a:b]], "<i8"),
-                     _pack(doc[a:b], "<u4"), _pack(first[a:b], "<u8"), _pack(count[a:b], "<u4"),
-                     _pack(offset[a:b], "<u2"), _pack(end[a:b] - start[a:b], "<u4"), text, None))
+        rows.append((int(bucket[a]), block, _pack(key[a:b], "<u8"), *map(_squeeze, (
+            _pack(ids[doc[a:b]], "<i8"), _pack(doc[a:b], "<u4"), _pack(first[a:b], "<u8"),
+            _pack(count[a:b], "<u4"), _pack(offset[a:b], "<u2"), _pack(end[a:b] - start[a:b], "<u4"), text)), None))
     found = np.concatenate(done)
     if len(found):
         rows.append((block % buckets, block, *[b""] * 8, found.tobytes()))
@@ -412,8 +440,9 @@ def bucket_answers(unit: Unit, classes: Classes, sent: pa.Table) -> pa.Table:
     """Windows of the sent runs that a smaller document has, by block."""
     out = list(zip(sent.column("block").to_pylist(), sent.column("done").to_pylist()))
     out = [(b, np.frombuffer(d, DONE)) for b, d in out if d]
-    got = {n: [x or b"" for x in sent.column(n).to_pylist()] for n in
-           ("key", "doc", "row", "first", "count", "offset", "size")}
+    got = {n: [_expand(x) if x else b"" for x in sent.column(n).to_pylist()] for n in
+           ("doc", "row", "first", "count", "offset", "size", "text")}
+    got["key"] = [x or b"" for x in sent.column("key").to_pylist()]
     arrays = {n: np.concatenate([np.frombuffer(x, t) for x in got[n]]) for n, t in (
         ("key", "<u8"), ("doc", "<i8"), ("row", "<u4"), ("first", "<u8"), ("count", "<u4"),
         ("offset", "<u2"), ("size", "<u4"))}
@@ -423,7 +452,7 @@ def bucket_answers(unit: Unit, classes: Classes, sent: pa.Table) -> pa.Table:
     count, offset = arrays["count"].astype(np.int64), arrays["offset"].astype(np.int64)
     size = arrays["size"].astype(np.int64)
     if len(key):
-        text = b"".join(x or b"" for x in sent.column("text").to_pylist())
+        text = b"".join(got["text"])
         end = np.cumsum(size)
         start = end - size
         one = np.zeros(len(key), np.int64)
@@ -549,13 +578,20 @@ def removed_windows(docs: DataFrame, unit: Unit, classes: Classes,
     n, buckets = blocks(spark), blocks(spark, 1)
     extra = [F.struct(*[F.col(f"`{c}`") for c in carry]).alias("carry")] if carry else []
     rows = docs.select(id_in().alias("doc_id"), F.coalesce(F.col("text"), F.lit("")).alias("text"), *extra)
-    rows = rows.withColumn("block", F.pmod(F.xxhash64("doc_id"), F.lit(n)).cast("int"))
+    block = F.pmod(F.xxhash64("doc_id"), F.lit(n)).cast("int").alias("block")
+    rows = rows.withColumn("block", block)
+
+    # copies of a smaller document: all their windows are removed without a look
+    whole = rows.select("doc_id", F.unhex(F.md5(F.col("text").cast("binary"))).alias("keys"))
+    least = whole.groupBy("keys").agg(F.min("doc_id").alias("least"), F.max("doc_id").alias("most")).filter("least < most")
+    copies = (whole.join(least, "keys").filter("doc_id > least").select(
+        block, F.lit(-1).alias("bucket"), "keys", F.lit(None).cast("binary").alias("hot"), F.col("doc_id").alias("copy")))
 
     # a group's function gets its key as a tuple of Arrow scalars
-    keys = rows.groupBy("block").applyInArrow(
-        lambda k, t: block_keys(unit, buckets, k[0].as_py(), t), KEYS)
+    keys = rows.groupBy("block").cogroup(copies.groupBy("block")).applyInArrow(
+        lambda k, t, c: block_keys(unit, buckets, k[0].as_py(), t, c), KEYS)
     shared = keys.groupBy("bucket").applyInArrow(lambda k, t: bucket_shared(k[0].as_py(), t), SHARED)
-    sent = rows.groupBy("block").cogroup(shared.groupBy("block")).applyInArrow(
+    sent = rows.groupBy("block").cogroup(shared.union(copies).groupBy("block")).applyInArrow(
         lambda k, a, b: block_runs(unit, buckets, k[0].as_py(), a, b), SENT)
     answers = sent.groupBy("bucket").applyInArrow(lambda k, t: bucket_answers(unit, classes, t), ANSWER)
     return rows.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(

@@ -1,6 +1,7 @@
 """SimHash near-dedup, line dedup, window dedups against brute force."""
 from __future__ import annotations
 
+import hashlib
 import random
 import re
 from collections import defaultdict
@@ -9,7 +10,6 @@ import numpy as np
 import pytest
 import regex
 import xxhash
-from pyspark.sql import functions as F
 
 from panelcast.llm import components, line_dedup, repeats, simhash, substring_dedup, suffix_dedup
 from .conftest import BIG, frame, known, shown, words
@@ -175,13 +175,13 @@ def test_line_dedup(spark, docs, rows, no_docs):
         assert sorted(got, key=str) == sorted(brute_lines(own), key=str)
 
 
-def test_line_simhash_widths(spark):
-    """Counters of 8, 16 and 32 bits."""
+def test_line_simhash(spark):
+    """Lines of one word to very many words."""
     rng = random.Random(8)
-    cases = [words(rng, n) for n in (1, 2, 126, 127, 128, 129, 3000, 32767, 32768)] + [["same"] * 200]
-    got = (spark.createDataFrame([(i, w) for i, w in enumerate(cases)], "i int, w array<string>")
-           .select("i", line_dedup.simhash(F.col("w")).alias("fp")).collect())
-    assert {r.i: r.fp % 2**64 for r in got} == {i: brute_simhash(w) for i, w in enumerate(cases)}
+    cases = [words(rng, n) for n in (1, 2, 126, 127, 128, 129, 3000, 40000)] + [["same"] * 200]
+    df = spark.createDataFrame([(i, " ".join(w)) for i, w in enumerate(cases)], "doc_id long, text string")
+    got = line_dedup.occurrences(df).collect()
+    assert {r.doc_id: r.fp % 2**64 for r in got} == {i: brute_simhash(w) for i, w in enumerate(cases)}
 
 
 def test_line_groups_of_near_copies(spark):
@@ -245,7 +245,8 @@ def test_substring_dedup(docs, rows, no_docs):
 
 @pytest.mark.parametrize("hot_blocks", [2, 64])
 @pytest.mark.parametrize("unit", [repeats.BYTES_50, repeats.WORDS_50])
-def test_steps_without_spark(unit, hot_blocks, monkeypatch):
+@pytest.mark.parametrize("with_copies", [True, False])
+def test_steps_without_spark(unit, hot_blocks, with_copies, monkeypatch):
     """The steps by hand, over four blocks, also with hot anchors and small slices."""
     import pyarrow as pa
     monkeypatch.setattr(repeats, "HOT_BLOCKS", hot_blocks)
@@ -259,9 +260,17 @@ def test_steps_without_spark(unit, hot_blocks, monkeypatch):
                         "text": pa.array([t for _, t in part], pa.string())})
               for part in (docs[b::4] for b in range(4))]
     buckets = 3
-    sent = pa.concat_tables([repeats.block_keys(unit, buckets, b, t) for b, t in enumerate(tables)])
+    first = {}
+    for d, t in docs:
+        first.setdefault(t, d)
+    copies = pa.Table.from_pylist(
+        [{"block": b, "bucket": -1, "keys": hashlib.md5(r["text"].encode()).digest(), "hot": None, "copy": r["doc_id"]}
+         for b, t in enumerate(tables) for r in t.to_pylist() if first[r["text"]] < r["doc_id"] and with_copies],
+        pa.schema([("block", pa.int32()), ("bucket", pa.int32()), ("keys", pa.binary()), ("hot", pa.binary()), ("copy", pa.int64())]))
+    sent = pa.concat_tables([repeats.block_keys(unit, buckets, b, t, _where(copies, "block", b))
+                             for b, t in enumerate(tables)])
     shared_ = pa.concat_tables([repeats.bucket_shared(k, s) for k in range(buckets)
-                                if len(s := _where(sent, "bucket", k))])
+                                if len(s := _where(sent, "bucket", k))] + [copies])
     runs = pa.concat_tables([repeats.block_runs(unit, buckets, b, t, _where(shared_, "block", b))
                              for b, t in enumerate(tables)])
     classes = repeats.by_hash if unit.words else suffix_dedup.by_suffix_sort
