@@ -9,6 +9,7 @@ from .. import config as C
 from ..functions.calendar import rule_calendar
 from ..operators import forecast as fc
 from ..sources.star import panel_sql
+from .queries import VARIANTS
 
 VS = C.VALIDATION_START
 W = "PARTITION BY Store ORDER BY Date"
@@ -171,7 +172,7 @@ def economic(part: str) -> str:
 SPLIT = f"CASE WHEN Date < DATE '{VS}' THEN 'train' WHEN Date >= DATE '{VS}' THEN 'validation' END AS split"
 
 ROUND_COLS = {**{f"rolling_std_{k}w": 2 for k in C.ROLLING_WINDOWS},
-              **{f"ewma_{s}w": 2 for s in C.EWMA_SPANS},
+              **{f"ewma_{s}w": 1 for s in C.EWMA_SPANS},
               "trend_strength": 6, "store_std_sales": 2, "store_cv": 8, "store_median_sales": 6,
               "temp_deviation": 6}
 
@@ -411,7 +412,7 @@ def oracle_sql() -> dict[str, str]:
     q["rolling_features"] = P("SELECT * REPLACE (" + ", ".join(
         f"round(rolling_std_{k}w, 2) AS rolling_std_{k}w" for k in C.ROLLING_WINDOWS)
         + f") FROM (SELECT Store, Date, Weekly_Sales, {rolling()} FROM panel) r")
-    q["ewma_features"] = P("SELECT panel.Store, panel.Date, round(ew.ewma_4w, 2) AS ewma_4w, round(ew.ewma_8w, 2) AS ewma_8w, round(ew.ewma_12w, 2) AS ewma_12w FROM panel LEFT JOIN ew USING (Store, Date)", ewma_ctes())
+    q["ewma_features"] = P("SELECT panel.Store, panel.Date, round(ew.ewma_4w, 1) AS ewma_4w, round(ew.ewma_8w, 1) AS ewma_8w, round(ew.ewma_12w, 1) AS ewma_12w FROM panel LEFT JOIN ew USING (Store, Date)", ewma_ctes())
     q["trend_diffs"] = P(f"""SELECT Store, Date, Weekly_Sales - lag(Weekly_Sales, 1) OVER ({W}) AS sales_diff_1,
         Weekly_Sales - lag(Weekly_Sales, 4) OVER ({W}) AS sales_diff_4,
         {pct('Weekly_Sales', f'lag(Weekly_Sales, 1) OVER ({W})')} AS sales_pct_change_1,
@@ -478,4 +479,9 @@ def oracle_sql() -> dict[str, str]:
                                     "model, WMAPE, MAPE, SMAPE, MAE, RMSE, R2, Mean_Error, Median_AE FROM fm")
     q["ensemble_weights"] = ensemble_sql(final_predict=False)
     q["ensemble_predict"] = ensemble_sql(final_predict=True)
+    gaps = f"""SELECT * REPLACE (CASE WHEN (Store * 7 + dayofyear(Date)) % 11 <> 0 THEN Weekly_Sales END AS Weekly_Sales)
+               FROM ({panel_sql()}) whole"""
+    for grain, body in (("customer", panel_sql("customer")), ("gaps", gaps)):
+        for name in VARIANTS[grain]:
+            q[f"{name}_{grain}"] = q[name].replace(panel_sql(), body)
     return q

@@ -7,6 +7,7 @@ money columns are exact (decimal sums), so they need no rounding.
 """
 from __future__ import annotations
 
+import contextvars
 import threading
 from collections.abc import Callable
 
@@ -40,7 +41,7 @@ def query(name: str):
 # Columns rounded in outputs: name -> digits.
 ROUND_FEATURES = {
     **{f"rolling_std_{k}w": 2 for k in C.ROLLING_WINDOWS},
-    **{f"ewma_{s}w": 2 for s in C.EWMA_SPANS},
+    **{f"ewma_{s}w": 1 for s in C.EWMA_SPANS},
     **{f"{p}_{f}": 6 for p in ("month", "week", "day_of_year", "quarter") for f in ("sin", "cos")},
     "trend_strength": 6, "store_std_sales": 2, "store_cv": 8, "store_median_sales": 6,
     "temp_deviation": 6,
@@ -56,7 +57,17 @@ _PANELS: dict = {}
 _PANEL_LOCK = threading.Lock()
 
 
-def panel(spark: SparkSession, sf: str, grain: str = "nation") -> DataFrame:
+#: The panel that the named queries read: nation grain, or a variant (see VARIANTS).
+_GRAIN: contextvars.ContextVar[str] = contextvars.ContextVar("grain", default="nation")
+
+
+def with_gaps(p: DataFrame) -> DataFrame:
+    """The panel with the target missing in about one row of eleven, by a fixed rule."""
+    gap = F.pmod(F.col(C.ENTITY) * 7 + F.dayofyear(C.TIME), F.lit(11)) == 0
+    return p.withColumn(C.TARGET, F.when(~gap, F.col(C.TARGET)))
+
+
+def panel(spark: SparkSession, sf: str, grain: str | None = None) -> DataFrame:
     """The weekly panel, materialized once per session and table set.
 
     The panel is orders of magnitude smaller than the tables it is built from
@@ -65,7 +76,10 @@ def panel(spark: SparkSession, sf: str, grain: str = "nation") -> DataFrame:
     checkpoint folder runs the star join once and cuts the lineage, so a lost
     executor never recomputes the join.
     """
-    key = (id(spark), spark.sparkContext.applicationId, sf, grain)
+    grain = grain or _GRAIN.get()
+    if grain == "gaps":
+        return with_gaps(panel(spark, sf, "nation"))
+    key = (spark.sparkContext.applicationId, sf, grain)
     with _PANEL_LOCK:
         if key not in _PANELS:
             _PANELS[key] = materialize(build_panel(spark, sf, grain))
@@ -513,3 +527,31 @@ def q_ensemble_predict(spark, sf):
     wide = baseline_wide(spark, sf).withColumnRenamed(C.TARGET, "actual")
     weights = {r["model"]: r["weight"] for r in fc.ensemble_weights(wide, models).collect()}
     return fc.ensemble_predict(wide, models, weights)
+
+
+# ------------------------------------------------------------------ variants
+#: The same operators over other panels: one series per customer (as many series as the
+#: data has customers), and the nation panel with missing targets.
+VARIANTS = {
+    "customer": ("load_panel", "panel_summary", "validate_panel", "lag_features", "rolling_features",
+                 "ewma_features", "trend_diffs", "same_week_last_year", "store_stats", "store_rank",
+                 "store_features", "engineer_features_split", "sales_histogram"),
+    "gaps": ("panel_summary", "validate_panel", "lag_features", "rolling_features", "ewma_features",
+             "store_stats", "store_rank", "sales_histogram", "residual_histogram", "all_metrics", "wmape",
+             "mape", "smape", "wmape_per_store", "holiday_box"),
+}
+
+
+def _variant(fn, grain: str):
+    def run(spark, sf):
+        token = _GRAIN.set(grain)
+        try:
+            return fn(spark, sf)
+        finally:
+            _GRAIN.reset(token)
+    return run
+
+
+for _grain, _names in VARIANTS.items():
+    for _name in _names:
+        query(f"{_name}_{_grain}")(_variant(REGISTRY[_name], _grain))

@@ -1,7 +1,8 @@
 """Weekly (entity, week) sales panel derived from the star-schema tables.
 
 Mapping (shared by every query):
-  Store         c_nationkey + 1 (nation grain; region grain: r_regionkey + 1)
+  Store         c_nationkey + 1 (nation grain; region grain: r_regionkey + 1;
+                customer grain: c_custkey)
   Date          Friday of the ISO week of o_orderdate
   Weekly_Sales  sum(l_extendedprice * (1 - l_discount))
   Temperature   avg(l_quantity)   Fuel_Price avg(l_tax)
@@ -69,7 +70,9 @@ def _entity_map(spark: SparkSession, sf_dir: str, grain: str) -> DataFrame:
         # nation is a fixed 25-row dimension: safe to broadcast.
         return (cust.join(F.broadcast(nation), "nationkey")
                 .select("custkey", (F.col("n_regionkey") + 1).cast("int").alias(C.ENTITY)))
-    raise ValueError(f"unknown grain {grain!r} (nation | region)")
+    if grain == "customer":
+        return cust.select("custkey", F.col("custkey").cast("int").alias(C.ENTITY))
+    raise ValueError(f"unknown grain {grain!r} (nation | region | customer)")
 
 
 def build_panel(spark: SparkSession, sf_dir: str, grain: str = "nation",
@@ -104,9 +107,9 @@ def build_panel(spark: SparkSession, sf_dir: str, grain: str = "nation",
 def panel_sql(grain: str = "nation") -> str:
     """DuckDB SQL of the same panel (used in oracle queries as a CTE body)."""
     from ..functions.calendar import sql_values
-    ent = ("CAST(c.c_nationkey + 1 AS INTEGER)" if grain == "nation"
-           else "CAST(n.n_regionkey + 1 AS INTEGER)")
-    nat = "" if grain == "nation" else " JOIN nation n ON n.n_nationkey = c.c_nationkey"
+    ent = {"nation": "CAST(c.c_nationkey + 1 AS INTEGER)", "region": "CAST(n.n_regionkey + 1 AS INTEGER)",
+           "customer": "CAST(c.c_custkey AS INTEGER)"}[grain]
+    nat = " JOIN nation n ON n.n_nationkey = c.c_nationkey" if grain == "region" else ""
     return f"""
     SELECT Store, Date, CAST(rev AS DOUBLE) AS Weekly_Sales,
            CAST(CASE WHEN EXISTS (SELECT 1 FROM {sql_values(range(1990, 2013))}
