@@ -67,44 +67,74 @@ def train_and_evaluate(name: str, train: DataFrame, val: DataFrame, feature_cols
     return model, pred, ev.all_metrics(pred)
 
 
+def _long(frame: DataFrame, name: str) -> DataFrame:
+    return frame.withColumn("model", F.lit(name)).select(*KEYS, "actual", "model", "pred")
+
+
+def blend_of(long: DataFrame) -> dict[str, float]:
+    """Gate and blend weights learned from ``long``: models with a low enough WMAPE, and
+    the weights that minimise the blend's. Empty if too few models pass."""
+    gate = fc.ensemble_gate(ev.all_metrics(long))
+    names = sorted(r["model"] for r in gate.filter("blend").select("model").collect())
+    if not names:
+        return {}
+    wide = files.predictions_wide(long, names).withColumnRenamed(C.TARGET, "actual")
+    return {r["model"]: r["weight"] for r in fc.ensemble_weights(wide, names).collect()}
+
+
+def _series_models(panel: DataFrame, start: str, keys: DataFrame) -> list[DataFrame]:
+    """Per-series forecasts from ``start`` on, on the same rows as the tree models (keyed
+    join, not position)."""
+    return [_long(frame.join(keys, KEYS), name) for name, frame in (
+        ("SeasonalAR", fc.seasonal_ar_forecast(panel, start)),
+        ("TrendSeasonal", fc.trend_seasonal_forecast(panel, start)))]
+
+
 def training_job(spark: SparkSession, sf_dir: str, out_dir: str | None = None,
-                 val_start: str = C.VALIDATION_START, tune: bool = False,
+                 val_start: str = C.VALIDATION_START, tune: bool = True,
                  skip_time_series: bool = False, leak_safe: bool = True,
                  models=("RandomForest", "GBTDepthwise", "GBTShallow"),
                  data=None, fitted=None) -> DataFrame:
     """Runs the whole pipeline and returns the per-model metrics table.
 
-    ``data`` / ``fitted`` let a caller pass an already prepared feature split or
-    already fitted models (same settings), e.g. from a session cache."""
+    The last ten training weeks are the tuning window: parameters (with ``tune``), the gate
+    and the blend weights are learned on it, from models fitted on the weeks before (with a
+    third of the trees), and the validation rows that are reported stay untouched.
+    ``data`` / ``fitted`` let a caller pass an already prepared feature split or already
+    fitted models (same settings), e.g. from a session cache."""
     out_dir = out_dir or os.path.join(checkpoint_dir(spark), f"training-{uuid.uuid4().hex[:8]}")
     panel = materialize(build_panel(spark, sf_dir))
     validate_panel(panel).write.mode("overwrite").json(os.path.join(out_dir, "validation"))
     train, val, cols = data if data is not None else prepare_ml_data(panel, val_start, leak_safe)
-    long_parts = []
+    fit_rows, tune_rows = tuning_split(train)
+    reported, learned = [], []
     for name in models:
-        if fitted is not None:
+        params = ml.random_search(name, fit_rows, tune_rows, cols)[0][1] if tune else {}
+        if fitted is not None and not tune:
             model, pred, _ = fitted(name)
         else:
-            model, pred, _ = train_and_evaluate(name, train, val, cols, tune=tune)
+            model, pred, _ = train_and_evaluate(name, train, val, cols, params)
         ml.save_model(model, os.path.join(out_dir, "models", name))
-        long_parts.append(pred)
+        reported.append(pred)
+        trees = params.get("n_estimators", DEFAULT_TREES[name])
+        early = ml.fit(name, fit_rows, cols, {**params, "n_estimators": -(-trees // 3)})
+        learned.append(_long(ml.predict(early, tune_rows, KEYS + [C.TARGET])
+                             .withColumnRenamed(C.TARGET, "actual"), name))
     if not skip_time_series:
-        keys = val.select(*KEYS)
-        for name, frame in (("SeasonalAR", fc.seasonal_ar_forecast(panel, val_start)),
-                            ("TrendSeasonal", fc.trend_seasonal_forecast(panel, val_start))):
-            # score on the same rows as the tree models (keyed join, not position)
-            long_parts.append(frame.join(keys, KEYS).withColumn("model", F.lit(name))
-                              .select(*KEYS, "actual", "model", "pred"))
-    long = materialize(ev.union_model_results(*long_parts))
+        reported += _series_models(panel, val_start, val.select(*KEYS))
+        start = tune_rows.agg(F.min(C.TIME)).first()[0]
+        if start is not None:
+            before = panel.filter(F.col(C.TIME) < F.lit(val_start).cast("date"))
+            learned += _series_models(before, start.isoformat(), tune_rows.select(*KEYS))
+    long = materialize(ev.union_model_results(*reported))
+    weights = blend_of(materialize(ev.union_model_results(*learned)))
     metrics = ev.all_metrics(long)
-    gate = fc.ensemble_gate(metrics)
-    blend = sorted(r["model"] for r in gate.filter("blend").select("model").collect())
     names = sorted(r["model"] for r in metrics.select("model").collect())
-    if blend:
+    if weights:
+        blend = sorted(weights)
         wide = files.predictions_wide(long, names).withColumnRenamed(C.TARGET, "actual")
-        weights = {r["model"]: r["weight"] for r in fc.ensemble_weights(wide, blend).collect()}
-        ens = fc.ensemble_predict(wide, blend, weights).withColumn("model", F.lit("Ensemble"))
-        long = long.unionByName(ens.select(*KEYS, "actual", "model", "pred"))
+        ens = _long(fc.ensemble_predict(wide, blend, weights), "Ensemble")
+        long = long.unionByName(ens)
         metrics = ev.all_metrics(long)
         names = names + ["Ensemble"]
     files.write_predictions(long, os.path.join(out_dir, "predictions"), names)
@@ -112,25 +142,28 @@ def training_job(spark: SparkSession, sf_dir: str, out_dir: str | None = None,
     return metrics.withColumn("out_dir", F.lit(out_dir))
 
 
+DEFAULT_TREES = {"RandomForest": C.RF_DEFAULTS["n_estimators"], "GBTDepthwise": C.XGB_DEFAULTS["n_estimators"],
+                 "GBTShallow": C.LGB_DEFAULTS["n_estimators"]}
+
 __all__ = ["prepare_ml_data", "train_and_evaluate", "training_job", "tuning_split", "with_split"]
 
 
 def main(argv=None) -> None:
     """spark-submit entry point:
-    ``spark-submit panelcast/plans/training.py --sf-dir DIR [--out DIR] [--tune] [--skip-ts]``."""
+    ``spark-submit panelcast/plans/training.py --sf-dir DIR [--out DIR] [--no-tune] [--skip-ts]``."""
     import argparse
 
     from ..session import build_session
     ap = argparse.ArgumentParser(description="Train, blend and evaluate the weekly-panel models")
     ap.add_argument("--sf-dir", required=True, help="folder with the star-schema parquet tables")
     ap.add_argument("--out", default=None, help="output folder (default: under spark.checkpoint.dir)")
-    ap.add_argument("--tune", action="store_true", help="random search before each tree model")
+    ap.add_argument("--no-tune", action="store_true", help="no random search before each tree model")
     ap.add_argument("--skip-ts", action="store_true", help="skip the per-series forecasters")
     ap.add_argument("--parity-features", action="store_true",
                     help="use the parity feature set (trend columns from the current target)")
     args = ap.parse_args(argv)
     spark = build_session()
-    metrics = training_job(spark, args.sf_dir, args.out, tune=args.tune,
+    metrics = training_job(spark, args.sf_dir, args.out, tune=not args.no_tune,
                            skip_time_series=args.skip_ts, leak_safe=not args.parity_features)
     metrics.orderBy("WMAPE").show(truncate=False)
 

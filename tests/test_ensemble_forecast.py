@@ -127,3 +127,13 @@ def test_short_series_and_zero_weeks_keep_the_model(spark):
         assert len(preds) == 5 and len({round(v, 6) for v in preds}) > 1
     nulls = p.withColumn("CPI", F.when(F.col("Date") == "2012-01-08", None).otherwise(F.col("CPI")))
     assert all(r["pred"] == r["pred"] for r in fc.trend_seasonal_forecast(nulls, "2012-02-22").collect())
+
+
+def test_gate_and_blend_are_learned_together(spark):
+    from panelcast.plans.training import blend_of
+    rows = [(1, f"2012-01-{d:02d}", 100.0 + d, m, (100.0 + d) * f)
+            for d in range(1, 20) for m, f in (("good", 1.1), ("low", 0.9), ("bad", 3.0))]
+    long = spark.createDataFrame(rows, "Store int, Date string, actual double, model string, pred double") \
+        .withColumn("Date", F.to_date("Date"))
+    assert blend_of(long) == pytest.approx({"good": 0.5, "low": 0.5})
+    assert blend_of(long.filter("model != 'low'")) == {}
