@@ -38,6 +38,8 @@ ROUNDS = 3
 SHAPES = 32
 #: Words in a block of neighbour counts.
 BLOCK = 1024
+#: Partial sums of a block of neighbour counts.
+SALTS = 32
 #: Distinct words that a task counts before it hands them on.
 FLUSH = 500_000
 EMIT, FALLBACK = 0.5, 5.0
@@ -126,6 +128,7 @@ def neighbour_counts(train: DataFrame, classes: np.ndarray, moved: int, m: int):
 
     def run(batches):
         of = share.value
+        salt = TaskContext.get().partitionId() % SALTS
         total = [np.zeros(m * m, np.int64), np.zeros(moved * m, np.int64), np.zeros(moved * m, np.int64)]
         for batch in batches:
             if not batch.num_rows:
@@ -143,24 +146,39 @@ def neighbour_counts(train: DataFrame, classes: np.ndarray, moved: int, m: int):
             for i in range(0, len(t), size):
                 at = np.flatnonzero(t[i:i + size])
                 if len(at):
-                    rows.append((kind, i // size, at.astype("<u4").tobytes(), t[i + at].astype("<i8").tobytes()))
+                    rows.append((kind, i // size, salt, at.astype("<u4").tobytes(), t[i + at].astype("<i8").tobytes()))
         yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(
-            zip(*rows) if rows else [[]] * 4, (pa.int32(), pa.int32(), pa.binary(), pa.binary()))],
-            ["kind", "block", "at", "n"])
-
-    def add(t: pa.Table) -> pa.Table:
-        total = np.zeros(BLOCK * m, np.int64)
-        for at, n in zip(t.column("at").to_pylist(), t.column("n").to_pylist()):
-            total[np.frombuffer(at, "<u4")] += np.frombuffer(n, "<i8")
-        at = np.flatnonzero(total)
-        return pa.table([t.column("kind")[:1], t.column("block")[:1],
-                         pa.array([at.astype("<u4").tobytes()], pa.binary()),
-                         pa.array([total[at].astype("<i8").tobytes()], pa.binary())],
-                        names=["kind", "block", "at", "n"])
-    schema = "kind int, block int, at binary, n binary"
-    summed = train.select("ids").mapInArrow(run, schema).groupBy("kind", "block").applyInArrow(add, schema)
+            zip(*rows) if rows else [[]] * 5, (pa.int32(), pa.int32(), pa.int32(), pa.binary(), pa.binary()))],
+            ["kind", "block", "salt", "at", "n"])
+
+    names = ["kind", "block", "salt", "at", "n"]
+
+    def add(batches):
+        """Sums of rows sorted by (kind, block): one dense block is held at a time."""
+        salt = TaskContext.get().partitionId() % SALTS
+        key, held = None, None
+
+        def row():
+            at = np.flatnonzero(held)
+            return pa.RecordBatch.from_arrays(
+                [pa.array([key[0]], pa.int32()), pa.array([key[1]], pa.int32()), pa.array([salt], pa.int32()),
+                 pa.array([at.astype("<u4").tobytes()], pa.binary()),
+                 pa.array([held[at].astype("<i8").tobytes()], pa.binary())], names)
+        for batch in batches:
+            for kind, block, at, n in zip(*(batch.column(c).to_pylist() for c in ("kind", "block", "at", "n"))):
+                if (kind, block) != key:
+                    if key:
+                        yield row()
+                    key, held = (kind, block), np.zeros(BLOCK * m, np.int64)
+                held[np.frombuffer(at, "<u4")] += np.frombuffer(n, "<i8")
+        if key:
+            yield row()
+    schema = "kind int, block int, salt int, at binary, n binary"
+    summed = train.select("ids").mapInArrow(run, schema)
+    for by in (("kind", "block", "salt"), ("kind", "block")):  # many partial sums, then one
+        summed = summed.repartition(*by).sortWithinPartitions("kind", "block").mapInArrow(add, schema)
     out = [np.zeros(-(-n // BLOCK) * BLOCK * m, np.int64) for n in (m, moved, moved)]
-    for kind, block, at, n in summed.collect():  # bounded by the vocabulary and the classes
+    for kind, block, _, at, n in summed.collect():  # bounded by the vocabulary and the classes
         out[kind][block * BLOCK * m + np.frombuffer(at, "<u4")] = np.frombuffer(n, "<i8")
     share.unpersist()
     return out[0][:m * m].reshape(m, m), out[1][:moved * m].reshape(moved, m), out[2][:moved * m].reshape(moved, m)
