@@ -82,7 +82,7 @@ def test_merkle_tree(docs, rows):
     assert merkle.likeness(merkle.build("abc. def"), merkle.build("xyz! uvw")) == 0.0
     text = "First one. Second one.\nThird line here.\n\nNext section."
     assert merkle.edited_spans(text, text) == []
-    assert merkle.edited_spans(text, text.replace("Third line here", "Third line gone")) == [(23, 40)]
+    assert merkle.edited_spans(text, text.replace("Third line here", "Third line gone")) == [(23, 41)]  # with the line feeds that end it
     for _, t in known(rows):
         spans = [(n["start"], n["length"]) for n in _leaves(t)]
         assert sum(n for _, n in spans) == len(t)
