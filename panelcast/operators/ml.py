@@ -144,7 +144,7 @@ def random_search(name: str, train: DataFrame, tune: DataFrame, feature_cols: li
     with ThreadPoolExecutor(max_workers=parallelism) as pool:
         for rung in range(len(rungs)):
             list(pool.map(lambda t: run(rung, t), left))
-            left = sorted(left, key=lambda t: (scores[t][1], t))[:max(1, -(-len(left) // 3))]
+            left = sorted(left, key=lambda t: (scores[t][1], t))[:max(1, len(left) // 3)]
     order = sorted(cands, key=lambda t: (-scores[t][0], scores[t][1], t))
     return [(t, cands[t], scores[t][1]) for t in order]
 
