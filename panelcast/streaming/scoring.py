@@ -22,12 +22,11 @@ def request_stream(spark: SparkSession, path: str, max_files_per_trigger: int =
 
 
 def start_scoring(spark: SparkSession, requests_path: str, panel: DataFrame, model,
-                  sink: str = "memory", query_name: str = "scored_requests",
-                  output_path: str | None = None, checkpoint: str | None = None):
-    """Start the streaming query; returns the StreamingQuery handle."""
+                  output_path: str, sink: str = "parquet", query_name: str = "scored_requests",
+                  checkpoint: str | None = None):
+    """Start the streaming query into files below ``output_path`` (a file sink is
+    exactly-once and keeps nothing in the driver); returns the StreamingQuery handle."""
     scored = sc.score_requests(request_stream(spark, requests_path), panel, model)
     ckpt = checkpoint or os.path.join(checkpoint_dir(spark), f"stream-{query_name}")
-    writer = scored.writeStream.outputMode("append").option("checkpointLocation", ckpt)
-    if sink == "memory":
-        return writer.format("memory").queryName(query_name).start()
-    return writer.format(sink).option("path", output_path).start()
+    return (scored.writeStream.outputMode("append").queryName(query_name).format(sink)
+            .option("checkpointLocation", ckpt).option("path", output_path).start())
