@@ -8,7 +8,9 @@ money columns are exact (decimal sums), so they need no rounding.
 from __future__ import annotations
 
 import contextvars
+import os
 import threading
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -24,7 +26,8 @@ from ..operators import evaluation as ev
 from ..operators import forecast as fc
 from ..operators import history as hist
 from ..operators import panel as P
-from ..session import materialize
+from ..session import checkpoint_dir, materialize
+from ..sources import files
 from ..sources.star import build_panel
 from .features import engineer_features, engineer_features_split
 
@@ -138,8 +141,10 @@ def q_forecast_scorecard(spark, sf):
 
 @query("write_predictions")
 def q_write_predictions(spark, sf):
-    wide = baseline_wide(spark, sf)
-    return wide.select(C.ENTITY, C.TIME, C.TARGET, *[f"{m}_Pred" for m in MODELS])
+    """The wide predictions file as the sink writes it, read back."""
+    path = os.path.join(checkpoint_dir(spark), f"predictions-{uuid.uuid4().hex[:10]}")
+    files.write_predictions(baseline_long(spark, sf), path, MODELS, fmt="parquet")
+    return spark.read.parquet(path)
 
 
 # ------------------------------------------------------ projections / filters
@@ -471,13 +476,12 @@ def q_union(spark, sf):
 
 @query("append_history")
 def q_history(spark, sf):
-    """Backtest history appended to a history table in the checkpoint folder,
+    """Backtest history appended in two runs to a history table in the checkpoint folder,
     then read back."""
-    import os
-    import uuid
-    from ..session import checkpoint_dir
     path = os.path.join(checkpoint_dir(spark), f"history-{uuid.uuid4().hex[:10]}")
-    return ev.append_history(ev.history_table(baseline_long(spark, sf)), path)
+    entries = materialize(ev.history_table(baseline_long(spark, sf)))
+    ev.append_history(entries.filter("epoch % 2 = 0"), path)
+    return ev.append_history(entries.filter("epoch % 2 = 1"), path)
 
 
 # ---------------------------------------------------------- pipelines / models
