@@ -123,9 +123,10 @@ def edits(a, b) -> int:
     return row[-1]
 
 
-def line_features(words):
-    different = list(dict.fromkeys(words))
-    return [w for w in different if len(w) >= 4] or different
+def line_fingerprint(words):
+    """A number for lines of short words only is as good as any other that is not shared."""
+    long = [w for w in words if len(w) >= 4]
+    return brute_simhash(long) if long else xxhash.xxh64_intdigest(" ".join(words).encode(), 1)
 
 
 def brute_lines(own):
@@ -134,7 +135,7 @@ def brute_lines(own):
         return [tuple(w for w in regex.split(r"[^\p{L}\p{N}]+", x.lower()) if w) for x in t.split("\n")]
     lines = sorted({w for _, t in own for w in split(t) if w})
     at = {w: n for n, w in enumerate(lines)}
-    fp = [brute_simhash(line_features(w)) for w in lines]
+    fp = [line_fingerprint(w) for w in lines]
     u = Union(len(lines))
     for i in range(len(lines)):
         for j in range(i):
@@ -187,7 +188,9 @@ def test_line_simhash(spark):
     cases += [["same"] * 200, ["of", "a", "of"], words(rng, 500, 90)]
     df = spark.createDataFrame([(i, " ".join(w)) for i, w in enumerate(cases)], "doc_id long, text string")
     got = line_dedup.occurrences(df).collect()
-    assert {r.doc_id: r.fp % 2**64 for r in got} == {i: brute_simhash(line_features(w)) for i, w in enumerate(cases)}
+    want = {i: brute_simhash(w) for i, w in enumerate([[x for x in c if len(x) >= 4] for c in cases]) if w}
+    assert len(got) == len(cases) and {r.doc_id: r.fp % 2**64 for r in got if r.doc_id in want} == want
+    assert all(r.fp == r.id for r in got if r.doc_id not in want)
 
 
 def test_line_groups_of_near_copies(spark):
