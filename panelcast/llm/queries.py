@@ -51,7 +51,7 @@ def op4_merkle_fingerprints(spark, sf_dir):
 
 @query
 def op5_line_dedup(spark, sf_dir):
-    out = line_dedup.line_dedup(table(spark, sf_dir, "documents"), bits=3, similarity=0.8)
+    out = line_dedup.line_dedup(table(spark, sf_dir, "documents"), bits=3, similarity=0.8, sketch=True)
     return out.select("doc_id", "n_lines", "n_removed", F.sha2(F.col("text").cast("binary"), 256).alias("kept_sha256"))
 
 

@@ -199,6 +199,28 @@ def test_line_groups_of_near_copies(spark):
     assert got[50].n_removed == 0 and got[51].n_removed == 1 and got[52].n_removed == 0
 
 
+def near_pairs(rng, n, change):
+    """Lines of n words, each with a copy in which a fifth of the characters' worth of
+    words (``change`` of them) is replaced by words as long."""
+    for _ in range(40):
+        a = [f"{rng.getrandbits(24):06x}" for _ in range(n)]
+        b = list(a)
+        for i in rng.sample(range(n), change):
+            b[i] = f"{rng.getrandbits(24):06x}"
+        yield " ".join(a), " ".join(b)
+
+
+@pytest.mark.parametrize("n, change", [(8, 1), (20, 1), (20, 3), (40, 7), (80, 15)])
+def test_line_recall(spark, n, change):
+    """Against brute force without a filter of bits: every pair is similar enough."""
+    pairs = list(near_pairs(random.Random(n + change), n, change))
+    assert all(edits(a, b) <= 0.2 * len(a) for a, b in pairs[:5])
+    rows = [(2 * k + j, t) for k, p in enumerate(pairs) for j, t in enumerate(p)]
+    got = line_dedup.line_dedup(frame(spark, rows), sketch=True).agg({"n_removed": "sum"}).first()[0]
+    print(f"recall of {change} in {n} words: {got / len(pairs):.3f}")
+    assert got >= 0.9 * len(pairs)
+
+
 def test_line_dedup_is_native(docs, capsys):
     line_dedup.line_dedup(docs).explain()
     assert not re.search("Python|Pandas|Arrow", capsys.readouterr().out)
