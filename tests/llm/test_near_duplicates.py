@@ -199,6 +199,15 @@ def test_line_groups_of_near_copies(spark):
     assert got[50].n_removed == 0 and got[51].n_removed == 1 and got[52].n_removed == 0
 
 
+def test_line_typos_by_characters(spark):
+    """Typos in two of five words, and lines of two words, by the character edit similarity."""
+    rows = [(0, "international conference programme committee announcement\nannual report\nalpha"),
+            (1, "internationel conference programm committee announcement"), (2, "annual reports"),
+            (3, "annual budget"), (4, "beta")]
+    got = {r.doc_id: r.n_removed for r in line_dedup.line_dedup(frame(spark, rows), sketch=True).collect()}
+    assert got == {0: 0, 1: 1, 2: 1, 3: 0, 4: 0}
+
+
 def near_pairs(rng, n, change):
     """Lines of n words, each with a copy in which a fifth of the characters' worth of
     words (``change`` of them) is replaced by words as long."""
