@@ -125,28 +125,20 @@ def sample_params(space: dict, n: int, seed: int = C.SEED) -> list[dict]:
 
 def random_search(name: str, train: DataFrame, tune: DataFrame, feature_cols: list[str],
                   n_trials: int = C.TUNING_TRIALS, parallelism: int = 4, seed: int = C.SEED,
-                  label: str = C.TARGET, rungs=(9, 3, 1)) -> list[tuple[int, dict, float]]:
-    """Random search by successive halving: every candidate is fitted on ``train`` with a
-    share of its trees and scored by WMAPE on ``tune`` (a later time window than
-    ``train``); the best third goes on to the next rung, the last of which fits all trees.
-    ``rungs`` are the divisors of the number of trees. Returns (trial, params, wmape of the
-    last rung reached), candidates of later rungs first, then by wmape."""
-    cands = dict(enumerate(sample_params(SPACES[name], n_trials, seed)))
-    scores: dict[int, tuple[int, float]] = {}
-
-    def run(rung: int, trial: int) -> None:
-        params = {**cands[trial], "n_estimators": max(1, math.ceil(cands[trial]["n_estimators"] / rungs[rung]))}
+                  label: str = C.TARGET) -> list[tuple[int, dict, float]]:
+    """Random search: every candidate is fitted on ``train`` with all the trees it names and
+    scored by WMAPE on ``tune`` (a later time window than ``train``). Returns (trial, params,
+    wmape), best first."""
+    cands = sample_params(SPACES[name], n_trials, seed)
+
+    def run(params: dict) -> float:
         model = fit(name, train, feature_cols, params)
         score = model.transform(tune).agg(M.wmape(label, "pred").alias("w")).first()["w"]
-        scores[trial] = (rung, float(score) if score is not None else float("inf"))
+        return float(score) if score is not None else float("inf")
 
-    left = list(cands)
     with ThreadPoolExecutor(max_workers=parallelism) as pool:
-        for rung in range(len(rungs)):
-            list(pool.map(lambda t: run(rung, t), left))
-            left = sorted(left, key=lambda t: (scores[t][1], t))[:max(1, len(left) // 3)]
-    order = sorted(cands, key=lambda t: (-scores[t][0], scores[t][1], t))
-    return [(t, cands[t], scores[t][1]) for t in order]
+        scores = list(pool.map(run, cands))
+    return [(t, cands[t], scores[t]) for t in sorted(range(len(cands)), key=lambda t: (scores[t], t))]
 
 
 def save_model(model: PipelineModel, path: str) -> None:

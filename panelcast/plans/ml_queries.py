@@ -151,14 +151,14 @@ def q_write_metrics(spark, sf):
 
 @query("random_search")
 def q_random_search(spark, sf):
-    """Seeded random search over the leaf-bounded boosted-tree space; fits on the
+    """Seeded random search over the spaces of all three tree models; fits on the
     earlier training weeks, scores WMAPE on the last ten training weeks."""
     from .training import tuning_split
     train, _, cols = _ml_data(spark, sf)
     fit_rows, tune_rows = tuning_split(train)
-    res = ml.random_search("GBTShallow", fit_rows, tune_rows, cols)
-    rows = [(i, json.dumps(p, sort_keys=True), w) for i, p, w in res]
-    return spark.createDataFrame(rows, "trial int, params string, WMAPE double")
+    rows = [(name, i, json.dumps(p, sort_keys=True), w) for name in ml.SPACES
+            for i, p, w in ml.random_search(name, fit_rows, tune_rows, cols)]
+    return spark.createDataFrame(rows, "model string, trial int, params string, WMAPE double")
 
 
 # ------------------------------------------------------- series forecasters

@@ -109,3 +109,31 @@ def test_random_search_is_seeded(spark):
     assert a == b
     for p in a:
         assert 100 <= p["n_estimators"] <= 300 and 0.01 <= p["learning_rate"] <= 0.2
+
+
+class _Flat:
+    """Stands for a fitted model: the same prediction for every row."""
+
+    def transform(self, df):
+        return df.withColumn("pred", F.lit(100.0))
+
+
+def _recorded_fits(monkeypatch):
+    from panelcast.operators import ml
+    fits = []
+    monkeypatch.setattr(ml, "fit", lambda name, train, cols, params=None: fits.append((name, params or {})) or _Flat())
+    return fits
+
+
+def test_random_search_fits_every_candidate_in_full(spark, monkeypatch):
+    """All 20 candidates of each of the three models, with the trees that they name."""
+    from panelcast.operators import ml
+    from panelcast.plans import ml_queries
+    fits = _recorded_fits(monkeypatch)
+    rows = weekly_panel(spark, 1, 30)
+    monkeypatch.setattr(ml_queries, "_ml_data", lambda *_: (rows, rows, ["Store"]))
+    got = ml_queries.q_random_search(spark, "").collect()
+    for name, space in ml.SPACES.items():
+        want = sorted(p["n_estimators"] for p in ml.sample_params(space, 20))
+        assert sorted(p["n_estimators"] for n, p in fits if n == name) == want
+        assert sorted(r.trial for r in got if r.model == name) == list(range(20))
