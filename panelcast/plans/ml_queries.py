@@ -218,5 +218,4 @@ def q_score_requests(spark, sf):
 
 @query("training_job")
 def q_training_job(spark, sf):
-    return training_job(spark, sf, tune=False, data=_ml_data(spark, sf),
-                        fitted=lambda name: _fitted(spark, sf, name))
+    return training_job(spark, sf, data=_ml_data(spark, sf))

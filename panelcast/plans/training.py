@@ -94,14 +94,14 @@ def training_job(spark: SparkSession, sf_dir: str, out_dir: str | None = None,
                  val_start: str = C.VALIDATION_START, tune: bool = True,
                  skip_time_series: bool = False, leak_safe: bool = True,
                  models=("RandomForest", "GBTDepthwise", "GBTShallow"),
-                 data=None, fitted=None) -> DataFrame:
+                 data=None) -> DataFrame:
     """Runs the whole pipeline and returns the per-model metrics table.
 
     The last ten training weeks are the tuning window: parameters (with ``tune``), the gate
-    and the blend weights are learned on it, from models fitted on the weeks before (with a
-    third of the trees), and the validation rows that are reported stay untouched.
-    ``data`` / ``fitted`` let a caller pass an already prepared feature split or already
-    fitted models (same settings), e.g. from a session cache."""
+    and the blend weights are learned on it, from models of the same settings fitted on the
+    weeks before, and the validation rows that are reported stay untouched.
+    ``data`` lets a caller pass an already prepared feature split, e.g. from a session
+    cache."""
     out_dir = out_dir or os.path.join(checkpoint_dir(spark), f"training-{uuid.uuid4().hex[:8]}")
     panel = materialize(build_panel(spark, sf_dir))
     validate_panel(panel).write.mode("overwrite").json(os.path.join(out_dir, "validation"))
@@ -110,14 +110,10 @@ def training_job(spark: SparkSession, sf_dir: str, out_dir: str | None = None,
     reported, learned = [], []
     for name in models:
         params = ml.random_search(name, fit_rows, tune_rows, cols)[0][1] if tune else {}
-        if fitted is not None and not tune:
-            model, pred, _ = fitted(name)
-        else:
-            model, pred, _ = train_and_evaluate(name, train, val, cols, params)
+        model, pred, _ = train_and_evaluate(name, train, val, cols, params)
         ml.save_model(model, os.path.join(out_dir, "models", name))
         reported.append(pred)
-        trees = params.get("n_estimators", DEFAULT_TREES[name])
-        early = ml.fit(name, fit_rows, cols, {**params, "n_estimators": -(-trees // 3)})
+        early = ml.fit(name, fit_rows, cols, params)
         learned.append(_long(ml.predict(early, tune_rows, KEYS + [C.TARGET])
                              .withColumnRenamed(C.TARGET, "actual"), name))
     if not skip_time_series:
@@ -142,9 +138,6 @@ def training_job(spark: SparkSession, sf_dir: str, out_dir: str | None = None,
     return metrics.withColumn("out_dir", F.lit(out_dir))
 
 
-DEFAULT_TREES = {"RandomForest": C.RF_DEFAULTS["n_estimators"], "GBTDepthwise": C.XGB_DEFAULTS["n_estimators"],
-                 "GBTShallow": C.LGB_DEFAULTS["n_estimators"]}
-
 __all__ = ["prepare_ml_data", "train_and_evaluate", "training_job", "tuning_split", "with_split"]
 
 

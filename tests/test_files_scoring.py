@@ -137,3 +137,22 @@ def test_random_search_fits_every_candidate_in_full(spark, monkeypatch):
         want = sorted(p["n_estimators"] for p in ml.sample_params(space, 20))
         assert sorted(p["n_estimators"] for n, p in fits if n == name) == want
         assert sorted(r.trial for r in got if r.model == name) == list(range(20))
+
+
+def test_training_job_learns_from_full_models(spark, monkeypatch, tmp_dir):
+    """The models behind gate and blend have the same trees as those that are blended."""
+    from panelcast.operators import ml
+    from panelcast.plans import ml_queries, training
+    fits = _recorded_fits(monkeypatch)
+    rows = weekly_panel(spark, 2, 30)
+    monkeypatch.setattr(ml, "save_model", lambda *_: None)
+    monkeypatch.setattr(training, "build_panel", lambda *_: rows)
+    training.training_job(spark, "", tmp_dir, tune=False, skip_time_series=True, data=(rows, rows, ["Store"])).collect()
+    full = {n: p for n, p in fits if not p}
+    assert len(fits) == 6 and len(full) == 3 and all(not p for _, p in fits)
+
+    seen = {}
+    monkeypatch.setattr(ml_queries, "_ml_data", lambda *_: (rows, rows, ["Store"]))
+    monkeypatch.setattr(ml_queries, "training_job", lambda *a, **k: seen.update(k))
+    ml_queries.q_training_job(spark, "")
+    assert seen.get("tune", True) and "fitted" not in seen
