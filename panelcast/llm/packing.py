@@ -1,7 +1,11 @@
 """Lexical retrieval packing: sequences of one document and its nearest unused neighbours.
 
-Documents are encoded to byte-level BPE ids followed by an end id, and dealt into shards of
-a bounded number of tokens. Each shard is a BM25 inverted index whose terms are token ids.
+Documents are encoded to byte-level BPE ids followed by an end id, and dealt by content into
+shards of a bounded number of tokens: a document's keys are the terms that KEYS weighted
+minimum hashes choose, so two documents share a key as often as they share weight of terms
+(the square of the inverse document frequency; terms of one document have none). Documents
+are range-partitioned and sorted by their keys, and a key of more documents than a shard
+holds goes on in the next ones, parted by the keys after it. Each shard is a BM25 inverted index whose terms are token ids.
 Document frequencies, document count and mean length cover all documents; they are bounded
 by the vocabulary, so they travel with the tasks.
 
@@ -11,7 +15,8 @@ neighbours that are still unused and fit go in by rank, and the best remaining n
 cut to fill the window; its own rest stays unused. What is left at a shard's end is cut
 into sequences whose lengths are powers of two, so no sequence is padded.
 
-The encoded shards are stored in the shared folder. Nothing else is shuffled.
+The encoded shards are stored in the shared folder, in the order of the input and again as
+dealt. Nothing else is shuffled.
 
 Null text: as empty (the end id alone). Null ids come out as null. Repeated rows stay.
 Empty tables give no rows. Extra columns are ignored.
@@ -34,6 +39,7 @@ SHARD_DOCS = 1 << 16
 END_ID = 1
 SPECIAL = (("<|endoftext|>", 50256),)
 K1, B = 1.2, 0.75
+KEYS = 3
 SHARD = ("shard long, docs binary, lengths binary, ids binary, "
          "terms array<int>, term_docs array<int>")
 
@@ -46,42 +52,103 @@ def encode_ids(enc, text: str) -> list[int]:
     return [i for piece in pieces(text) for i in enc.encode(piece, allowed_special="all")]
 
 
+def shard_row(number: int, ids: list[int], tokens: list[np.ndarray]) -> pa.RecordBatch:
+    lengths = np.array([len(t) for t in tokens], "<u4")
+    flat = np.concatenate(tokens)
+    own = np.unique((flat.astype(np.uint32) << np.uint32(16))
+                    | np.repeat(np.arange(len(ids), dtype=np.uint32), lengths))
+    terms, n = np.unique(own >> np.uint32(16), return_counts=True)
+    task = TaskContext.get().partitionId()
+    return pa.RecordBatch.from_arrays(
+        [pa.array([(task << 24) | number], pa.int64()),
+         pa.array([np.array(ids, "<i8").tobytes()], pa.binary()),
+         pa.array([lengths.tobytes()], pa.binary()), pa.array([flat.astype("<u2").tobytes()], pa.binary()),
+         pa.array([terms], pa.list_(pa.int32())), pa.array([n], pa.list_(pa.int32()))],
+        ["shard", "docs", "lengths", "ids", "terms", "term_docs"])
+
+
+def shard_rows(documents, shard_tokens: int):
+    """Shards of (id, token ids) in their order."""
+    ids, tokens, total, number = [], [], 0, 0
+    for doc_id, own in documents:
+        ids.append(doc_id)
+        tokens.append(own)
+        total += len(own)
+        if total >= shard_tokens or len(ids) == SHARD_DOCS:
+            yield shard_row(number, ids, tokens)
+            ids, tokens, total, number = [], [], 0, number + 1
+    if ids:
+        yield shard_row(number, ids, tokens)
+
+
+def stored_shards(shards: DataFrame) -> DataFrame:
+    target = scratch_path(shards.sparkSession, "shards")
+    # small row groups: a reader holds one at a time
+    shards.write.option("compression", "zstd").option("parquet.block.size", str(16 << 20)).parquet(target)
+    return shards.sparkSession.read.schema(shards.schema).parquet(target)
+
+
 def encoded_shards(docs: DataFrame, path: str, shard_tokens: int = SHARD_TOKENS) -> DataFrame:
     """One row per shard: document ids, lengths and token ids packed as arrays, and how
     many of its documents hold each token."""
-    def row(number, ids, tokens):
-        lengths = np.array([len(t) for t in tokens], "<u4")
-        flat = np.concatenate(tokens)
-        own = np.unique((flat.astype(np.uint32) << np.uint32(16))
-                        | np.repeat(np.arange(len(ids), dtype=np.uint32), lengths))
-        terms, n = np.unique(own >> np.uint32(16), return_counts=True)
-        task = TaskContext.get().partitionId()
-        return pa.RecordBatch.from_arrays(
-            [pa.array([(task << 24) | number], pa.int64()),
-             pa.array([np.array(ids, "<i8").tobytes()], pa.binary()),
-             pa.array([lengths.tobytes()], pa.binary()), pa.array([flat.astype("<u2").tobytes()], pa.binary()),
-             pa.array([terms], pa.list_(pa.int32())), pa.array([n], pa.list_(pa.int32()))],
-            ["shard", "docs", "lengths", "ids", "terms", "term_docs"])
-
     def run(batches):
         enc = encoding(path, SPECIAL)
-        ids, tokens, total, number = [], [], 0, 0
+        documents = ((doc_id, np.array(encode_ids(enc, text) + [END_ID], np.uint32)) for batch in batches
+                     for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist()))
+        yield from shard_rows(documents, shard_tokens)
+
+    return stored_shards(texts(docs).mapInArrow(run, SHARD))
+
+
+def corpus_statistics(shards: DataFrame, vocabulary: int) -> tuple[np.ndarray, int, int]:
+    """Document frequencies, documents and tokens of all shards, bounded by the vocabulary."""
+    counts = (shards.select(F.explode(F.arrays_zip("terms", "term_docs")).alias("t"))
+              .groupBy("t.terms").agg(F.sum("t.term_docs").alias("df")).collect())
+    n, tokens = shards.agg(F.sum(F.octet_length("lengths") / 4), F.sum(F.octet_length("ids") / 2)).first()
+    df = np.zeros(vocabulary)
+    for term, d in counts:
+        df[term] = d
+    return df, n or 0, tokens or 0
+
+
+def key_ranks(df: np.ndarray, n: int) -> np.ndarray:
+    """For each key a rank of every term; a document's key is its least rank."""
+    idf = np.log(1 + (n - df + 0.5) / (df + 0.5))
+    weight = np.where(df > 1, idf ** 2, 0) + 1e-12
+    draws = -np.log(1 - np.random.default_rng(0).random((KEYS, len(df)))) / weight
+    return draws.argsort(axis=1).argsort(axis=1).astype(np.int32)
+
+
+def routed(shards: DataFrame, shard_tokens: int = SHARD_TOKENS, vocabulary: int = 50257) -> DataFrame:
+    """The same documents in shards dealt by content."""
+    prepare(shards.sparkSession)
+    df, n, _ = corpus_statistics(shards, vocabulary)
+    ranks = key_ranks(df, n)
+    keys = [f"k{j}" for j in range(KEYS)]
+
+    def split(batches):
         for batch in batches:
-            for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist()):
-                ids.append(doc_id)
-                tokens.append(np.array(encode_ids(enc, text) + [END_ID], np.uint32))
-                total += len(tokens[-1])
-                if total >= shard_tokens or len(ids) == SHARD_DOCS:
-                    yield row(number, ids, tokens)
-                    ids, tokens, total, number = [], [], 0, number + 1
-        if ids:
-            yield row(number, ids, tokens)
-
-    shards = texts(docs).mapInArrow(run, SHARD)
-    target = scratch_path(docs.sparkSession, "shards")
-    # small row groups: a reader holds one at a time
-    shards.write.option("compression", "zstd").option("parquet.block.size", str(16 << 20)).parquet(target)
-    return docs.sparkSession.read.schema(shards.schema).parquet(target)
+            for shard, docs, lengths, ids in zip(*(batch.column(c).to_pylist() for c in
+                                                   ("shard", "docs", "lengths", "ids"))):
+                lengths, flat = np.frombuffer(lengths, "<u4").astype(np.int64), np.frombuffer(ids, "<u2")
+                first = np.cumsum(lengths) - lengths  # every document has its end id
+                least = [pa.array(np.minimum.reduceat(rank[flat], first)) for rank in ranks]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.frombuffer(docs, "<i8")), *least, pa.array([shard] * len(lengths), pa.int64()),
+                     pa.array(np.arange(len(lengths))),
+                     pa.array([flat[a:a + m].tobytes() for a, m in zip(first.tolist(), lengths.tolist())], pa.binary())],
+                    ["doc", *keys, "shard", "place", "ids"])
+
+    def gather(batches):
+        documents = ((doc, np.frombuffer(ids, "<u2").astype(np.uint32)) for batch in batches
+                     for doc, ids in zip(batch.column("doc").to_pylist(), batch.column("ids").to_pylist()))
+        yield from shard_rows(documents, shard_tokens)
+
+    order = [*keys, "shard", "place"]  # of one key, the place parts the documents
+    single = shards.select("shard", "docs", "lengths", "ids").mapInArrow(
+        split, "doc long, " + ", ".join(f"{k} int" for k in keys) + ", shard long, place long, ids binary")
+    return stored_shards(single.repartitionByRange(*order).sortWithinPartitions(*order)
+                         .select("doc", "ids").mapInArrow(gather, SHARD))
 
 
 class ShardIndex:
@@ -189,14 +256,8 @@ PIECE = ("doc_id long, start long, length long, ids binary, doc_tokens long, "
 def pack(shards: DataFrame, vocabulary: int = 50257, window: int = WINDOW) -> DataFrame:
     """Pieces of all documents with their ids (little-endian unsigned 32-bit)."""
     prepare(shards.sparkSession)
-    # corpus statistics over all documents, bounded by the vocabulary
-    counts = (shards.select(F.explode(F.arrays_zip("terms", "term_docs")).alias("t"))
-              .groupBy("t.terms").agg(F.sum("t.term_docs").alias("df")).collect())
-    n, tokens = shards.agg(F.sum(F.octet_length("lengths") / 4), F.sum(F.octet_length("ids") / 2)).first()
-    df = np.zeros(vocabulary)
-    for term, d in counts:
-        df[term] = d
-    idf = np.log(1 + ((n or 0) - df + 0.5) / (df + 0.5))
+    df, n, tokens = corpus_statistics(shards, vocabulary)
+    idf = np.log(1 + (n - df + 0.5) / (df + 0.5))
     mean = (tokens or 1) / (n or 1)
 
     def run(batches):
@@ -219,7 +280,7 @@ def pack(shards: DataFrame, vocabulary: int = 50257, window: int = WINDOW) -> Da
         .withColumn("doc_id", id_out())
 
 
-def pack_documents(docs: DataFrame, path: str) -> DataFrame:
+def pack_documents(docs: DataFrame, path: str, shard_tokens: int = SHARD_TOKENS) -> DataFrame:
     """(doc_id, start, length, ids binary, doc_tokens, sequence_id, offset): every id of
     every document, end id included, in exactly one piece."""
-    return pack(encoded_shards(docs, path))
+    return pack(routed(encoded_shards(docs, path, shard_tokens), shard_tokens))

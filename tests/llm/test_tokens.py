@@ -96,6 +96,24 @@ def test_neighbours_are_lexical(spark):
     assert sum(len(s) == 1 for s in sequences.values()) >= 0.7 * len(sequences)
 
 
+def test_neighbours_come_from_other_shards(spark):
+    """Documents of a topic lie far apart in the input, more than a shard of tokens."""
+    rng = np.random.default_rng(5)
+    topics = [[f"{''.join(rng.choice(list('bcdfglmnprst'), 3))}{k}" for _ in range(40)] for k in range(30)]
+    rows = [(i, " ".join(rng.choice(topics[i % 30], 90))) for i in range(600)]
+    tokenizer = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    want = {i: np.array(tokenizer.encode(t, add_special_tokens=False).ids + [packing.END_ID], "<u4") for i, t in rows}
+    got = packing.pack_documents(frame(spark, rows).coalesce(1), GPT, shard_tokens=10_000).collect()
+    sequences = check_pieces(got, want)
+    topics_of = {}
+    for r in got:
+        topics_of.setdefault(r.sequence_id, set()).add(r.doc_id % 30)
+    full = [s for s, parts in sequences.items() if sum(n for _, n in parts) == packing.WINDOW]
+    few = sum(len(topics_of[s]) <= 2 for s in full) / len(full)
+    print(f"windows of at most two topics: {few:.3f}")
+    assert few >= 0.5
+
+
 def test_bm25_scores_against_formula():
     rng = np.random.default_rng(3)
     docs = [rng.integers(0, 30, n) for n in (5, 9, 14, 3, 20)]
