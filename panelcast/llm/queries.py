@@ -7,7 +7,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, brown, cotraining, line_dedup, merkle, packing, simhash, substring_dedup, suffix_dedup, topk
+from . import (bpe, brown, cotraining, k2treap, line_dedup, merkle, packing, simhash, substring_dedup, suffix_dedup,
+               topk)
 from .common import table
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -94,3 +95,8 @@ def op9_bpe_roundtrip(spark, sf_dir):
 @query
 def op10_quality_classifier(spark, sf_dir):
     return cotraining.quality_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query
+def op11_k2treap_search(spark, sf_dir):
+    return k2treap.ranked_search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), k=20)

@@ -17,4 +17,23 @@ ORACLE_SQL: dict[str, str] = {
           SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank,
                  vec_id, score FROM s)
         SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 20""",
+    "op11_k2treap_search": r"""
+        WITH d AS (SELECT row_number() OVER () AS r, doc_id, lower_az AS t FROM (
+               SELECT doc_id, translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS lower_az FROM documents)),
+        w AS (SELECT r, doc_id, unnest(regexp_extract_all(t, '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM d),
+        tf AS (SELECT r, doc_id, term, count(*) AS tf FROM w GROUP BY ALL),
+        n AS (SELECT r, count(*) AS n FROM w GROUP BY r),
+        c AS (SELECT count(*) AS docs, sum(n)::BIGINT AS words FROM n),
+        df AS (SELECT term, count(*) AS df FROM tf GROUP BY term),
+        i AS (SELECT row_number() OVER () AS q, item_id,
+                     regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                        '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS terms FROM benchmark),
+        it AS (SELECT q, item_id, term, count(*) AS times FROM (SELECT q, item_id, unnest(terms) AS term FROM i) GROUP BY ALL),
+        s AS (SELECT q, item_id, r, doc_id,
+                     sum(times * floor(1000 * ln((2 * docs + 2) / (2 * df + 1)))::BIGINT
+                         * ((1000000000 * tf) // (1000 * tf + 12 * (75 + (25 * n * docs) // words))))::BIGINT AS score
+              FROM it JOIN tf USING (term) JOIN df USING (term) JOIN n USING (r) CROSS JOIN c GROUP BY ALL)
+        SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, score FROM (
+          SELECT *, row_number() OVER (PARTITION BY q ORDER BY score DESC, doc_id) AS rank FROM s WHERE score > 0)
+        WHERE rank <= 20""",
 }
