@@ -7,8 +7,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import (bpe, brown, cotraining, k2treap, line_dedup, merkle, packing, simhash, substring_dedup, suffix_dedup,
-               topk)
+from . import (bpe, brown, cotraining, fm_index, k2treap, line_dedup, merkle, packing, simhash, substring_dedup,
+               suffix_dedup, topk)
 from .common import table
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -100,3 +100,12 @@ def op10_quality_classifier(spark, sf_dir):
 @query
 def op11_k2treap_search(spark, sf_dir):
     return k2treap.ranked_search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), k=20)
+
+
+@query
+def op13_fm_decontamination(spark, sf_dir):
+    out = fm_index.decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), width=10)
+    hit = F.aggregate("spans", F.lit(0).cast("long"), lambda n, x: n + x["end"] - x["start"])
+    return out.select("doc_id", "n_words", hit.alias("n_hit"), F.size("items").cast("long").alias("n_items"),
+                      F.sha2(F.array_join("items", ",").cast("binary"), 256).alias("items_sha256"),
+                      (F.size("spans") > 0).alias("contaminated"))
