@@ -7,8 +7,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import (bpe, brown, cotraining, fm_index, k2treap, line_dedup, merkle, packing, simhash, substring_dedup,
-               suffix_dedup, topk)
+from . import (bpe, brown, cotraining, fm_index, k2treap, line_dedup, merkle, packing, phrase_mining, simhash,
+               substring_dedup, suffix_dedup, topk)
 from .common import table
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -102,6 +102,11 @@ def op11_k2treap_search(spark, sf_dir):
     return k2treap.ranked_search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), k=20)
 
 
+@query
+def op12_phrase_collocations(spark, sf_dir):
+    return phrase_mining.collocations(table(spark, sf_dir, "documents"), least=10, top=2000, percent=50)
+
+
 @query
 def op13_fm_decontamination(spark, sf_dir):
     out = fm_index.decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), width=10)

@@ -36,4 +36,25 @@ ORACLE_SQL: dict[str, str] = {
         SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, score FROM (
           SELECT *, row_number() OVER (PARTITION BY q ORDER BY score DESC, doc_id) AS rank FROM s WHERE score > 0)
         WHERE rank <= 20""",
+    "op12_phrase_collocations": r"""
+        WITH t AS (SELECT row_number() OVER () AS r, coalesce(lang, 'und') AS lang,
+                     translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS text FROM documents),
+        p AS (SELECT r, lang, unnest(regexp_split_to_array(text, '[.,;:!?\x0A-\x0D]')) AS piece FROM t),
+        w AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS ws FROM p),
+        n AS (SELECT lang, sum(len(ws))::BIGINT AS n FROM w GROUP BY lang),
+        g AS (SELECT lang, size, unnest(list_transform(range(1, len(ws) - size + 2), lambda i: ws[i:i + size - 1])) AS phrase
+              FROM w, (VALUES (1), (2), (3)) s(size) WHERE len(ws) >= size),
+        f AS (SELECT lang, size, phrase, count(*) AS f FROM g GROUP BY ALL HAVING count(*) >= 10),
+        c AS (SELECT lang, size, phrase, f AS a, unnest(range(1, size)) AS k FROM f WHERE size > 1),
+        x AS (SELECT c.*, p.f AS l, q.f AS r, (1000000::HUGEINT * a * a) // (p.f::HUGEINT * q.f) AS score
+              FROM c JOIN f p ON p.lang = c.lang AND p.phrase = c.phrase[1:c.k]
+                     JOIN f q ON q.lang = c.lang AND q.phrase = c.phrase[c.k + 1:c.size]),
+        best AS (SELECT * FROM x QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1),
+        around AS (SELECT lang, part, max(a) AS f FROM (
+              SELECT lang, f AS a, unnest([phrase[1:2], phrase[2:3]]) AS part FROM f WHERE size = 3) GROUP BY ALL),
+        kept AS (SELECT best.* FROM best LEFT JOIN around u ON u.lang = best.lang AND u.part = best.phrase
+                 WHERE u.f IS NULL OR 100 * u.f < 50 * a),
+        ranked AS (SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, array_to_string(phrase, ' ')) AS rank,
+                          array_to_string(phrase, ' ') AS phrase, a, l, r, score::BIGINT AS score FROM kept)
+        SELECT lang, CAST(rank AS BIGINT) AS rank, phrase, a, l, r, n, score FROM ranked JOIN n USING (lang) WHERE rank <= 2000""",
 }
