@@ -62,6 +62,10 @@ XGB_DEFAULTS = {"n_estimators": 200, "max_depth": 8, "learning_rate": 0.05,
                 "subsample": 0.8, "colsample_bytree": 0.8, "min_child_weight": 3}
 LGB_DEFAULTS = {"n_estimators": 200, "max_depth": 10, "learning_rate": 0.05,
                 "num_leaves": 50, "subsample": 0.8, "colsample_bytree": 0.8}
+# Settings the boosted models keep at their usual values: ridge on leaf values of the
+# depth-wise one, rows a leaf of the best-first one.
+DEPTHWISE_L2 = 1.0
+BEST_FIRST_MIN_ROWS = 20
 # Search spaces (inclusive bounds); learning rates are sampled log-uniformly.
 TUNING_TRIALS = 20
 RF_SPACE = {"n_estimators": (100, 300), "max_depth": (5, 20),

@@ -1,26 +1,17 @@
-"""Spark ML operators: assembly, tree ensembles, importances, random search,
-persistence, training/evaluation.
-
-Model fitting is distributed by Spark ML over the rows (trees are grown from
-partition-local statistics aggregated on the driver per level, so row count is
-not bounded by one machine). Tuning candidates are fitted concurrently from
-driver threads; each fit is an ordinary Spark job.
-"""
+"""Model operators: assembly, tree ensembles, importances, random search, persistence,
+training/evaluation. The ensembles are grown by ``trees``."""
 from __future__ import annotations
 
 import math
-from concurrent.futures import ThreadPoolExecutor
 
 import numpy as np
-from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.ml.regression import GBTRegressor, RandomForestRegressor
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import config as C
-from ..functions import metrics as M
+from . import trees
 from .evaluation import all_metrics
 
 FEATURES = "features"
@@ -34,38 +25,29 @@ def assemble_features(df: DataFrame, feature_cols: list[str]) -> DataFrame:
     return assembler(feature_cols).transform(df)
 
 
-def random_forest(params: dict | None = None, label: str = C.TARGET, seed: int = C.SEED):
+def random_forest(params: dict | None = None, seed: int = C.SEED) -> trees.Spec:
+    """Trees on Poisson(1) copies of the rows, all features at every split, means as values."""
     p = {**C.RF_DEFAULTS, **(params or {})}
-    # Spark bounds children only: two children of half the rows that a split needs hold them
-    leaf = max(int(p["min_samples_leaf"]), -(-int(p.get("min_samples_split", 2)) // 2))
-    return RandomForestRegressor(featuresCol=FEATURES, labelCol=label, predictionCol="pred",
-                                 numTrees=int(p["n_estimators"]), maxDepth=int(p["max_depth"]),
-                                 minInstancesPerNode=leaf,
-                                 featureSubsetStrategy="all", subsamplingRate=1.0, seed=seed,
-                                 maxMemoryInMB=256, cacheNodeIds=True, checkpointInterval=10)
+    return trees.Spec(forest=True, trees=int(p["n_estimators"]), depth=int(p["max_depth"]), rows=0.0,
+                      least=float(p["min_samples_leaf"]), split=float(p["min_samples_split"]), seed=seed)
 
 
-def gbt_depthwise(params: dict | None = None, label: str = C.TARGET, seed: int = C.SEED):
-    """Depth-wise boosted trees (row and column subsampling per tree/node)."""
+def gbt_depthwise(params: dict | None = None, seed: int = C.SEED) -> trees.Spec:
+    """Boosting level by level with second-order gains: rows and columns are sampled once a
+    tree, a child needs ``min_child_weight`` of curvature (one a row for squared errors)."""
     p = {**C.XGB_DEFAULTS, **(params or {})}
-    return GBTRegressor(featuresCol=FEATURES, labelCol=label, predictionCol="pred",
-                        maxIter=int(p["n_estimators"]), maxDepth=int(p["max_depth"]),
-                        stepSize=float(p["learning_rate"]), subsamplingRate=float(p["subsample"]),
-                        featureSubsetStrategy=str(float(p["colsample_bytree"])),
-                        minInstancesPerNode=int(p["min_child_weight"]), seed=seed,
-                        maxMemoryInMB=256, cacheNodeIds=True, checkpointInterval=20)
+    return trees.Spec(forest=False, trees=int(p["n_estimators"]), depth=int(p["max_depth"]),
+                      rate=float(p["learning_rate"]), rows=float(p["subsample"]), cols=float(p["colsample_bytree"]),
+                      least=float(p["min_child_weight"]), l2=C.DEPTHWISE_L2, seed=seed)
 
 
-def gbt_shallow(params: dict | None = None, label: str = C.TARGET, seed: int = C.SEED):
-    """Leaf-bounded boosted trees: Spark grows level-wise, so num_leaves maps to
-    depth ceil(log2(num_leaves)), capped by max_depth."""
+def gbt_shallow(params: dict | None = None, seed: int = C.SEED) -> trees.Spec:
+    """Boosting best-first up to ``num_leaves`` leaves. ``subsample`` has an effect only with
+    a ``subsample_freq`` above 0, which the specification leaves at 0."""
     p = {**C.LGB_DEFAULTS, **(params or {})}
-    depth = min(int(p["max_depth"]), max(1, math.ceil(math.log2(int(p["num_leaves"])))))
-    return GBTRegressor(featuresCol=FEATURES, labelCol=label, predictionCol="pred",
-                        maxIter=int(p["n_estimators"]), maxDepth=depth,
-                        stepSize=float(p["learning_rate"]), subsamplingRate=float(p["subsample"]),
-                        featureSubsetStrategy=str(float(p["colsample_bytree"])), seed=seed,
-                        maxMemoryInMB=256, cacheNodeIds=True, checkpointInterval=20)
+    return trees.Spec(forest=False, trees=int(p["n_estimators"]), depth=int(p["max_depth"]), leaves=int(p["num_leaves"]),
+                      rate=float(p["learning_rate"]), rows=float(p["subsample"]) if p.get("subsample_freq") else 1.0,
+                      cols=float(p["colsample_bytree"]), least=float(p.get("min_child_samples", C.BEST_FIRST_MIN_ROWS)), seed=seed)
 
 
 ESTIMATORS = {"RandomForest": random_forest, "GBTDepthwise": gbt_depthwise,
@@ -73,26 +55,21 @@ ESTIMATORS = {"RandomForest": random_forest, "GBTDepthwise": gbt_depthwise,
 SPACES = {"RandomForest": C.RF_SPACE, "GBTDepthwise": C.XGB_SPACE, "GBTShallow": C.LGB_SPACE}
 
 
-def pipeline(name: str, feature_cols: list[str], params: dict | None = None) -> Pipeline:
-    return Pipeline(stages=[assembler(feature_cols), ESTIMATORS[name](params)])
+def fit(name: str, train: DataFrame, feature_cols: list[str], params: dict | None = None,
+        label: str = C.TARGET) -> trees.TreeModel:
+    return trees.fit(train, list(feature_cols), label, ESTIMATORS[name](params))
 
 
-def fit(name: str, train: DataFrame, feature_cols: list[str], params: dict | None = None) -> PipelineModel:
-    return pipeline(name, feature_cols, params).fit(train)
-
-
-def predict(model: PipelineModel, df: DataFrame, keep: list[str]) -> DataFrame:
+def predict(model: trees.TreeModel, df: DataFrame, keep: list[str]) -> DataFrame:
     return model.transform(df).select(*keep, "pred")
 
 
-def feature_importance(model: PipelineModel) -> list[tuple[str, float]]:
-    """(feature, importance) in assembler order (one value per feature: bounded)."""
-    names = model.stages[0].getInputCols()
-    imp = model.stages[-1].featureImportances.toArray()
-    return list(zip(names, [float(v) for v in imp]))
+def feature_importance(model: trees.TreeModel) -> list[tuple[str, float]]:
+    """(feature, importance) in the order of the model's features (one value each: bounded)."""
+    return list(zip(model.features, [float(v) for v in model.importances()]))
 
 
-def importance_frame(spark, model: PipelineModel, model_name: str) -> DataFrame:
+def importance_frame(spark, model: trees.TreeModel, model_name: str) -> DataFrame:
     rows = [(model_name, f, v) for f, v in feature_importance(model)]
     return spark.createDataFrame(rows, "model string, feature string, importance double")
 
@@ -123,34 +100,38 @@ def sample_params(space: dict, n: int, seed: int = C.SEED) -> list[dict]:
     return out
 
 
-def random_search(name: str, train: DataFrame, tune: DataFrame, feature_cols: list[str],
-                  n_trials: int = C.TUNING_TRIALS, parallelism: int = 4, seed: int = C.SEED,
-                  label: str = C.TARGET) -> list[tuple[int, dict, float]]:
-    """Random search: every candidate is fitted on ``train`` with all the trees it names and
-    scored by WMAPE on ``tune`` (a later time window than ``train``). Returns (trial, params,
+def random_search_all(names: list[str], train: DataFrame, tune: DataFrame, feature_cols: list[str],
+                      n_trials: int = C.TUNING_TRIALS, seed: int = C.SEED,
+                      label: str = C.TARGET) -> dict[str, list[tuple[int, dict, float]]]:
+    """Random search over several models at once: every candidate is fitted on ``train`` with
+    all the trees it names and scored by WMAPE on ``tune`` (a later time window than
+    ``train``); one search grows the trees of all candidates. For each model (trial, params,
     wmape), best first."""
-    cands = sample_params(SPACES[name], n_trials, seed)
+    cands = [(name, t, p) for name in names for t, p in enumerate(sample_params(SPACES[name], n_trials, seed))]
+    scores = trees.search(train, tune, list(feature_cols), label, [ESTIMATORS[name](p) for name, _, p in cands])
+    out: dict[str, list] = {name: [] for name in names}
+    for (name, t, p), score in zip(cands, scores):
+        out[name].append((t, p, float(score) if score is not None else float("inf")))
+    return {name: sorted(rows, key=lambda r: (r[2], r[0])) for name, rows in out.items()}
 
-    def run(params: dict) -> float:
-        model = fit(name, train, feature_cols, params)
-        score = model.transform(tune).agg(M.wmape(label, "pred").alias("w")).first()["w"]
-        return float(score) if score is not None else float("inf")
 
-    with ThreadPoolExecutor(max_workers=parallelism) as pool:
-        scores = list(pool.map(run, cands))
-    return [(t, cands[t], scores[t]) for t in sorted(range(len(cands)), key=lambda t: (scores[t], t))]
+def random_search(name: str, train: DataFrame, tune: DataFrame, feature_cols: list[str],
+                  n_trials: int = C.TUNING_TRIALS, seed: int = C.SEED,
+                  label: str = C.TARGET) -> list[tuple[int, dict, float]]:
+    """Random search of one model: (trial, params, wmape), best first."""
+    return random_search_all([name], train, tune, feature_cols, n_trials, seed, label)[name]
 
 
-def save_model(model: PipelineModel, path: str) -> None:
-    model.write().overwrite().save(path)
+def save_model(model: trees.TreeModel, path: str) -> None:
+    model.save(path)
 
 
-def load_model(path: str) -> PipelineModel:
-    return PipelineModel.load(path)
+def load_model(path: str) -> trees.TreeModel:
+    return trees.TreeModel.load(SparkSession.getActiveSession(), path)
 
 
-def model_feature_columns(model: PipelineModel) -> list[str]:
-    return list(model.stages[0].getInputCols())
+def model_feature_columns(model: trees.TreeModel) -> list[str]:
+    return list(model.features)
 
 
 def vector_column_as_array(df: DataFrame, col: str = FEATURES) -> DataFrame:

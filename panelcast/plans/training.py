@@ -108,8 +108,9 @@ def training_job(spark: SparkSession, sf_dir: str, out_dir: str | None = None,
     train, val, cols = data if data is not None else prepare_ml_data(panel, val_start, leak_safe)
     fit_rows, tune_rows = tuning_split(train)
     reported, learned = [], []
+    best = ml.random_search_all(list(models), fit_rows, tune_rows, cols) if tune else {}
     for name in models:
-        params = ml.random_search(name, fit_rows, tune_rows, cols)[0][1] if tune else {}
+        params = best[name][0][1] if tune else {}
         model, pred, _ = train_and_evaluate(name, train, val, cols, params)
         ml.save_model(model, os.path.join(out_dir, "models", name))
         reported.append(pred)

@@ -126,16 +126,18 @@ def _recorded_fits(monkeypatch):
 
 
 def test_random_search_fits_every_candidate_in_full(spark, monkeypatch):
-    """All 20 candidates of each of the three models, with the trees that they name."""
-    from panelcast.operators import ml
+    """All 20 candidates of each of the three models, with the trees that they name, in one search."""
+    from panelcast.operators import ml, trees
     from panelcast.plans import ml_queries
-    fits = _recorded_fits(monkeypatch)
+    asked = []
+    monkeypatch.setattr(trees, "search", lambda train, tune, cols, label, specs: asked.append(specs) or [1.0] * len(specs))
     rows = weekly_panel(spark, 1, 30)
     monkeypatch.setattr(ml_queries, "_ml_data", lambda *_: (rows, rows, ["Store"]))
     got = ml_queries.q_random_search(spark, "").collect()
+    assert len(asked) == 1 and len(asked[0]) == 60
     for name, space in ml.SPACES.items():
         want = sorted(p["n_estimators"] for p in ml.sample_params(space, 20))
-        assert sorted(p["n_estimators"] for n, p in fits if n == name) == want
+        assert sorted(s.trees for s in asked[0] if s in [ml.ESTIMATORS[name](p) for p in ml.sample_params(space, 20)]) == want
         assert sorted(r.trial for r in got if r.model == name) == list(range(20))
 
 
