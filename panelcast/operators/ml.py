@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import config as C
-from . import trees
+from . import parzen, trees
 from .evaluation import all_metrics
 
 FEATURES = "features"
@@ -60,6 +60,13 @@ def fit(name: str, train: DataFrame, feature_cols: list[str], params: dict | Non
     return trees.fit(train, list(feature_cols), label, ESTIMATORS[name](params))
 
 
+def fit_all(names: list[str], train: DataFrame, feature_cols: list[str], params: dict[str, dict] | None = None,
+            label: str = C.TARGET) -> dict[str, trees.TreeModel]:
+    """Several models grown at once."""
+    specs = [ESTIMATORS[n]((params or {}).get(n)) for n in names]
+    return dict(zip(names, trees.fit_all(train, list(feature_cols), label, specs)))
+
+
 def predict(model: trees.TreeModel, df: DataFrame, keep: list[str]) -> DataFrame:
     return model.transform(df).select(*keep, "pred")
 
@@ -122,6 +129,19 @@ def random_search(name: str, train: DataFrame, tune: DataFrame, feature_cols: li
     return random_search_all([name], train, tune, feature_cols, n_trials, seed, label)[name]
 
 
+def parzen_search_all(names: list[str], train: DataFrame, tune: DataFrame, feature_cols: list[str],
+                      n_trials: int = C.TUNING_TRIALS, seed: int = C.SEED, label: str = C.TARGET,
+                      study: str | None = None) -> dict[str, list[tuple[int, dict, float]]]:
+    """The same search with candidates proposed by ``parzen``; the candidates that all models
+    propose in a round are grown together. ``study`` names a folder that keeps the trials: a
+    search that is started again on it goes on where it ended."""
+    def score(cands: list[tuple[str, dict]]) -> list[float]:
+        found = trees.search(train, tune, list(feature_cols), label, [ESTIMATORS[n](p) for n, p in cands])
+        return [float("inf") if x is None else float(x) for x in found]
+    trials = parzen.minimise(train.sparkSession, {n: SPACES[n] for n in names}, score, n_trials, seed, study)
+    return {n: sorted(rows, key=lambda r: (r[2], r[0])) for n, rows in trials.items()}
+
+
 def save_model(model: trees.TreeModel, path: str) -> None:
     model.save(path)
 

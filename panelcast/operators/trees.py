@@ -591,8 +591,8 @@ def walk(tree: dict, x: np.ndarray) -> np.ndarray:
     return node
 
 
-def fit(df: DataFrame, cols: list[str], label: str, spec: Spec, bins: int = BINS, rows: int = BLOCK_ROWS) -> TreeModel:
-    """An ensemble of ``spec``; rows with a null label are left out."""
+def fit_all(df: DataFrame, cols: list[str], label: str, specs: list[Spec], bins: int = BINS, rows: int = BLOCK_ROWS) -> list[TreeModel]:
+    """An ensemble of each of ``specs``, all grown at once; rows with a null label are left out."""
     spark = df.sparkSession
     ship_package(spark)
     df = df.filter(F.col(label).isNotNull())
@@ -602,18 +602,23 @@ def fit(df: DataFrame, cols: list[str], label: str, spec: Spec, bins: int = BINS
     parts = _in_memory(blocks, len(cols))
     if parts is not None:
         sent = spark.sparkContext.broadcast(Rows(parts, len(cols), layout))
+        units = sorted(_units(specs), key=lambda u: -(u[2] - u[1]) * specs[u[0]].depth)  # long tasks first
 
         def run(batches):
             for batch in batches:
                 for i in batch.column("id").to_pylist():
-                    _, first, last = units[i]
-                    yield _tree_batch([(0, t, g) for t, g in trees_in_memory(spec, sent.value, layout, base, first, last)])
-        units = _units([spec])
+                    m, first, last = units[i]
+                    yield _tree_batch([(m, t, g) for t, g in trees_in_memory(specs[m], sent.value, layout, base, first, last)])
         trees = _dealt(spark, units).mapInArrow(run, TREES)
     else:
-        grown = _trees_by_levels(blocks, layout, [spec], base)
-        trees = spark.createDataFrame(pa.Table.from_batches([_tree_batch(grown)]))
-    return TreeModel(spec, list(cols), base, _stored(trees, "model"))
+        trees = spark.createDataFrame(pa.Table.from_batches([_tree_batch(_trees_by_levels(blocks, layout, specs, base))]))
+    trees = _stored(trees, "model")
+    return [TreeModel(s, list(cols), base, trees.filter(F.col("model") == i)) for i, s in enumerate(specs)]
+
+
+def fit(df: DataFrame, cols: list[str], label: str, spec: Spec, bins: int = BINS, rows: int = BLOCK_ROWS) -> TreeModel:
+    """One ensemble."""
+    return fit_all(df, cols, label, [spec], bins, rows)[0]
 
 
 def search(train: DataFrame, tune: DataFrame, cols: list[str], label: str, specs: list[Spec], bins: int = BINS,

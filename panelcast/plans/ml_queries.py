@@ -37,13 +37,18 @@ def _ml_data(spark: SparkSession, sf: str):
         return _CACHE[key]
 
 
-def _fitted(spark: SparkSession, sf: str, name: str):
-    key = ("model", sf, name, id(spark))
+def _fitted_all(spark: SparkSession, sf: str, names=tuple(ml.SPACES)) -> dict:
+    """name -> (model, predictions, metrics); models that are not known yet are grown at once."""
     train, val, cols = _ml_data(spark, sf)
     with _LOCK:
-        if key not in _CACHE:
-            _CACHE[key] = train_and_evaluate(name, train, val, cols)
-        return _CACHE[key]
+        missing = [n for n in names if ("model", sf, n, id(spark)) not in _CACHE]
+        for name, out in train_and_evaluate(missing, train, val, cols).items() if missing else ():
+            _CACHE["model", sf, name, id(spark)] = out
+        return {n: _CACHE["model", sf, n, id(spark)] for n in names}
+
+
+def _fitted(spark: SparkSession, sf: str, name: str):
+    return _fitted_all(spark, sf, (name,))[name]
 
 
 def _scratch(spark: SparkSession, what: str) -> str:
@@ -95,15 +100,14 @@ query("gbt_shallow")(_pred_query("GBTShallow"))
 
 @query("train_and_evaluate")
 def q_train_and_evaluate(spark, sf):
-    """fit -> predict -> all metrics for one model (the leaf-bounded booster)."""
-    return _fitted(spark, sf, "GBTShallow")[2]
+    """fit -> predict -> all metrics of the three tree models."""
+    return ev.union_model_results(*[out[2] for out in _fitted_all(spark, sf).values()])
 
 
 @query("feature_importance")
 def q_feature_importance(spark, sf):
-    """Importances aligned with the assembler's feature names; the depth-wise
-    booster is preferred, as in the reference's selection order."""
-    return ml.importance_frame(spark, _fitted(spark, sf, "GBTDepthwise")[0], "GBTDepthwise")
+    """Importances of every feature in each of the three tree models."""
+    return ev.union_model_results(*[ml.importance_frame(spark, out[0], name) for name, out in _fitted_all(spark, sf).items()])
 
 
 @query("top_features")
@@ -113,32 +117,34 @@ def q_top_features(spark, sf):
     return ml.top_features(ml.importance_frame(spark, model, "GBTDepthwise"))
 
 
-def _saved_model(spark, sf) -> str:
+def _saved_models(spark, sf) -> dict[str, str]:
     key = ("saved", sf, id(spark))
-    model, _, _ = _fitted(spark, sf, "GBTShallow")
+    fitted = _fitted_all(spark, sf)
     with _LOCK:
         if key not in _CACHE:
-            path = _scratch(spark, "model")
-            ml.save_model(model, path)
-            _CACHE[key] = path
+            path = _scratch(spark, "models")
+            for name, (model, _, _) in fitted.items():
+                ml.save_model(model, os.path.join(path, name))
+            _CACHE[key] = {name: os.path.join(path, name) for name in fitted}
         return _CACHE[key]
 
 
 @query("save_model")
 def q_save_model(spark, sf):
-    """Persist a fitted pipeline (assembler with its ordered feature list +
-    model); returns the persisted feature list in order."""
-    path = _saved_model(spark, sf)
-    cols = ml.model_feature_columns(ml.load_model(path))
-    return spark.createDataFrame([(i, c) for i, c in enumerate(cols)], "position int, feature string")
+    """Persist the three fitted models with their ordered feature lists; returns the
+    persisted lists in order."""
+    return spark.createDataFrame(
+        [(name, i, c) for name, path in _saved_models(spark, sf).items()
+         for i, c in enumerate(ml.model_feature_columns(ml.load_model(path)))], "model string, position int, feature string")
 
 
 @query("load_model")
 def q_load_model(spark, sf):
-    """Load the persisted pipeline and score the validation rows with it."""
-    loaded = ml.load_model(_saved_model(spark, sf))
+    """Load the three persisted models and score the validation rows with each."""
     _, val, _ = _ml_data(spark, sf)
-    return ml.predict(loaded, val, KEYS)
+    return ev.union_model_results(*[
+        ml.predict(ml.load_model(path), val, KEYS).withColumn("model", F.lit(name))
+        for name, path in _saved_models(spark, sf).items()])
 
 
 @query("write_metrics")
@@ -161,6 +167,16 @@ def q_random_search(spark, sf):
     return spark.createDataFrame(rows, "model string, trial int, params string, WMAPE double")
 
 
+@query("parzen_search")
+def q_parzen_search(spark, sf):
+    """The search of all three models with candidates proposed from the trials so far."""
+    from .training import tuning_split
+    train, _, cols = _ml_data(spark, sf)
+    found = ml.parzen_search_all(list(ml.SPACES), *tuning_split(train), cols, study=_scratch(spark, "study"))
+    rows = [(name, i, json.dumps(p, sort_keys=True), w) for name in ml.SPACES for i, p, w in found[name]]
+    return spark.createDataFrame(rows, "model string, trial int, params string, WMAPE double")
+
+
 # ------------------------------------------------------- series forecasters
 @query("trend_seasonal_forecast")
 def q_trend_seasonal(spark, sf):

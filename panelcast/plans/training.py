@@ -54,17 +54,20 @@ def tuning_split(train: DataFrame, weeks: int = 10) -> tuple[DataFrame, DataFram
     return train.filter(F.col(C.TIME) < cutoff), train.filter(F.col(C.TIME) >= cutoff)
 
 
-def train_and_evaluate(name: str, train: DataFrame, val: DataFrame, feature_cols: list[str],
-                       params: dict | None = None, tune: bool = False, n_trials: int = C.TUNING_TRIALS):
-    """(fitted model, long validation predictions, metrics) for one tree model."""
+def train_and_evaluate(names: list[str], train: DataFrame, val: DataFrame, feature_cols: list[str],
+                       params: dict[str, dict] | None = None, tune: bool = False, n_trials: int = C.TUNING_TRIALS) -> dict:
+    """name -> (fitted model, long validation predictions, metrics) of tree models that are
+    tuned and grown at once."""
+    params = dict(params or {})
     if tune:
         fit_rows, tune_rows = tuning_split(train)
-        best = ml.random_search(name, fit_rows, tune_rows, feature_cols, n_trials)[0]
-        params = best[1]
-    model = ml.fit(name, train, feature_cols, params)
-    pred = ml.predict(model, val, KEYS + [C.TARGET]).select(
-        *KEYS, F.col(C.TARGET).alias("actual"), F.lit(name).alias("model"), "pred")
-    return model, pred, ev.all_metrics(pred)
+        params |= {n: rows[0][1] for n, rows in ml.random_search_all(names, fit_rows, tune_rows, feature_cols, n_trials).items()}
+    out = {}
+    for name, model in ml.fit_all(names, train, feature_cols, params).items():
+        pred = ml.predict(model, val, KEYS + [C.TARGET]).select(
+            *KEYS, F.col(C.TARGET).alias("actual"), F.lit(name).alias("model"), "pred")
+        out[name] = model, pred, ev.all_metrics(pred)
+    return out
 
 
 def _long(frame: DataFrame, name: str) -> DataFrame:
@@ -94,12 +97,13 @@ def training_job(spark: SparkSession, sf_dir: str, out_dir: str | None = None,
                  val_start: str = C.VALIDATION_START, tune: bool = True,
                  skip_time_series: bool = False, leak_safe: bool = True,
                  models=("RandomForest", "GBTDepthwise", "GBTShallow"),
-                 data=None) -> DataFrame:
+                 data=None, sampler: str = "random") -> DataFrame:
     """Runs the whole pipeline and returns the per-model metrics table.
 
     The last ten training weeks are the tuning window: parameters (with ``tune``), the gate
     and the blend weights are learned on it, from models of the same settings fitted on the
     weeks before, and the validation rows that are reported stay untouched.
+    ``sampler``: "random" or "parzen" candidates.
     ``data`` lets a caller pass an already prepared feature split, e.g. from a session
     cache."""
     out_dir = out_dir or os.path.join(checkpoint_dir(spark), f"training-{uuid.uuid4().hex[:8]}")
@@ -108,13 +112,13 @@ def training_job(spark: SparkSession, sf_dir: str, out_dir: str | None = None,
     train, val, cols = data if data is not None else prepare_ml_data(panel, val_start, leak_safe)
     fit_rows, tune_rows = tuning_split(train)
     reported, learned = [], []
-    best = ml.random_search_all(list(models), fit_rows, tune_rows, cols) if tune else {}
-    for name in models:
-        params = best[name][0][1] if tune else {}
-        model, pred, _ = train_and_evaluate(name, train, val, cols, params)
+    search = {"random": ml.random_search_all, "parzen": ml.parzen_search_all}[sampler]
+    best = search(list(models), fit_rows, tune_rows, cols) if tune else {}
+    params = {name: rows[0][1] for name, rows in best.items()}
+    for name, (model, pred, _) in train_and_evaluate(list(models), train, val, cols, params).items():
         ml.save_model(model, os.path.join(out_dir, "models", name))
         reported.append(pred)
-        early = ml.fit(name, fit_rows, cols, params)
+    for name, early in ml.fit_all(list(models), fit_rows, cols, params).items():
         learned.append(_long(ml.predict(early, tune_rows, KEYS + [C.TARGET])
                              .withColumnRenamed(C.TARGET, "actual"), name))
     if not skip_time_series:

@@ -121,7 +121,11 @@ class _Flat:
 def _recorded_fits(monkeypatch):
     from panelcast.operators import ml
     fits = []
-    monkeypatch.setattr(ml, "fit", lambda name, train, cols, params=None: fits.append((name, params or {})) or _Flat())
+
+    def fit_all(names, train, cols, params=None):
+        fits.extend((n, (params or {}).get(n, {})) for n in names)
+        return {n: _Flat() for n in names}
+    monkeypatch.setattr(ml, "fit_all", fit_all)
     return fits
 
 

@@ -146,3 +146,51 @@ def test_cut_points_are_within_the_error_of_the_sketch(spark):
         cuts = trees.cut_points(df, ["v"], 16, accuracy)[0]
         ranks = np.searchsorted(values, cuts, "right") / len(values)
         assert len(cuts) == 15 and np.abs(ranks - np.arange(1, 16) / 16).max() <= 1 / accuracy + 1e-4
+
+
+# ---------------------------------------------------------------- Parzen search
+SPACE = {"n": (1, 60), "learning_rate": (0.001, 1.0), "share": (0.0, 1.0)}
+
+
+def surface(p):
+    return ((p["n"] - 41) / 60) ** 2 + (np.log10(p["learning_rate"]) + 1.2) ** 2 + (p["share"] - 0.3) ** 2
+
+
+def test_parzen_search_beats_the_seeded_sampler(spark):
+    from panelcast.operators import ml, parzen
+    better = 0
+    for seed in range(6):
+        got = parzen.minimise(spark, {"m": SPACE}, lambda cands: [surface(p) for _, p in cands], 40, seed)["m"]
+        assert [t for t, _, _ in got] == list(range(40))
+        assert all(SPACE[k][0] <= v <= SPACE[k][1] and isinstance(v, int) == (k == "n") for _, p, _ in got for k, v in p.items())
+        plain = [surface(p) for p in ml.sample_params(SPACE, 40, seed)]
+        better += min(s for *_, s in got) < min(plain)
+        assert np.mean([s for *_, s in got[20:]]) < np.mean(plain) / 2
+    assert better >= 5
+
+
+def test_parzen_search_goes_on_after_a_crash(spark, tmp_path):
+    from panelcast.operators import parzen
+    spaces, calls = {"a": SPACE, "b": {"n": (1, 60), "learning_rate": (0.001, 1.0), "share": (0.0, 1.0)}}, []
+
+    def score(cands, limit=10**9):
+        if len(calls) >= limit:
+            raise RuntimeError("lost")
+        calls.append(len(cands))
+        return [surface(p) for _, p in cands]
+    whole = parzen.minimise(spark, spaces, score, 22, 3)
+    study = str(tmp_path / "study")
+    calls.clear()
+    with pytest.raises(RuntimeError):
+        parzen.minimise(spark, spaces, lambda c: score(c, 2), 22, 3, study)
+    done = sum(calls)
+    assert parzen.minimise(spark, spaces, score, 22, 3, study) == whole
+    assert sum(calls) == 44 and done == 30
+    assert parzen.minimise(spark, spaces, lambda c: 1 / 0, 22, 3, study) == whole  # nothing left to try
+
+
+def test_densities_are_densities():
+    from panelcast.operators import parzen
+    x = (np.arange(20_000) + 0.5) / 20_000
+    for centres in ([], [0.5], [0.0, 1.0], [0.1, 0.12, 0.9, 0.9]):
+        assert parzen.density(x, np.array(centres)).mean() == pytest.approx(1, abs=1e-3)
