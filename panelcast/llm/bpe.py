@@ -4,9 +4,12 @@
 at safe boundaries: between an ASCII letter, digit or punctuation mark and a following
 space or newline. No match of the splitting pattern runs from a visible character into
 white space, and the pattern looks ahead only after white space, so the pieces encode to
-the same ids as the whole. ``decode_documents`` joins the raw bytes of the ids.
+the same ids as the whole. White space of LONG_RUN characters or more, too long for the
+library's pattern, is cut out first: at the end of a text it is one match of the pattern,
+elsewhere all but its last character is, which stays with the text after it.
+``decode_documents`` joins the raw bytes of the ids.
 
-Null text: as empty (no ids). Null ids array: as empty. Ids outside the vocabulary raise.
+Null ids of documents return as null. Texts of any length are encoded whole. Null text: as empty (no ids). Null ids array: as empty. Ids outside the vocabulary raise.
 Repeated rows stay; extra columns are ignored. An empty table gives an empty table.
 """
 from __future__ import annotations
@@ -17,6 +20,7 @@ import re
 
 import pyarrow as pa
 import public_tokenizers
+import regex
 import tiktoken
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -25,6 +29,9 @@ from .common import id_out, prepare, texts
 
 #: Texts longer than this many characters are cut before encoding.
 CUT_CHARS = 65_536
+#: White space of so many characters is encoded by itself.
+LONG_RUN = 65_536
+_RUN = regex.compile(r"\p{White_Space}{%d,}" % LONG_RUN)
 _BOUNDARY = re.compile(r"(?<=[!-~])(?=[ \n])")
 
 
@@ -52,10 +59,27 @@ def pieces(text: str, size: int = CUT_CHARS) -> list[str]:
     return out
 
 
+def without_long_runs(text: str) -> list[tuple[bool, str]]:
+    """(whether it is one match of the pattern, part) in order."""
+    out, at = [], 0
+    for run in _RUN.finditer(text) if len(text) >= LONG_RUN else ():
+        end = run.end() if run.end() == len(text) else run.end() - 1
+        out += [(False, text[at:run.start()]), (True, text[run.start():end])]
+        at = end
+    return [*out, (False, text[at:])]
+
+
+def encode_long(enc: tiktoken.Encoding, text: str, encode) -> list[int]:
+    """Ids of a long text: ``encode`` takes the pieces between long runs of white space."""
+    return [i for run, part in without_long_runs(text)
+            for piece in ([part] if run else pieces(part))
+            for i in (enc._encode_single_piece(piece) if run else encode(piece))]
+
+
 def encode_text(enc: tiktoken.Encoding, text: str) -> list[int]:
     if len(text) <= CUT_CHARS:
         return enc.encode_ordinary(text)
-    return [i for piece in pieces(text) for i in enc.encode_ordinary(piece)]
+    return encode_long(enc, text, enc.encode_ordinary)
 
 
 def encode_documents(docs: DataFrame, path: str) -> DataFrame:

@@ -29,7 +29,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .bpe import CUT_CHARS, encoding, pieces
+from .bpe import CUT_CHARS, encode_long, encoding
 from .common import id_out, prepare, scratch_path, texts
 
 WINDOW = 2048
@@ -49,7 +49,7 @@ def encode_ids(enc, text: str) -> list[int]:
     special = [s for s, _ in SPECIAL if s in text]
     if len(text) <= CUT_CHARS and not special:
         return enc.encode_ordinary(text)
-    return [i for piece in pieces(text) for i in enc.encode(piece, allowed_special="all")]
+    return encode_long(enc, text, lambda piece: enc.encode(piece, allowed_special="all"))
 
 
 def shard_row(number: int, ids: list[int], tokens: list[np.ndarray]) -> pa.RecordBatch:
@@ -60,7 +60,7 @@ def shard_row(number: int, ids: list[int], tokens: list[np.ndarray]) -> pa.Recor
     terms, n = np.unique(own >> np.uint32(16), return_counts=True)
     task = TaskContext.get().partitionId()
     return pa.RecordBatch.from_arrays(
-        [pa.array([(task << 24) | number], pa.int64()),
+        [pa.array([(task << 20) | number], pa.int64()),
          pa.array([np.array(ids, "<i8").tobytes()], pa.binary()),
          pa.array([lengths.tobytes()], pa.binary()), pa.array([flat.astype("<u2").tobytes()], pa.binary()),
          pa.array([terms], pa.list_(pa.int32())), pa.array([n], pa.list_(pa.int32()))],
@@ -275,7 +275,7 @@ def pack(shards: DataFrame, vocabulary: int = 50257, window: int = WINDOW) -> Da
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(doc_ids[doc]), pa.array(start), pa.array(length),
                      pa.array([wide[a:b].tobytes() for a, b in zip(at.tolist(), (at + length).tolist())], pa.binary()),
-                     pa.array(lengths[doc]), pa.array((shard << 24) | sequence), pa.array(offset)], names)
+                     pa.array(lengths[doc]), pa.array((shard << 22) | sequence), pa.array(offset)], names)
     return shards.select("shard", "docs", "lengths", "ids").mapInArrow(run, PIECE) \
         .withColumn("doc_id", id_out())
 

@@ -131,3 +131,17 @@ def test_views_hand_over_confident_rows():
     good, bad = cotraining._surest(np.array([5.0, 0.0, -5.0]), held, truth)
     assert good.tolist() == [0] and bad.tolist() == [2]
     assert known([(None, None)])[0][1] == ""
+
+
+def test_samples_are_bounded_whatever_the_labels(spark, monkeypatch):
+    """Label ids without documents, repeated ids and long texts send no more rows."""
+    docs, labels = labelled()
+    docs += [(7001, "clean words of a long text " * 40_000, "en", "press", 1, "x")] + [(7002, "same id", "en", None, None, None)] * 300
+    labels += [(i, 1, 0) for i in range(10_000, 10_900)]
+    seen = []
+    monkeypatch.setattr(cotraining, "co_train", lambda pairs, y, aside, rounds: seen.append(y))
+    for sample, pool in ((50, 40), (5, 400), (10_000, 10_000)):
+        cotraining.train(spark.createDataFrame(docs, DOCS), spark.createDataFrame(labels, LABELS), sample, pool)
+        y = seen.pop()
+        assert 0 < (y >= 0).sum() <= sample and (y < 0).sum() <= pool
+    assert len(y) == len(docs)

@@ -2,6 +2,7 @@
 from __future__ import annotations
 
 import hashlib
+import itertools
 import random
 import re
 from collections import defaultdict
@@ -129,20 +130,47 @@ def line_fingerprint(words):
     return brute_simhash(long) if long else xxhash.xxh64_intdigest(" ".join(words).encode(), 1)
 
 
-def brute_lines(own):
-    """(n_lines, n_removed, text) for each row."""
+def spark_hash(*values):
+    """XXH64 over a row as Spark takes it: each value's hash seeds the next; strings as UTF-8,
+    64-bit numbers as 8 bytes, Python ints as 4."""
+    h = 42
+    for v in values:
+        raw = v.encode() if isinstance(v, str) else v.tobytes() if isinstance(v, np.int64) else v.to_bytes(4, "little")
+        h = xxhash.xxh64_intdigest(raw, h)
+    return np.uint64(h).astype(np.int64)
+
+
+def line_minima(words):
+    """Low halves of the minimum hashes, None for a line without units."""
+    whole = " ".join(words)
+    units = ([whole[i:i + line_dedup.GRAM] for i in range(max(len(whole) - line_dedup.GRAM + 1, 1))]
+             if len(words) <= line_dedup.FEW else [w for w in words if len(w) >= line_dedup.SHORT])
+    hashes = {spark_hash(u) for u in units}
+    return [min(spark_hash(h, k) for h in hashes) & 0xFFFFFFFF for k in range(line_dedup.MINIMA)] if hashes else None
+
+
+def brute_lines(own, sketch=False):
+    """(n_lines, n_removed, text) for each row. ``sketch``: candidates by bands of minimum
+    hashes too, as the query and the pipeline have them."""
     def split(t):
         return [tuple(w for w in regex.split(r"[^\p{L}\p{N}]+", x.lower()) if w) for x in t.split("\n")]
     lines = sorted({w for _, t in own for w in split(t) if w})
     at = {w: n for n, w in enumerate(lines)}
     fp = [line_fingerprint(w) for w in lines]
+    pairs = {(j, i) for i in range(len(lines)) for j in range(i) if (fp[i] ^ fp[j]).bit_count() <= 3}
+    if sketch:
+        buckets = defaultdict(list)
+        for i, w in enumerate(lines):
+            minima = line_minima(w)
+            for k, band in enumerate(line_dedup._bands() if minima else ()):
+                buckets[k, *(minima[x] for x in band)].append(i)
+        pairs |= {p for own_ in buckets.values() for p in itertools.combinations(own_, 2)}
     u = Union(len(lines))
-    for i in range(len(lines)):
-        for j in range(i):
-            if (fp[i] ^ fp[j]).bit_count() <= 3:
-                a, b = lines[i], lines[j]
-                if edits(a, b) <= int(max(len(a), len(b)) * 0.2 + 1e-9):
-                    u.join(i, j)
+    for i, j in pairs:
+        a, b = " ".join(lines[i]), " ".join(lines[j])
+        most = int(max(len(a), len(b)) * 0.2 + 1e-9)
+        if abs(len(a) - len(b)) <= most and u.find(i) != u.find(j) and edits(a, b) <= most:
+            u.join(i, j)
     least = defaultdict(lambda: BIG + 1)
     for d, t in own:
         for w in split(t):
@@ -181,6 +209,13 @@ def test_line_dedup(spark, docs, rows, no_docs):
         assert sorted(got, key=str) == sorted(brute_lines(own), key=str)
 
 
+def test_line_dedup_as_registered(spark, docs, rows):
+    """The mode of the query and the pipeline."""
+    for df, own in ((docs, known(rows)), (frame(spark, r := line_rows()[:25]), known(r))):
+        got = [tuple(r) for r in line_dedup.line_dedup(df, sketch=True).collect()]
+        assert sorted(got, key=str) == sorted(brute_lines(own, sketch=True), key=str)
+
+
 def test_line_simhash(spark):
     """Lines of one word to very many words."""
     rng = random.Random(8)

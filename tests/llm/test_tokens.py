@@ -4,6 +4,7 @@ from __future__ import annotations
 import numpy as np
 import public_tokenizers
 import pytest
+import regex
 from tokenizers import Tokenizer
 
 from panelcast.llm import bpe, packing
@@ -125,3 +126,25 @@ def test_bm25_scores_against_formula():
                     / (tf + packing.K1 * (1 - packing.B + packing.B * len(d) / mean))
                     for t in set(query) if t in d) for d in docs]
         assert np.allclose(index.scores(q), want)
+
+
+@pytest.mark.parametrize("size", [1_000_000, 5_000_000])
+@pytest.mark.parametrize("space", [" ", "\n", "\t", "\u3000", " \n"])
+def test_long_white_space(size, space):
+    """At the start, in the middle and at the end, against the tokenizers library and by round trip."""
+    from panelcast.llm.bpe import encode_text, encoding
+    run = (space * size)[:size]
+    for text in (run + "word", "a word" + run + "x", "a word" + run) if size == 1_000_000 else ("a" + run + " b",):
+        ids = packing.encode_ids(encoding(public_tokenizers.path("byte_bpe_50k.tiktoken"), packing.SPECIAL), text)
+        assert list(ids) == list(_ids(text))[:-1]
+        enc = encoding(public_tokenizers.path("byte_bpe_multi_50k.tiktoken"))
+        assert enc.decode_bytes(encode_text(enc, text)) == text.encode()
+
+
+def test_long_runs_are_matches_of_the_pattern():
+    """What is cut out is what the pattern takes as one match."""
+    from panelcast.llm import bpe
+    for text in ("a" + " " * 70_000 + "b", " " * 70_000, "\n" * 70_000 + "\u3000x", "a \x1c" + " " * 70_000 + "!"):
+        want = regex.findall(public_tokenizers.PATTERN, text)
+        got = [m for run, part in bpe.without_long_runs(text) for m in ([part] if run else regex.findall(public_tokenizers.PATTERN, part))]
+        assert got == want
