@@ -14,6 +14,7 @@ from .queries import VARIANTS
 VS = C.VALIDATION_START
 W = "PARTITION BY Store ORDER BY Date"
 MODELS = list(fc.BASELINES)
+METRICS = ("WMAPE", "MAPE", "SMAPE", "MAE", "RMSE", "R2", "Mean_Error", "Median_AE")
 
 
 def _hol_values() -> str:
@@ -307,6 +308,21 @@ def history_ctes() -> list[tuple[str, str]]:
                        round(abs_err / act * 100, 6) AS val_WMAPE FROM per""")]
 
 
+def rolling_origin_ctes(folds: int = 4, horizon: int = 10) -> list[tuple[str, str]]:
+    """ro: baseline forecasts of each fold, every fold cut out by dates of its own."""
+    names = ("naive", "seasonal_naive", "train_mean")
+    return [
+        ("pe", "SELECT Date, row_number() OVER (ORDER BY Date DESC) AS back FROM (SELECT DISTINCT Date FROM panel)"),
+        ("fo", f"SELECT CAST(k AS INTEGER) AS fold, (SELECT min(Date) FROM pe WHERE back <= ({folds} - k + 1) * {horizon}) AS d0, "
+               f"(SELECT max(Date) FROM pe WHERE back > ({folds} - k) * {horizon}) AS d1 FROM range(1, {folds + 1}) t(k)"),
+        ("tr", f"SELECT fold, Store, arg_max(Weekly_Sales, Date) AS naive, {exact_mean('Weekly_Sales')} AS train_mean "
+               "FROM panel JOIN fo ON Date < d0 GROUP BY fold, Store"),
+        ("se", f"SELECT *, lag(Weekly_Sales, 52) OVER ({W}) AS seasonal_naive FROM panel"),
+        ("te", "SELECT fo.fold, se.Store, se.Date, Weekly_Sales AS actual, seasonal_naive, naive, train_mean FROM se "
+               "JOIN fo ON Date BETWEEN d0 AND d1 LEFT JOIN tr ON tr.fold = fo.fold AND tr.Store = se.Store"),
+        ("ro", " UNION ALL ".join(f"SELECT fold, actual, '{m}' AS model, {m} AS pred FROM te WHERE {m} IS NOT NULL" for m in names))]
+
+
 def seasonal_ar_sql() -> str:
     ctes = list(BASE) + [
         ("a0", f"SELECT *, {SPLIT}, lag(Weekly_Sales, 52) OVER ({W}) AS y_season FROM panel"),
@@ -358,7 +374,12 @@ def oracle_sql() -> dict[str, str]:
     q["month_labels"] = P("SELECT Store, Date, CAST(month(Date) AS INTEGER) AS Month, monthname(Date) AS Month_Name FROM panel")
     q["store_features"] = P(f"SELECT panel.*, {ST_ROUND.replace('Store, ', '', 1)} FROM panel LEFT JOIN st USING (Store)", store_ctes())
     q["holiday_window_flags"] = P(f"SELECT Store, Date, {HOLIDAY_FLAGS} FROM panel")
+    q["holiday_window_flags_table"] = q["holiday_window_flags"]
+    q["rolling_origin_metrics"] = P(
+        "SELECT fold, model, " + ", ".join(f"round({m} + 1e-9, 6) AS {m}" for m in METRICS)
+        + f" FROM (SELECT fold, model, {metrics_select(None)} FROM ro GROUP BY fold, model) m", rolling_origin_ctes())
     q["holiday_distance"] = P(f"SELECT Store, Date, {HOLIDAY_DIST} FROM panel")
+    q["holiday_distance_table"] = q["holiday_distance"]
     q["train_stat_scalars"] = P("SELECT Store, Date, round(temp_mean, 8) AS temp_mean, round(temp_std, 8) AS temp_std, round(unemp_mean, 8) AS unemp_mean FROM panel, ts", [train_scalars()])
     q["align_predictions"] = B("SELECT Store, Date, Weekly_Sales, " + ", ".join(f"{m}_Pred" for m in MODELS) + " FROM bw")
     q["validate_panel"] = P("""SELECT count(*) AS total_rows, count(DISTINCT Store) AS n_stores, count(DISTINCT Date) AS n_weeks,

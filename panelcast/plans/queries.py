@@ -18,7 +18,10 @@ from pyspark.sql import functions as F
 
 from .. import config as C
 from ..functions import metrics as M
+from ..functions.calendar import DEFAULT_CALENDAR
+from ..operators import arma
 from ..operators import calendar_features as cf
+from ..operators import calendar_joins as cj
 from ..operators import economic as eco
 from ..operators import eda
 from ..operators import entity as ent
@@ -26,6 +29,7 @@ from ..operators import evaluation as ev
 from ..operators import forecast as fc
 from ..operators import history as hist
 from ..operators import panel as P
+from ..operators import validation as val
 from ..session import checkpoint_dir, materialize
 from ..sources import files
 from ..sources.star import build_panel
@@ -275,6 +279,33 @@ def q_holiday_distance(spark, sf):
         C.ENTITY, C.TIME, "weeks_to_next_holiday", "weeks_since_last_holiday")
 
 
+def _calendar_table(p):
+    """The calendar as a table of its own: the years of the panel and those beside them."""
+    years = p.agg(F.min(F.year(C.TIME)).alias("_y0"), F.max(F.year(C.TIME)).alias("_y1"))
+    return DEFAULT_CALENDAR.frame(p.sparkSession, F.col("_y0") - 1, F.col("_y1") + 1, source=years)
+
+
+@query("holiday_window_flags_table")
+def q_holiday_window_flags_table(spark, sf):
+    """The window flags by a range join with a calendar table."""
+    p = panel(spark, sf).select(C.ENTITY, C.TIME)
+    return cj.holiday_window_flags(p, _calendar_table(p))
+
+
+@query("holiday_distance_table")
+def q_holiday_distance_table(spark, sf):
+    """The distances by a nearest join with a calendar table."""
+    p = panel(spark, sf).select(C.ENTITY, C.TIME)
+    return cj.holiday_distance(p, _calendar_table(p))
+
+
+@query("rolling_origin_metrics")
+def q_rolling_origin_metrics(spark, sf):
+    out = val.rolling_origin_metrics(val.rolling_origin_forecasts(panel(spark, sf)), digits=None)
+    # means of few exact values may lie just between two rounded ones: a nudge decides them
+    return out.select("fold", "model", *[F.round(F.col(c) + 1e-9, 6).alias(c) for c in out.columns if c not in ("fold", "model")])
+
+
 @query("train_stat_scalars")
 def q_train_stat_scalars(spark, sf):
     p = panel(spark, sf)
@@ -502,6 +533,12 @@ def q_seasonal_ar(spark, sf):
     return out.withColumn("pred", F.round("pred", 2))
 
 
+@query("seasonal_arma_forecast")
+def q_seasonal_arma(spark, sf):
+    out = arma.seasonal_arma_forecast(panel(spark, sf))
+    return out.withColumn("pred", F.round("pred", 2))
+
+
 @query("prophet_holidays")
 def q_prophet_holidays(spark, sf):
     return cf.prophet_holidays(panel(spark, sf))

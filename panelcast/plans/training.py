@@ -20,6 +20,7 @@ from .. import config as C
 from ..operators import evaluation as ev
 from ..operators import forecast as fc
 from ..operators import ml
+from ..operators.arma import seasonal_arma_forecast
 from ..operators.panel import validate_panel, with_split
 from ..session import checkpoint_dir, materialize
 from ..sources import files
@@ -89,7 +90,7 @@ def _series_models(panel: DataFrame, start: str, keys: DataFrame) -> list[DataFr
     """Per-series forecasts from ``start`` on, on the same rows as the tree models (keyed
     join, not position)."""
     return [_long(frame.join(keys, KEYS), name) for name, frame in (
-        ("SeasonalAR", fc.seasonal_ar_forecast(panel, start)),
+        ("SeasonalARMA", seasonal_arma_forecast(panel, start)),
         ("TrendSeasonal", fc.trend_seasonal_forecast(panel, start)))]
 
 
