@@ -6,8 +6,12 @@ evaluation is a single shuffle of partial aggregates regardless of skew.
 """
 from __future__ import annotations
 
+import os
+import uuid
 from functools import reduce
+from urllib.parse import quote
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -144,12 +148,41 @@ def history_table(long: DataFrame, time: str = C.TIME, digits: int = 6) -> DataF
         F.round(F.try_divide(F.col("abs_err"), F.col("act")) * 100, digits).alias("val_WMAPE"))
 
 
-def append_history(entries: DataFrame, path: str) -> DataFrame:
-    """Append history entries (model, epoch, train_*/val_* metrics) to the
-    history table at ``path`` (parquet, append mode) and read the whole table
-    back. Each run adds its rows as new files; nothing is rewritten."""
-    entries.write.mode("append").parquet(path)
-    return entries.sparkSession.read.parquet(path)
+def _committed(spark, path: str) -> dict[str, str]:
+    """run -> attempt that counts: of several the smallest, so that all readers agree."""
+    try:
+        rows = spark.read.schema("run string, attempt string").parquet(os.path.join(path, "manifest")).collect()
+    except AnalysisException:  # nothing was committed yet
+        return {}
+    out: dict[str, str] = {}
+    for r in rows:  # one row a run
+        out[r["run"]] = min(r["attempt"], out.get(r["run"], r["attempt"]))
+    return out
+
+
+def read_history(spark, path: str, schema) -> DataFrame:
+    """The entries of all committed runs of a history table."""
+    parts = [os.path.join(path, "data", f"{r}-{a}") for r, a in sorted(_committed(spark, path).items())]
+    if not parts:
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).parquet(*parts)
+
+
+def append_history(entries: DataFrame, path: str, run: str | None = None) -> DataFrame:
+    """Append history entries (model, epoch, train_*/val_* metrics) to the history table at
+    ``path`` and read the whole table back.
+
+    An attempt writes its entries as files of their own, then one row to the manifest; only
+    attempts in the manifest are read. So a run that failed on the way left nothing, and one
+    that is repeated under its ``run`` name adds its entries once. Nothing is rewritten."""
+    spark = entries.sparkSession
+    run = quote(run if run is not None else uuid.uuid4().hex, safe="")
+    if run not in _committed(spark, path):
+        attempt = uuid.uuid4().hex
+        entries.write.parquet(os.path.join(path, "data", f"{run}-{attempt}"))
+        (spark.createDataFrame([(run, attempt)], "run string, attempt string").coalesce(1)
+         .write.mode("append").parquet(os.path.join(path, "manifest")))
+    return read_history(spark, path, entries.schema)
 
 
 def best_epoch(history: DataFrame, metric: str = "val_WMAPE") -> DataFrame:

@@ -1,10 +1,11 @@
 """Exact ranks and quantiles of a whole table or of large groups, without a task that sees
 a whole group.
 
-Values are counted (partial aggregation), and the counts of distinct values are put in
-buckets of a monotone function of the value: about 256 per natural-log unit, so at most
-363,000 buckets whatever the data. A running count over the buckets of a group (a bounded
-table) plus one inside each bucket gives every value its exact position.
+Values are counted (partial aggregation), and the counts of distinct values are dealt to
+buckets by splitters: LEVEL^2 - 1 quantiles of the distinct values from a mergeable summary,
+so that a bucket holds about one in LEVEL^2 of the table's distinct values however close
+they lie. A running count over the buckets of a group (a bounded table) plus one inside
+each bucket gives every value its exact position; the splitters only deal out the work.
 """
 from __future__ import annotations
 
@@ -13,12 +14,31 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-_BUCKETS_PER_UNIT = 256
+#: Splitters are searched in two steps of LEVEL comparisons.
+LEVEL = 32
+_ACCURACY = 4 * LEVEL * LEVEL
 
 
-def bucket(value: Column) -> Column:
-    """A monotone step function of a double (not strictly)."""
-    return (F.signum(value) * F.floor(F.log1p(F.abs(value)) * _BUCKETS_PER_UNIT)).cast("int")
+def splitters(counts: DataFrame, value: str = "_v") -> Column:
+    """struct<coarse, fine>: every LEVEL-th splitter, and those between them."""
+    cuts = F.percentile_approx(value, [i / LEVEL**2 for i in range(1, LEVEL**2)], _ACCURACY)
+    at = counts.agg(cuts.alias("s"))
+    coarse = F.transform(F.sequence(F.lit(1), F.lit(LEVEL - 1)), lambda i: F.get("s", i * LEVEL - 1))
+    fine = F.transform(F.sequence(F.lit(0), F.lit(LEVEL - 1)), lambda i: F.slice("s", i * LEVEL + 1, F.lit(LEVEL - 1)))
+    return at.select(F.struct(coarse.alias("coarse"), fine.alias("fine"))).scalar()
+
+
+def bucket(value: Column, cuts: Column) -> Column:
+    """Number of splitters that are not above a value."""
+    def below(array):
+        return F.size(F.filter(array, lambda x: x <= value))
+    first = below(cuts["coarse"])
+    return first * LEVEL + below(F.get(cuts["fine"], first))
+
+
+def with_buckets(counts: DataFrame, value: str = "_v") -> DataFrame:
+    return (counts.withColumn("_s", splitters(counts, value))
+            .withColumn("_b", bucket(F.col(value), F.col("_s"))).drop("_s"))
 
 
 def positions(df: DataFrame, value: str, by: list[str] | None = None) -> DataFrame:
@@ -27,8 +47,8 @@ def positions(df: DataFrame, value: str, by: list[str] | None = None) -> DataFra
     by = list(by or [])
     groups = [F.col(c) for c in by]
     counts = (df.filter(F.col(value).isNotNull())
-              .groupBy(*by, F.col(value).cast("double").alias("_v")).agg(F.count("*").alias("_c"))
-              .withColumn("_b", bucket(F.col("_v"))))
+              .groupBy(*by, F.col(value).cast("double").alias("_v")).agg(F.count("*").alias("_c")))
+    counts = with_buckets(counts)
     totals = counts.groupBy(*by, "_b").agg(F.sum("_c").alias("_t"))
     over = Window.partitionBy(*groups)  # bounded: one row per bucket
     run = over.orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)

@@ -507,12 +507,13 @@ def q_union(spark, sf):
 
 @query("append_history")
 def q_history(spark, sf):
-    """Backtest history appended in two runs to a history table in the checkpoint folder,
+    """Backtest history appended in two runs, one of them repeated, to a history table in the checkpoint folder,
     then read back."""
     path = os.path.join(checkpoint_dir(spark), f"history-{uuid.uuid4().hex[:10]}")
     entries = materialize(ev.history_table(baseline_long(spark, sf)))
-    ev.append_history(entries.filter("epoch % 2 = 0"), path)
-    return ev.append_history(entries.filter("epoch % 2 = 1"), path)
+    ev.append_history(entries.filter("epoch % 2 = 0"), path, "even")
+    ev.append_history(entries.filter("epoch % 2 = 1"), path, "odd")
+    return ev.append_history(entries.filter("epoch % 2 = 1"), path, "odd")  # a repeated run adds nothing
 
 
 # ---------------------------------------------------------- pipelines / models

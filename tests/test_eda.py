@@ -132,3 +132,32 @@ def test_histogram_nulls_and_empty_bins(spark):
     got = eda.equal_width_histogram(df, "x", bins=5).orderBy("bin").collect()
     assert [r["count"] for r in got] == [1, 0, 0, 0, 1]
     assert eda.equal_width_histogram(df.filter("false"), "x", bins=5).count() == 0
+
+
+def test_append_history_commits_once(spark, tmp_dir, monkeypatch):
+    """A failed run leaves nothing, its retry and its repeat add each entry once."""
+    from pyspark.sql import DataFrameWriter
+    path = f"{tmp_dir}/committed"
+    h = spark.createDataFrame([("m", 0, 5.0), ("m", 1, 4.0)], "model string, epoch int, val_WMAPE double")
+    assert ev.append_history(h, path, "a/1").count() == 2
+    write = DataFrameWriter.parquet
+
+    def lost(self, at, *args, **kwargs):
+        if "manifest" in at:
+            raise RuntimeError("lost before the commit")
+        return write(self, at, *args, **kwargs)
+    monkeypatch.setattr(DataFrameWriter, "parquet", lost)
+    with pytest.raises(RuntimeError):
+        ev.append_history(h.withColumn("model", F.lit("n")), path, "a/2")
+    monkeypatch.undo()
+    assert ev.read_history(spark, path, h.schema).count() == 2
+    for _ in range(2):
+        got = ev.append_history(h.withColumn("model", F.lit("n")), path, "a/2")
+        assert sorted(map(tuple, got.collect())) == [("m", 0, 5.0), ("m", 1, 4.0), ("n", 0, 5.0), ("n", 1, 4.0)]
+    # two attempts that both got through count as one
+    other = spark.createDataFrame([("b", "x"), ("b", "w")], "run string, attempt string")
+    for a in "xw":
+        h.withColumn("model", F.lit(a)).write.parquet(f"{path}/data/b-{a}")
+    other.write.mode("append").parquet(f"{path}/manifest")
+    assert {r.model for r in ev.read_history(spark, path, h.schema).collect()} == {"m", "n", "w"}
+    assert ev.read_history(spark, f"{path}/none", h.schema).count() == 0

@@ -204,3 +204,17 @@ def test_missing_value_strategies(spark):
     assert [r["x"] for r in P.handle_missing(df, "fill").collect()] == [2.0, 2.0]
     with pytest.raises(ValueError):
         P.handle_missing(df, "guess")
+
+
+@pytest.mark.parametrize("spread", [2_000.0, 1e-3, 1e12])
+def test_close_values_spread_over_buckets(spark, spread):
+    """Values that lie close together are dealt out like any other, and ranks stay exact."""
+    from panelcast.operators import order
+    n = 30_000
+    df = spark.range(n).select((1e6 + F.pmod(F.col("id") * 7919, F.lit(n)) * (spread / n)).alias("v"))
+    counts = df.groupBy(F.col("v").alias("_v")).agg(F.count("*").alias("_c"))
+    sizes = [r["count"] for r in order.with_buckets(counts).groupBy("_b").count().collect()]
+    assert len(sizes) > 500 and max(sizes) <= 6 * n / order.LEVEL**2
+    values = sorted(r.v for r in df.collect())
+    got = {r.v: r["rank"] for r in order.average_ranks(df, "v").collect()}
+    assert all(got[v] == i + 1 for i, v in enumerate(values) if values.count(v) == 1 and i % 1000 == 0)
