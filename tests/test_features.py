@@ -217,4 +217,4 @@ def test_close_values_spread_over_buckets(spark, spread):
     assert len(sizes) > 500 and max(sizes) <= 6 * n / order.LEVEL**2
     values = sorted(r.v for r in df.collect())
     got = {r.v: r["rank"] for r in order.average_ranks(df, "v").collect()}
-    assert all(got[v] == i + 1 for i, v in enumerate(values) if values.count(v) == 1 and i % 1000 == 0)
+    assert all(got[v] == i + 1 for i, v in enumerate(values) if i % 1000 == 0 and values.count(v) == 1)
