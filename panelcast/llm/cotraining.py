@@ -255,20 +255,25 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, pool: int =
     good = (F.col("quality") == 1) & (F.col("toxic") == 0)
     known = (labels.filter(F.col("doc_id").isNotNull() & good.isNotNull())
              .groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(F.min(good.cast("int")).alias("label")))
-    rows = docs.select(*_columns(docs)).withColumn("place", F.xxhash64(F.lit("sample"), "doc_id"))
-    held = rows.select("doc_id", "place").join(known, "doc_id", "left")
-    total, n = held.agg(F.count("*"), F.count("label")).first()
+    rank = ("place", "doc_id", "body")
+    rows = docs.select(*_columns(docs)).withColumns({"place": F.xxhash64(F.lit("sample"), "doc_id"), "body": F.xxhash64("text")})
+    held = rows.select(*rank).distinct().join(known, "doc_id", "left")
+    n = held.filter("label is not null").count()
     if not n:
         return None
 
-    def first(part: DataFrame, size: int, of: int) -> DataFrame:
-        """The ``size`` rows of smallest hash. A share that holds them nearly surely comes
-        first, so that few texts are ranked; the rank bounds what any table can send."""
-        if of > 4 * size:
-            part = part.filter(F.pmod(F.col("place"), F.lit(1_000_000)) < int(1e6 * 1.2 * size / of))
-        return part.orderBy(F.pmod(F.col("place"), F.lit(1_000_000)), "doc_id", F.xxhash64("text")).limit(size)
-    labelled = first(rows.join(known, "doc_id"), sample, n)
-    unlabelled = first(rows.join(known, "doc_id", "left_anti"), pool, total - n).withColumn("label", F.lit(-1))
+    def first(part: DataFrame, size: int):
+        """Whether a row is among the ``size`` first different rows of ``part`` by hash. Only
+        their last rank comes to the driver, so that the rows stay where they are."""
+        last = part.select(*rank).orderBy(*rank).limit(size).agg(F.max(F.struct(*rank)).alias("m")).first()["m"]
+        if last is None:
+            return F.lit(False)
+        p, d, b = (F.lit(x).cast("long") for x in last)
+        return ((F.col("place") < p) | (F.col("place") == p) & (
+            (F.col("doc_id") < d) | (F.col("doc_id") == d) & (F.col("body") <= b)))
+    labelled = rows.filter(first(held.filter("label is not null"), sample)).join(known, "doc_id")
+    unlabelled = (rows.filter(first(held.filter("label is null"), pool)).join(known, "doc_id", "left_anti")
+                  .withColumn("label", F.lit(-1)))
     names = ["doc_id", "text", "lang", "source", "n_chars", "label"]
 
     def run(batches):
@@ -280,7 +285,7 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, pool: int =
                  pa.array([m.astype("<u4").tobytes() for _, m in pairs], pa.binary())],
                 ["doc_id", "label", "text", "meta"])
     got = (labelled.select(*names).union(unlabelled.select(*names))
-           .mapInArrow(run, "doc_id long, label int, text binary, meta binary").toArrow()
+           .mapInArrow(run, "doc_id long, label int, text binary, meta binary").distinct().toArrow()  # repeated rows count once
            .sort_by([("doc_id", "ascending"), ("text", "ascending")]))
     pairs = [(np.frombuffer(t, "<u4"), np.frombuffer(m, "<u4")) for t, m in zip(
         got.column("text").to_pylist(), got.column("meta").to_pylist())]
