@@ -11,6 +11,7 @@ import numpy as np
 import pytest
 import regex
 import xxhash
+from pyspark.sql import functions as F
 
 from panelcast.llm import components, line_dedup, repeats, simhash, substring_dedup, suffix_dedup
 from .conftest import BIG, frame, known, shown, words
@@ -164,7 +165,9 @@ def brute_lines(own, sketch=False):
             minima = line_minima(w)
             for k, band in enumerate(line_dedup._bands() if minima else ()):
                 buckets[k, *(minima[x] for x in band)].append(i)
-        pairs |= {p for own_ in buckets.values() for p in itertools.combinations(own_, 2)}
+        low = [[m & 255 for m in line_minima(w) or ()] for w in lines]
+        pairs |= {(i, j) for own_ in buckets.values() for i, j in itertools.combinations(own_, 2)
+                  if sum(x == y for x, y in zip(low[i], low[j])) >= line_dedup.AGREE}
     u = Union(len(lines))
     for i, j in pairs:
         a, b = " ".join(lines[i]), " ".join(lines[j])
@@ -265,6 +268,15 @@ def test_line_recall(spark, n, change):
     assert got >= 0.9 * len(pairs)
 
 
+def test_equal_bytes(spark):
+    rng = random.Random(6)
+    pairs = [(rng.getrandbits(63), rng.getrandbits(63)) for _ in range(50)]
+    pairs += [(a, a ^ (rng.choice([1, 128, 255]) << 8 * rng.randrange(7))) for a, _ in pairs] + [(-1, 0), (-1, -1), (0, -256), (-1 << 63, 0)]
+    got = spark.createDataFrame(pairs, "a long, b long").select(
+        "a", "b", line_dedup.equal_bytes(F.col("a").bitwiseXOR(F.col("b"))).alias("n")).collect()
+    assert all(r.n == sum(x == y for x, y in zip(np.int64(r.a).tobytes(), np.int64(r.b).tobytes())) for r in got)
+
+
 def test_line_dedup_is_native(docs, capsys):
     line_dedup.line_dedup(docs).explain()
     assert not re.search("Python|Pandas|Arrow", capsys.readouterr().out)
