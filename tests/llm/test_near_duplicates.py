@@ -395,3 +395,30 @@ def test_hash_collisions_fall_back_to_bytes():
     unit = repeats.Unit(3, 2, False)
     cls = repeats.checked(unit, np.zeros(3, int), np.array([0, 3, 6]), data, at, np.zeros(3, int), np.array([0]))
     assert cls[0] == cls[2] != cls[1]
+
+
+def test_line_similarity_is_the_plain_edit_distance(spark):
+    """Trimming and the word-by-word bound change no answer: replaced, inserted and lost
+    words, no common word, empty and non-ASCII lines, on both sides of LONG."""
+    import random
+    from pyspark.sql import functions as F
+    from panelcast.llm import line_dedup
+    rnd = random.Random(3)
+
+    def word():
+        return "".join(rnd.choice("abcdeéß漢") for _ in range(rnd.randint(3, 8)))
+    rows = [("", ""), ("a", ""), ("é" * 700, "é" * 699 + "x"), ("x" * 600, "y" * 600), ("ab " * 300, "ba " * 300)]
+    for i in range(60):
+        n = rnd.choice([5, 30, 120])
+        a = [word() for _ in range(n)]
+        b = list(a)
+        for _ in range(rnd.choice([0, 1, 3, n // 8, n // 4, n // 3])):
+            at = rnd.randrange(len(b))
+            b[at:at + 1] = rnd.choice([[word()], [word(), word()], [], [b[at][1:]]])
+            b = b or [word()]
+        rows.append((" ".join(a), " ".join(b)))
+    df = spark.createDataFrame(rows, "a string, b string")
+    most = line_dedup.most_edits(F.length("a"), F.length("b"), 0.8)
+    got = df.select(line_dedup.similar(F.col("a"), F.col("b"), 0.8).alias("got"),
+                    (F.levenshtein("a", "b") <= most).alias("want")).collect()
+    assert len({r.want for r in got}) == 2 and all(r.got == r.want for r in got)
