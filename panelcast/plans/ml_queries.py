@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import config as C
+from ..operators import changepoints as cp
 from ..operators import evaluation as ev
 from ..operators import forecast as fc
 from ..operators import ml
@@ -183,6 +184,11 @@ def q_trend_seasonal(spark, sf):
     return fc.trend_seasonal_forecast(Q.panel(spark, sf))
 
 
+@query("trend_changepoint_forecast")
+def q_trend_changepoint(spark, sf):
+    return cp.trend_changepoint_forecast(Q.panel(spark, sf))
+
+
 # ------------------------------------------------------------------ scoring
 def _requests(spark, sf) -> DataFrame:
     return sc.requests_from_panel(Q.panel(spark, sf))

@@ -323,6 +323,18 @@ def rolling_origin_ctes(folds: int = 4, horizon: int = 10) -> list[tuple[str, st
         ("ro", " UNION ALL ".join(f"SELECT fold, actual, '{m}' AS model, {m} AS pred FROM te WHERE {m} IS NOT NULL" for m in names))]
 
 
+def trend_gram_ctes(knots: int = 25) -> list[tuple[str, str]]:
+    """g2: a row for each term (k) of each training row."""
+    fit = f"Date < DATE '{VS}' AND Weekly_Sales > 0"
+    return [
+        ("g0", f"SELECT Store, min(Date) AS d0, max(Date) AS d1 FROM panel WHERE {fit} GROUP BY Store"),
+        ("g1", "SELECT panel.Store, Date, CAST(Date - d0 AS DOUBLE) / greatest(d1 - d0, 1) AS t, ln(Weekly_Sales) AS ly "
+               f"FROM panel JOIN g0 ON panel.Store = g0.Store WHERE {fit}"),
+        ("g2", "SELECT Store, Date, k, CASE WHEN k = 0 THEN CAST(1 AS DOUBLE) WHEN k = 1 THEN t "
+               f"WHEN k <= {knots + 1} THEN greatest(t - CAST(0.8 AS DOUBLE) * (k - 1) / {knots}, 0) ELSE ly END AS v "
+               f"FROM g1, range({knots + 3}) r(k)")]
+
+
 def seasonal_ar_sql() -> str:
     ctes = list(BASE) + [
         ("a0", f"SELECT *, {SPLIT}, lag(Weekly_Sales, 52) OVER ({W}) AS y_season FROM panel"),
@@ -378,6 +390,9 @@ def oracle_sql() -> dict[str, str]:
     q["rolling_origin_metrics"] = P(
         "SELECT fold, model, " + ", ".join(f"round({m} + 1e-9, 6) AS {m}" for m in METRICS)
         + f" FROM (SELECT fold, model, {metrics_select(None)} FROM ro GROUP BY fold, model) m", rolling_origin_ctes())
+    q["trend_gram"] = P("""SELECT a.Store, count(*) AS n, CAST(row_number() OVER (PARTITION BY a.Store ORDER BY a.k, b.k) - 1 AS INTEGER) AS place,
+        round(sum(a.v * b.v), 5) AS total FROM g2 a JOIN g2 b ON a.Store = b.Store AND a.Date = b.Date AND a.k <= b.k
+        GROUP BY a.Store, a.k, b.k""", trend_gram_ctes())
     q["holiday_distance"] = P(f"SELECT Store, Date, {HOLIDAY_DIST} FROM panel")
     q["holiday_distance_table"] = q["holiday_distance"]
     q["train_stat_scalars"] = P("SELECT Store, Date, round(temp_mean, 8) AS temp_mean, round(temp_std, 8) AS temp_std, round(unemp_mean, 8) AS unemp_mean FROM panel, ts", [train_scalars()])

@@ -22,6 +22,7 @@ from ..functions.calendar import DEFAULT_CALENDAR
 from ..operators import arma
 from ..operators import calendar_features as cf
 from ..operators import calendar_joins as cj
+from ..operators import changepoints as cp
 from ..operators import economic as eco
 from ..operators import eda
 from ..operators import entity as ent
@@ -540,6 +541,14 @@ def q_seasonal_arma(spark, sf):
     return out.withColumn("pred", F.round("pred", 2))
 
 
+@query("trend_gram")
+def q_trend_gram(spark, sf):
+    """Sums of products of the trend terms and the log target: what the changepoint model's
+    trend is solved from, by place in the upper triangle."""
+    grams = cp.gram(cp.trend_rows(panel(spark, sf), C.VALIDATION_START), cp.trend_terms())
+    return grams.select(C.ENTITY, "n", F.posexplode("gram").alias("place", "total")).withColumn("total", F.round("total", 5))
+
+
 @query("prophet_holidays")
 def q_prophet_holidays(spark, sf):
     return cf.prophet_holidays(panel(spark, sf))
