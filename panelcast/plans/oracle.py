@@ -102,6 +102,27 @@ def ewma_ctes(src: str = "panel") -> list[tuple[str, str]]:
                        GROUP BY a.Store, a.Date""")]
 
 
+def long_series_sql() -> dict[str, str]:
+    """History features of orders, one series a status."""
+    def orders(text: str) -> str:
+        text = text.replace("Weekly_Sales", "o_totalprice").replace("Store", "o_orderstatus")
+        return text.replace("ORDER BY Date", "ORDER BY o_orderdate, o_orderkey")
+    keys = "o_orderstatus, o_orderdate, o_orderkey, o_totalprice"
+    std = ", ".join(f"round(rolling_std_{k}w, 2) AS rolling_std_{k}w" for k in C.ROLLING_WINDOWS)
+    ewma = []
+    for s in C.EWMA_SPANS:
+        weight = f"pow({1.0 - 2.0 / (s + 1.0)!r}, a.rn - 1 - b.rn)"
+        ewma.append(f"round(sum(b.o_totalprice * {weight}) / "
+                    f"sum(CASE WHEN b.o_totalprice IS NOT NULL THEN {weight} END), 3) AS ewma_{s}w")
+    return {
+        "lag_features_long": f"SELECT {keys}, {orders(LAGS)} FROM orders",
+        "rolling_features_long": f"SELECT * REPLACE ({std}) FROM (SELECT {keys}, {orders(rolling())} FROM orders) r",
+        "ewma_features_long": f"""WITH o AS (SELECT {keys}, row_number() OVER ({orders(W)}) AS rn FROM orders)
+            SELECT a.o_orderstatus, a.o_orderdate, a.o_orderkey, a.o_totalprice, {', '.join(ewma)}
+            FROM o a LEFT JOIN o b ON a.o_orderstatus = b.o_orderstatus AND b.rn < a.rn GROUP BY 1, 2, 3, 4""",
+    }
+
+
 def pct(cur: str, prev: str) -> str:
     return f"CASE WHEN {prev} = 0 THEN NULL ELSE {cur} / {prev} - 1 END"
 
@@ -449,6 +470,7 @@ def oracle_sql() -> dict[str, str]:
         f"round(rolling_std_{k}w, 2) AS rolling_std_{k}w" for k in C.ROLLING_WINDOWS)
         + f") FROM (SELECT Store, Date, Weekly_Sales, {rolling()} FROM panel) r")
     q["ewma_features"] = P("SELECT panel.Store, panel.Date, round(ew.ewma_4w, 1) AS ewma_4w, round(ew.ewma_8w, 1) AS ewma_8w, round(ew.ewma_12w, 1) AS ewma_12w FROM panel LEFT JOIN ew USING (Store, Date)", ewma_ctes())
+    q.update(long_series_sql())
     q["trend_diffs"] = P(f"""SELECT Store, Date, Weekly_Sales - lag(Weekly_Sales, 1) OVER ({W}) AS sales_diff_1,
         Weekly_Sales - lag(Weekly_Sales, 4) OVER ({W}) AS sales_diff_4,
         {pct('Weekly_Sales', f'lag(Weekly_Sales, 1) OVER ({W})')} AS sales_pct_change_1,

@@ -29,11 +29,12 @@ from ..operators import entity as ent
 from ..operators import evaluation as ev
 from ..operators import forecast as fc
 from ..operators import history as hist
+from ..operators import long_series as ls
 from ..operators import panel as P
 from ..operators import validation as val
 from ..session import checkpoint_dir, materialize
 from ..sources import files
-from ..sources.star import build_panel
+from ..sources.star import build_panel, table
 from .features import engineer_features, engineer_features_split
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -446,6 +447,30 @@ def q_ewma(spark, sf):
     return rounded(out.select(C.ENTITY, C.TIME, *[f"ewma_{s}w" for s in C.EWMA_SPANS]))
 
 
+def _order_series(spark, sf):
+    """Orders as three series, one a status, numbered: each holds a third of the table."""
+    orders = table(spark, sf, "orders").select("o_orderstatus", "o_orderdate", "o_orderkey", "o_totalprice")
+    return ls.numbered(orders, "o_orderstatus", ["o_orderdate", "o_orderkey"])
+
+
+@query("lag_features_long")
+def q_lags_long(spark, sf):
+    out = ls.lag_features(_order_series(spark, sf), entity="o_orderstatus", target="o_totalprice")
+    return out.drop("_pos")
+
+
+@query("rolling_features_long")
+def q_rolling_long(spark, sf):
+    out = ls.rolling_features(_order_series(spark, sf), entity="o_orderstatus", target="o_totalprice")
+    return rounded(out.drop("_pos"))
+
+
+@query("ewma_features_long")
+def q_ewma_long(spark, sf):
+    out = ls.ewma_features(_order_series(spark, sf), entity="o_orderstatus", target="o_totalprice")
+    return rounded(out.drop("_pos"), {f"ewma_{s}w": 3 for s in C.EWMA_SPANS})
+
+
 @query("trend_diffs")
 def q_trend_diffs(spark, sf):
     out = hist.trend_features(panel(spark, sf))
