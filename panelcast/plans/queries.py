@@ -83,7 +83,8 @@ def panel(spark: SparkSession, sf: str, grain: str | None = None) -> DataFrame:
     and every query reads it (often several times: main branch, training
     statistics, scalar subqueries). A reliable checkpoint in the shared
     checkpoint folder runs the star join once and cuts the lineage, so a lost
-    executor never recomputes the join.
+    executor never recomputes the join. Its series are dealt to tasks of a
+    bounded number of rows (``panel.by_series``).
     """
     grain = grain or _GRAIN.get()
     if grain == "gaps":
@@ -91,7 +92,7 @@ def panel(spark: SparkSession, sf: str, grain: str | None = None) -> DataFrame:
     key = (spark.sparkContext.applicationId, sf, grain)
     with _PANEL_LOCK:
         if key not in _PANELS:
-            _PANELS[key] = materialize(build_panel(spark, sf, grain))
+            _PANELS[key] = P.by_series(materialize(build_panel(spark, sf, grain)))
         return _PANELS[key]
 
 

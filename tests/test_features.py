@@ -218,3 +218,23 @@ def test_close_values_spread_over_buckets(spark, spread):
     values = sorted(r.v for r in df.collect())
     got = {r.v: r["rank"] for r in order.average_ranks(df, "v").collect()}
     assert all(got[v] == i + 1 for i, v in enumerate(values) if i % 1000 == 0 and values.count(v) == 1)
+
+
+def test_tasks_of_wide_features_hold_a_bounded_number_of_rows(spark, monkeypatch):
+    """Twice the series are twice the tasks, through all windows; no row changes."""
+    from panelcast.plans import queries as Q
+    monkeypatch.setattr(P, "SERIES_ROWS", 120)
+    monkeypatch.setattr(Q, "_PANELS", {})
+    stored = {}
+    monkeypatch.setattr(Q, "build_panel", lambda spark, sf, grain: stored[sf])
+    tasks = {}
+    for stores in (12, 24):
+        stored[str(stores)] = weekly_panel(spark, stores, 40)
+        got = Q.featured(spark, str(stores))
+        tasks[stores] = [n for (n,) in got.groupBy(F.spark_partition_id()).agg(F.count("*")).select("count(1)").collect()]
+        want = engineer_features_split(weekly_panel(spark, stores, 40))
+        assert sorted(map(str, got.collect())) == sorted(map(str, want.collect()))
+    assert max(tasks[12]) < 360 and max(tasks[24]) < 360
+    assert len(tasks[24]) > len(tasks[12]) >= 3
+    small = weekly_panel(spark, 2, 40)
+    assert P.by_series(small) is small
