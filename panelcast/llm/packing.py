@@ -1,6 +1,7 @@
 """Lexical retrieval packing: sequences of one document and its nearest unused neighbours.
 
-Documents are encoded to byte-level BPE ids followed by an end id, and dealt by content into
+Documents are encoded to byte-level BPE ids followed by an end id (cut at safe boundaries,
+equal pieces encoded once), and dealt by content into
 shards of a bounded number of tokens: a document's keys are the terms that KEYS weighted
 minimum hashes choose, so two documents share a key as often as they share weight of terms
 (the square of the inverse document frequency; terms of one document have none). Documents
@@ -25,12 +26,13 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .bpe import CUT_CHARS, encode_long, encoding
-from .common import id_out, prepare, scratch_path, texts
+from .common import grouped, id_out, prepare, scratch_path, texts
 
 WINDOW = 2048
 SHARD_TOKENS = 1 << 20
@@ -52,6 +54,100 @@ def encode_ids(enc, text: str) -> list[int]:
     return encode_long(enc, text, lambda piece: enc.encode(piece, allowed_special="all"))
 
 
+#: Bytes of texts whose pieces are told apart together.
+GROUP = 8 << 20
+#: Pieces of texts, and ids of theirs, that a task keeps.
+KEPT_PIECES, KEPT_IDS = 1 << 18, 1 << 22
+
+
+def _bytes_of(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """(bytes, edges) of a large binary column without nulls: value k lies between edges k
+    and k + 1."""
+    edges = np.frombuffer(column.buffers()[1], np.int64)[column.offset:][:len(column) + 1]
+    data = column.buffers()[2]
+    return np.frombuffer(data, np.uint8)[edges[0]:edges[-1]] if data else np.zeros(0, np.uint8), edges - edges[0]
+
+
+def cut_pieces(texts_: pa.Array) -> tuple[pa.Array, np.ndarray]:
+    """(pieces as binary, number of pieces of each text), by the texts' UTF-8 bytes.
+
+    A text is cut before every space or newline that follows a visible ASCII character. No
+    match of the splitting pattern runs from there into white space, and the pattern looks
+    ahead only after white space, so the pieces encode to the ids of the whole text. Special
+    tokens hold neither a space nor a newline and stay whole."""
+    body, edges = _bytes_of(texts_.cast(pa.large_binary()))
+    first = np.zeros(len(body) + 1, bool)
+    first[1:-1] = ((body[1:] == 32) | (body[1:] == 10)) & (body[:-1] > 32) & (body[:-1] < 127)
+    first[edges[:-1][np.diff(edges) > 0]] = True
+    at = np.flatnonzero(first[:-1])
+    pieces = pa.Array.from_buffers(pa.large_binary(), len(at), [None, pa.py_buffer(np.append(at, len(body))), pa.py_buffer(body)])
+    return pieces, np.diff(np.searchsorted(at, edges))
+
+
+class PieceIds:
+    """Ids of texts: each different piece of a batch that is not known yet is encoded once.
+    Known pieces are forgotten when they are many."""
+
+    def __init__(self, enc):
+        self.enc = enc
+        self.sizes = np.array([len(enc.decode_single_token_bytes(i)) for i in range(enc.n_vocab)])
+        self._forget()
+
+    def _forget(self):
+        self.pieces, self.n, self.ids = pa.array([], pa.large_binary()), np.zeros(0, np.int64), np.zeros(0, np.uint32)
+
+    def encoded(self, pieces: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """(ids, number of ids of each piece). Pieces that are cut safely at both ends are
+        encoded in one string and told apart by their bytes; the others go one by one."""
+        body, edges = _bytes_of(pieces)
+        start, end = body[edges[:-1]], body[edges[1:] - 1]
+        joined = ((start == 32) | (start == 10)) & (end > 32) & (end < 127) & (np.diff(edges) <= CUT_CHARS)
+        for token, _ in SPECIAL:
+            joined &= ~pc.match_substring(pieces, token).to_numpy(zero_copy_only=False)
+        n, parts = np.zeros(len(pieces), np.int64), [np.zeros(0, np.uint32)]
+        for k, piece in zip(np.flatnonzero(~joined), pieces.filter(pa.array(~joined)).to_pylist()):
+            parts.append(np.array(encode_ids(self.enc, piece.decode()), np.uint32))
+            n[k] = len(parts[-1])
+        single = np.concatenate(parts)
+        text, cuts = _bytes_of(pieces.filter(pa.array(joined)))
+        many = np.array(self.enc.encode_ordinary(text.tobytes().decode()), np.uint32)
+        done = np.cumsum(self.sizes[many])
+        after = np.searchsorted(done, cuts[1:], "right")
+        if not np.array_equal(done[after - 1], cuts[1:]):
+            raise ValueError("a token runs over the end of a piece")
+        n[joined] = np.diff(np.append(0, after))
+        of_joined = np.repeat(joined, n)
+        ids = np.empty(n.sum(), np.uint32)
+        ids[of_joined], ids[~of_joined] = many, single
+        return ids, n
+
+    def of(self, texts_: pa.Array) -> list[np.ndarray]:
+        """The ids of every text and its end id."""
+        pieces, count = cut_pieces(texts_)
+        coded = pieces.dictionary_encode()
+        row = pc.index_in(coded.dictionary, value_set=self.pieces).fill_null(-1).to_numpy(zero_copy_only=False).astype(np.int64)
+        new = row < 0
+        if new.any():
+            row[new] = len(self.pieces) + np.arange(new.sum())
+            fresh = coded.dictionary.filter(pa.array(new))
+            ids, n = self.encoded(fresh)
+            self.pieces = pa.concat_arrays([self.pieces, fresh])
+            self.ids, self.n = np.concatenate([self.ids, ids]), np.concatenate([self.n, n])
+        # the end id is one more piece, after the last one of each text
+        flat, n = np.append(self.ids, np.uint32(END_ID)), np.append(self.n, 1)
+        last = np.cumsum(count + 1) - 1
+        own = np.ones(len(pieces) + len(count), bool)
+        own[last] = False
+        codes = np.full(len(own), len(n) - 1)
+        codes[own] = row[coded.indices.to_numpy(zero_copy_only=False)]
+        m = n[codes]
+        after = np.cumsum(m)
+        ids = flat[np.repeat((np.cumsum(n) - n)[codes] - after + m, m) + np.arange(after[-1])]
+        if len(self.pieces) > KEPT_PIECES or len(self.ids) > KEPT_IDS:
+            self._forget()
+        return np.split(ids, after[last][:-1])
+
+
 def shard_row(number: int, ids: list[int], tokens: list[np.ndarray]) -> pa.RecordBatch:
     lengths = np.array([len(t) for t in tokens], "<u4")
     flat = np.concatenate(tokens)
@@ -92,9 +188,9 @@ def encoded_shards(docs: DataFrame, path: str, shard_tokens: int = SHARD_TOKENS)
     """One row per shard: document ids, lengths and token ids packed as arrays, and how
     many of its documents hold each token."""
     def run(batches):
-        enc = encoding(path, SPECIAL)
-        documents = ((doc_id, np.array(encode_ids(enc, text) + [END_ID], np.uint32)) for batch in batches
-                     for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist()))
+        ids = PieceIds(encoding(path, SPECIAL))
+        documents = (row for group in grouped(batches, GROUP)
+                     for row in zip(group.column("doc_id").to_pylist(), ids.of(pa.concat_arrays(group.column("text").chunks))))
         yield from shard_rows(documents, shard_tokens)
 
     return stored_shards(texts(docs).mapInArrow(run, SHARD))
@@ -170,6 +266,12 @@ class ShardIndex:
         self.terms = term[order]
         self.at = np.searchsorted(self.doc[order], np.arange(self.n + 1))
 
+    def keep(self, docs: np.ndarray):
+        """Drop the postings of all but the documents marked in ``docs``."""
+        kept = docs[self.doc]
+        self.start = np.append(0, np.cumsum(kept))[self.start]
+        self.doc, self.weight = self.doc[kept], self.weight[kept]
+
     def scores(self, seed: int) -> np.ndarray:
         """BM25 of every document for the distinct terms of ``seed``."""
         terms = self.terms[self.at[seed]:self.at[seed + 1]]
@@ -197,7 +299,12 @@ def pack_shard(lengths: np.ndarray, index: ShardIndex, window: int = WINDOW):
     order = np.argsort(-left, kind="stable").tolist()
     seeds = iter(order)
     seed = next(seeds, None)
+    held = len(left)
     while total >= window:
+        alive = np.count_nonzero(left)
+        if alive <= 0.75 * held:  # used documents are not scored any more
+            index.keep(left > 0)
+            held = alive
         while not left[seed]:
             seed = next(seeds)
         n = int(left[seed])

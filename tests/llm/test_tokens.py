@@ -79,6 +79,48 @@ def test_packing_covers_every_id(spark, rows):
         check_pieces(packing.pack(shards).collect(), want)
 
 
+def test_different_pieces_are_encoded_once(monkeypatch):
+    """The ids are the library's for odd cuts, and a repeated word costs no second encoding."""
+    import random
+    import pyarrow as pa
+    rng = random.Random(1)
+    parts = [" ", "  ", "\n", "a", "b", "é", "漢", "'s", "1", "!", "<|endoftext|>", "\u3000", "\xa0", "\t", "\r", "\x85", "~"]
+    odd = ["", " x", "x  ", "<|endoftext|> a <|endoftext|>  b", "don't  stop\r\n now ", " " * 70000 + "y z", "tail   \n" * 50, ""]
+    odd += ["".join(rng.choice(parts) for _ in range(rng.randrange(30))) for _ in range(3000)]
+    enc = bpe.encoding(GPT, packing.SPECIAL)
+    want = [packing.encode_ids(enc, t) + [packing.END_ID] for t in odd]
+    for kept in (1 << 18, 10):
+        monkeypatch.setattr(packing, "KEPT_PIECES", kept)
+        ids = packing.PieceIds(enc)
+        assert [x.tolist() for n in range(0, len(odd), 500) for x in ids.of(pa.array(odd).slice(n, 500))] == want
+
+    class Counted:
+        n_vocab, seen = enc.n_vocab, 0
+        decode_single_token_bytes = staticmethod(enc.decode_single_token_bytes)
+
+        def encode_ordinary(self, text):
+            self.seen += len(text)
+            return enc.encode_ordinary(text)
+    counted = Counted()
+    ids = packing.PieceIds(counted)
+    for _ in range(3):
+        ids.of(pa.array(["say one word " + "more words " * 1000] * 20))
+    assert counted.seen < 100
+
+
+def test_used_documents_are_not_scored():
+    """Dropping postings changes no score of the documents that stay."""
+    rng = np.random.default_rng(4)
+    lengths = rng.integers(1, 30, 40)
+    index = packing.ShardIndex(lengths, rng.integers(0, 50, lengths.sum()), rng.random(60), 9.0)
+    before = [index.scores(q) for q in range(40)]
+    kept = rng.random(40) < 0.5
+    index.keep(kept)
+    assert len(index.doc) < index.terms.size
+    for q in range(40):
+        assert np.array_equal(index.scores(q), np.where(kept, before[q], 0))
+
+
 def test_packing_null_ids_and_empty(docs, rows, no_docs):
     got = packing.pack_documents(docs, GPT).collect()
     assert sum(r.length for r in got) == sum(len(_ids(t)) for _, t in rows)
