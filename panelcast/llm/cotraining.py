@@ -31,7 +31,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import id_in, id_out, prepare, strings
+from .common import id_in, id_out, prepare, release, strings
 
 #: Expected numbers of labelled and of unlabelled documents in the sample.
 SAMPLE = 16_000
@@ -99,10 +99,10 @@ def telling(rows: list[np.ndarray], labels: np.ndarray) -> np.ndarray:
     continuity correction, beyond CHI2. The rare words of a text, which would only be
     learned by heart, are left out."""
     flat = np.concatenate(rows)
-    own = np.repeat(labels, [len(r) for r in rows])
+    own = np.repeat(labels == 1, [len(r) for r in rows])
     n1, n0 = float(labels.sum()), float(len(labels) - labels.sum())
-    a = np.bincount(flat[own == 1], minlength=DIMENSIONS).astype(float)
-    b = np.bincount(flat[own == 0], minlength=DIMENSIONS).astype(float)
+    a = np.bincount(flat[own], minlength=DIMENSIONS).astype(float)
+    b = np.bincount(flat[~own], minlength=DIMENSIONS).astype(float)
     c, d, n = n1 - a, n0 - b, n1 + n0
     chi2 = n * np.maximum(np.abs(a * d - b * c) - n / 2, 0) ** 2 / np.maximum((a + b) * (c + d) * n1 * n0, 1e-9)
     out = chi2 >= CHI2
@@ -110,6 +110,27 @@ def telling(rows: list[np.ndarray], labels: np.ndarray) -> np.ndarray:
     return out
 
 
+def _only(rows: list[np.ndarray], use: np.ndarray) -> list[np.ndarray]:
+    """The features of each row that are in use, as parts of one array: many small arrays
+    would leave the driver's memory in pieces that it cannot give back."""
+    ends = np.cumsum([0, *(np.count_nonzero(use[at]) for at in rows)])
+    flat = np.empty(ends[-1], np.uint32)
+    for at, start, end in zip(rows, ends, ends[1:]):
+        flat[start:end] = at[use[at]]
+    return [flat[start:end] for start, end in zip(ends, ends[1:])]
+
+
+def _numbers(column: pa.ChunkedArray) -> list[np.ndarray]:
+    """The rows of a binary column as numbers, without copies of them."""
+    out = []
+    for chunk in column.chunks:
+        if len(chunk):
+            ends = np.frombuffer(chunk.buffers()[1], np.int32)[chunk.offset:chunk.offset + len(chunk) + 1]
+            data = np.frombuffer(chunk.buffers()[2], np.uint8)
+            out += [data[start:end].view("<u4") for start, end in zip(ends, ends[1:])]
+    return out
+
+
 class Sparse:
     """Logistic regression on the telling features that are present, fitted by
     FTRL-proximal steps (per-feature rates, L1), one document at a time in a fixed order."""
@@ -125,8 +146,7 @@ class Sparse:
                         / ((self.BETA + np.sqrt(n)) / self.ALPHA + self.L2))
 
     def fit(self, rows: list[np.ndarray], labels: np.ndarray) -> "Sparse":
-        use = telling(rows, labels)
-        rows = [at[use[at]] for at in rows]
+        rows = _only(rows, telling(rows, labels))
         order = np.random.default_rng(0).permutation(len(rows))
         for _ in range(EPOCHS):
             for i in order:
@@ -287,8 +307,7 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, pool: int =
     got = (labelled.select(*names).union(unlabelled.select(*names))
            .mapInArrow(run, "doc_id long, label int, text binary, meta binary").distinct().toArrow()  # repeated rows count once
            .sort_by([("doc_id", "ascending"), ("text", "ascending")]))
-    pairs = [(np.frombuffer(t, "<u4"), np.frombuffer(m, "<u4")) for t, m in zip(
-        got.column("text").to_pylist(), got.column("meta").to_pylist())]
+    pairs = list(zip(_numbers(got.column("text")), _numbers(got.column("meta"))))
     ids = got.column("doc_id").to_pylist()
     aside = np.array([xxhash.xxh3_64_intdigest(str(i).encode()) % 5 == 0 for i in ids], bool)
     return co_train(pairs, np.array(got.column("label").to_pylist(), np.int64), aside, rounds)
@@ -327,4 +346,6 @@ def score(docs: DataFrame, model: Model | None, carry: list[str] | None = None)
 
 def quality_scores(docs: DataFrame, labels: DataFrame, carry: list[str] | None = None) -> DataFrame:
     """Train on the labelled sample and score every document."""
-    return score(docs, train(docs, labels), carry)
+    model = train(docs, labels)
+    release(docs.sparkSession)  # the sample is not needed any more
+    return score(docs, model, carry)

@@ -7,6 +7,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from panelcast.llm import brown, cotraining
@@ -145,3 +146,17 @@ def test_samples_are_bounded_whatever_the_labels(spark, monkeypatch):
         y = seen.pop()
         assert 0 < (y >= 0).sum() <= sample and (y < 0).sum() <= pool
     assert len(y) == len(docs) - 299  # repeated rows count once
+
+
+def test_sample_features_lie_in_one_array():
+    """The driver keeps the sample's features as parts of few large arrays, with equal values."""
+    rows = [np.array(x, "<u4") for x in ([0, 3, 9], [0], [], [0, 2**31, 7])]
+    column = pa.chunked_array([pa.array([r.tobytes() for r in rows[:2]]), pa.array([], pa.binary()),
+                               pa.array([b"skipped"] + [r.tobytes() for r in rows[2:]])[1:]])
+    got = cotraining._numbers(column)
+    assert [list(g) for g in got] == [list(r) for r in rows]
+    use = np.ones(10, bool)
+    use[3] = False
+    few = [np.array(x, np.uint32) for x in ([0, 3, 9], [3], [], [0, 7])]
+    kept = cotraining._only(few, use)
+    assert [list(k) for k in kept] == [[0, 9], [], [], [0, 7]] and kept[0].base is kept[3].base
