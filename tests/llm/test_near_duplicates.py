@@ -219,6 +219,28 @@ def test_line_dedup_as_registered(spark, docs, rows):
         assert sorted(got, key=str) == sorted(brute_lines(own, sketch=True), key=str)
 
 
+def test_line_pairs_of_linked_copies(spark, monkeypatch):
+    """Copies whose buckets all have the same, unlike frequent line are linked by a pivot, and
+    not compared each with each. The one long word makes all lines candidates of all."""
+    rng = random.Random(9)
+
+    def short():
+        return "".join(rng.choice("abcdefghij") for _ in range(3))
+    base = [short() for _ in range(30)]
+    rows = [(i, " ".join(["something", *([short()] + base[1:])])) for i in range(40)]
+    frequent = " ".join(["something", *(short() for _ in range(30))])
+    rows += [(40 + i, frequent) for i in range(3)]
+    counts, verified = [], line_dedup._verified
+
+    def counting(pairs, *rest):
+        counts.append(pairs.count())
+        return verified(pairs, *rest)
+    monkeypatch.setattr(line_dedup, "_verified", counting)
+    got = {r.doc_id: r.n_removed for r in line_dedup.line_dedup(frame(spark, rows), sketch=True).collect()}
+    assert got == {i: int(i not in (0, 40)) for i in range(43)}
+    assert sum(counts) < 200, counts
+
+
 def test_line_simhash(spark):
     """Lines of one word to very many words."""
     rng = random.Random(8)
