@@ -3,9 +3,11 @@ from __future__ import annotations
 
 import hashlib
 import itertools
+import os
 import random
 import re
 from collections import defaultdict
+from urllib.parse import urlparse
 
 import numpy as np
 import pytest
@@ -241,6 +243,43 @@ def test_line_pairs_of_linked_copies(spark, monkeypatch):
     assert sum(counts) < 200, counts
 
 
+def test_line_tables_are_discarded(spark, monkeypatch):
+    """Tables with every line's minima, and those of each round of keys, go when they have been
+    read, so that only narrow tables lie beside the texts that are shuffled."""
+    made, stored = [], line_dedup.stored
+
+    def noting(df, name):
+        made.append((name, stored(df, name)))
+        return made[-1][1]
+    monkeypatch.setattr(line_dedup, "stored", noting)
+    df = frame(spark, r := line_rows()[:25])
+    got = [tuple(r) for r in line_dedup.line_dedup(df, sketch=True).collect()]
+    assert sorted(got, key=str) == sorted(brute_lines(known(r), sketch=True), key=str)
+    left = [(n, t) for n, t in made if any(os.path.exists(urlparse(f).path) for f in t.inputFiles())]
+    assert len(left) < len(made)
+    assert not [n for n, t in left if "g0" in t.columns or n in ("line-keys", "line-shared")]
+
+
+def test_line_walk_is_an_upper_bound(spark):
+    """Near copies with lost, new and changed words pass, and none that is too far apart."""
+    rng = random.Random(5)
+    rows = []
+    for _ in range(80):
+        a = words(rng, 60, 90)
+        b = list(a)
+        for _ in range(rng.choice([1, 3, 10, 25])):
+            at = rng.randrange(len(b))
+            b[at:at + 1] = rng.choice([[], ["other"], [b[at], "new"]])
+        rows.append((" ".join(a), " ".join(b)))
+    rows += [("", ""), ("a", ""), ("", "a"), ("a b", "b a"), ("é" * 99, "é" * 99)]
+    df = spark.createDataFrame(rows, "a string, b string")
+    most = line_dedup.most_edits(F.length("a"), F.length("b"), 0.8)
+    got = df.select(line_dedup._word_by_word(F.col("a"), F.col("b"), most).alias("walk"),
+                    (F.levenshtein("a", "b") <= most).alias("near")).collect()
+    assert not [r for r in got if r.walk and not r.near]
+    assert sum(r.walk for r in got) > 0.7 * sum(r.near for r in got) > 0 and not all(r.near for r in got)
+
+
 def test_line_simhash(spark):
     """Lines of one word to very many words."""
     rng = random.Random(8)
