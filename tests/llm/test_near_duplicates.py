@@ -260,6 +260,71 @@ def test_line_tables_are_discarded(spark, monkeypatch):
     assert not [n for n, t in left if "g0" in t.columns or n in ("line-keys", "line-shared")]
 
 
+def test_line_keys_are_shuffled_once(spark, monkeypatch):
+    """Lines of a key are counted where they meet: one table for KEYS keys, which is not joined
+    with the keys again."""
+    names, stored = [], line_dedup.stored
+
+    def noting(df, name):
+        names.append(name)
+        if name == "line-shared":
+            plan = df._jdf.queryExecution().optimizedPlan().toString()
+            assert "Join" not in plan and "Window" in plan
+        return stored(df, name)
+    monkeypatch.setattr(line_dedup, "stored", noting)
+    df = frame(spark, r := line_rows()[:25])
+    got = [tuple(r) for r in line_dedup.line_dedup(df, sketch=True).collect()]
+    assert sorted(got, key=str) == sorted(brute_lines(known(r), sketch=True), key=str)
+    keys = len(list(itertools.combinations(range(line_dedup.BITS + 2), 2))) + len(line_dedup._bands())
+    assert names.count("line-shared") == keys // line_dedup.KEYS and "line-keys" not in names
+
+
+def test_line_minima_by_steps(spark):
+    """Words are hashed some at a time: lines around the bounds of steps and chunks, and lines
+    of few, short or no words. The text is read once for short and long lines."""
+    counts = sorted({n + d for n in (line_dedup.STEP, line_dedup.FEW, line_dedup.CHUNK, 2 * line_dedup.CHUNK) for d in (-1, 0, 1)})
+    cases = [[f"w{i}x{n}" for i in range(n)] for n in counts]
+    cases += [["of", "a"], ["of"] * 300, ["ab"], ["of", "something"] * 70, ["é漢"], []]
+    df = spark.createDataFrame([(i, " ".join(w)) for i, w in enumerate(cases)], "doc_id long, text string")
+    out = line_dedup.occurrences(df, sketch=True)
+    got = {r.doc_id: r for r in out.collect()}
+    for i, w in enumerate(cases):
+        want = line_minima(w) if w else None
+        packed = [got[i][f"g{k}"] for k in range(line_dedup.MINIMA // 2)]
+        halves = [h & 0xFFFFFFFF for g in packed for h in (g >> 32, g)] if packed[0] is not None else None
+        assert halves == want, w
+        if want:
+            low = b"".join((got[i][d] % 2**64).to_bytes(8, "little") for d in ("d0", "d1"))
+            assert list(low) == [m & 255 for m in want]
+        if w and max(map(len, w)) >= line_dedup.SHORT:
+            assert got[i].fp % 2**64 == line_fingerprint(w), w
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    final = plan.partition("== Initial Plan ==")[0]
+    assert final.count("LocalTableScan") + final.count("Scan ExistingRDD") <= 1, final
+
+
+def test_line_distance_from_either_end(spark):
+    """Lines that differ at their start, their end, both or in the middle, with and without the
+    walk: always the plain edit distance."""
+    rng = random.Random(12)
+    rows = []
+    for n in (20, 60, 150):
+        for i in range(16):
+            a = words(rng, n, 90)
+            b = list(a)
+            for at in [(0,), (n - 1,), (0, n - 1), (n // 2,)][i % 4]:
+                new = words(rng, max(1, n * rng.choice([2, 10, 30]) // 100), 90)
+                b[at:at + len(new)] = new
+            rows.append((" ".join(a), " ".join(b)))
+    df = spark.createDataFrame(rows, "a string, b string")
+    most = line_dedup.most_edits(F.length("a"), F.length("b"), 0.8)
+    got = df.select((F.levenshtein("a", "b") <= most).alias("want"),
+                    line_dedup._within_from_worse_end(F.col("a"), F.col("b"), most).alias("end"),
+                    line_dedup.similar(F.col("a"), F.col("b"), 0.8, False).alias("exact"),
+                    line_dedup.similar(F.col("a"), F.col("b"), 0.8).alias("walked")).collect()
+    assert len({r.want for r in got}) == 2 and all(r.want == r.end == r.exact == r.walked for r in got)
+
+
 def test_line_walk_is_an_upper_bound(spark):
     """Near copies with lost, new and changed words pass, and none that is too far apart."""
     rng = random.Random(5)
